@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from paylens.operators import ingest
-from paylens.operators.publish import conform
+from paylens.operators.publish import conform, ensure_database
 from paylens.plans.pipeline import run_pipeline
 from paylens.plans.reports import REPORTS
 from paylens.plans.reports.geography import regional_opportunity
@@ -80,7 +80,8 @@ def _load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job from CSV files to catalog tables; rows loaded per table."""
     folder = _folder(spark, sf_dir)
     write_csv_sources(spark, sf_dir, f"{folder}/csv")
-    database = f"paylens_{folder.rsplit('/', 1)[-1]}"
+    database = f"paylens_{hashlib.sha256(folder.encode()).hexdigest()[:12]}"
+    ensure_database(spark, database, f"{folder}/{database}")
     return run_pipeline(spark, f"{folder}/csv", f"{folder}/lake", database).load_report()
 
 

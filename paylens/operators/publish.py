@@ -9,7 +9,9 @@ from paylens.schemas import TableSpec
 from paylens.sources.catalog import DATABASE
 
 
-def write_parquet(df: DataFrame, path: str, cluster_by: str | None = None, append: bool = False) -> int:
+def write_parquet(
+    df: DataFrame, path: str, cluster_by: str | None = None, append: bool = False
+) -> int:
     """Write a frame and return its number of rows, counted while writing.
 
     Rows are sorted inside each task only: that gives row groups with narrow value ranges
@@ -42,8 +44,11 @@ def publish_path(df: DataFrame, spec: TableSpec, path: str, append: bool = False
     return write_parquet(normalise(df, spec), path, spec.cluster_by, append)
 
 
-def ensure_database(spark: SparkSession, database: str = DATABASE) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+def ensure_database(
+    spark: SparkSession, database: str = DATABASE, location: str | None = None
+) -> None:
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{place}")
 
 
 def publish_table(

@@ -32,10 +32,12 @@ def read_csv(
         nullValue="",
         emptyValue="",
         mode="FAILFAST",
+        enforceSchema=False,
         multiLine=multi_line,
     )
+    names = [(name, F.col(f"`{name}`")) for name in raw.columns]
     cleaned = raw.select(
-        *[F.when(~F.col(f"`{c}`").isin(*C.MISSING_MARKERS), F.col(f"`{c}`")).alias(c) for c in raw.columns]
+        *[F.when(~value.isin(*C.MISSING_MARKERS), value).alias(name) for name, value in names]
     )
     return cleaned.withColumns({c: F.col(c).cast(kind) for c, kind in spec.columns.items()})
 
