@@ -361,8 +361,7 @@ INGEST = {
 SELECT order_status, COUNT(*) AS orders FROM src_orders
 WHERE order_status IS NOT NULL GROUP BY ALL""",
     "ingest_valid_payments": """
-SELECT order_id, payment_sequential, payment_type, payment_installments,
-  CAST(payment_value AS DOUBLE) AS payment_value
+SELECT order_id, payment_type, payment_installments, CAST(payment_value AS DOUBLE) AS payment_value
 FROM payments""",
     "ingest_counts": """
 SELECT 'orders' AS source, COUNT(*) AS rows_read, COUNT(*) AS rows_kept FROM src_orders

@@ -67,12 +67,14 @@ def _report(report: Callable[[ReportTables], DataFrame]) -> Query:
 
 def _valid_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = ingest.valid_payments(testdata.sources(spark, sf_dir)["payments"])
-    return kept.withColumn("payment_value", kept.payment_value.cast("double"))
+    return kept.drop("payment_sequential").withColumn(
+        "payment_value", kept.payment_value.cast("double")
+    )
 
 
 def write_csv_sources(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """The sources as CSV files, to be read by the pipeline."""
-    for name, df in testdata.sources(spark, sf_dir).items():
+    for name, df in testdata.sources(spark, sf_dir, all_numbers=True).items():
         df.write.mode("overwrite").csv(f"{folder}/{SOURCES[name].file}", header=True)
 
 

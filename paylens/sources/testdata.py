@@ -2,14 +2,12 @@
 
 Orders, customers, items, sellers, products and categories map one to one; every line
 item also stands for one payment of its order. Some values are made missing, blank or
-invalid on purpose. The window that numbers the payments is dropped by column pruning
-where the number is unused, and cut to one row per task and order where only the first
-payment is kept, so a very large order does not have to be sorted in one task.
+invalid on purpose.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paylens import constants as C
@@ -39,16 +37,63 @@ def orders(orders: DataFrame) -> DataFrame:
     )
 
 
+PAYMENT_ORDER = (
+    "l_linenumber",
+    "l_partkey",
+    "l_suppkey",
+    "l_extendedprice",
+    "l_shipdate",
+    "l_quantity",
+)
+SLICES_PER_LINE = 1000
+
+
 def payments(lineitem: DataFrame) -> DataFrame:
+    """Payments numbered by one window per order.
+
+    For marts: where the number is unused, column pruning drops the window, and where only
+    payment number 1 is kept, each task keeps one row per order before the shuffle. To get
+    all numbers of an order of any size, see ``numbered_payments``.
+    """
+    lines = lineitem.withColumn("order_id", F.col("l_orderkey").cast("string"))
+    number = F.row_number().over(Window.partitionBy("order_id").orderBy(*PAYMENT_ORDER))
+    return _as_payments(lines, number)
+
+
+def numbered_payments(lineitem: DataFrame) -> DataFrame:
+    """The same payments, with each order numbered in slices.
+
+    A slice is a range of line and part numbers, so slices follow the order of the
+    payments and a very large order is spread over many tasks; the sizes of the earlier
+    slices of an order (some thousands at most) give where a slice starts.
+    """
+    last_part = lineitem.agg(F.max("l_partkey")).scalar()
+    part_range = F.floor(F.col("l_partkey") * SLICES_PER_LINE / (last_part + 1))
+    lines = lineitem.withColumns(
+        {
+            "order_id": F.col("l_orderkey").cast("string"),
+            "slice": F.col("l_linenumber") * SLICES_PER_LINE + part_range,
+        }
+    )
+    earlier = Window.partitionBy("order_id").orderBy("slice").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    starts = (
+        lines.groupBy("order_id", "slice")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("order_id", "slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    )
+    in_slice = F.row_number().over(Window.partitionBy("order_id", "slice").orderBy(*PAYMENT_ORDER))
+    placed = lines.withColumn("in_slice", in_slice).join(starts, ["order_id", "slice"])
+    return _as_payments(placed, F.col("start") + F.col("in_slice"))
+
+
+def _as_payments(lines: DataFrame, number: Column) -> DataFrame:
     line, flag, status = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")
     quantity = F.col("l_quantity")
-    numbered = lineitem.withColumn("order_id", F.col("l_orderkey").cast("string"))
-    in_order = Window.partitionBy("order_id").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity"
-    )
-    return numbered.select(
+    return lines.select(
         "order_id",
-        F.row_number().over(in_order).alias("payment_sequential"),
+        number.cast("int").alias("payment_sequential"),
         F.when((line == 7) & (flag == "A"), C.INVALID_PAYMENT)
         .when((line == 7) & (flag == "R") & (quantity < 5), F.lit(None))
         .when((flag == "N") & (status == "O"), C.BOLETO)
@@ -109,14 +154,18 @@ def categories(part: DataFrame) -> DataFrame:
     )
 
 
-def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def sources(
+    spark: SparkSession, sf_dir: str, all_numbers: bool = False
+) -> dict[str, DataFrame]:
+    """The seven sources; ``all_numbers`` if every payment number will be used."""
+
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     order, line, nation, part = table("orders"), table("lineitem"), table("nation"), table("part")
     return {
         "orders": orders(order),
-        "payments": payments(line),
+        "payments": numbered_payments(line) if all_numbers else payments(line),
         "customers": customers(order, table("customer"), nation),
         "items": items(line),
         "sellers": sellers(table("supplier"), nation),

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import functions as F
 
 from paylens.plans.reports import REPORTS
+from paylens.sources import testdata
+from tests.conftest import SF_DIR
 
 
 def summed(df, column):
@@ -55,3 +57,10 @@ def test_shares_add_up(reports):
 def test_first_bins_of_the_table(reports):
     table = REPORTS["q0b"](reports).select("spending_bin", "customer_count").collect()
     assert REPORTS["q0a"](reports).collect() == table[:20]
+
+
+def test_numbering_in_slices_equals_one_window(spark):
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    for some in (lines, lines.withColumn("l_orderkey", F.lit(1))):
+        whole = sorted(tuple(r) for r in testdata.payments(some).na.fill("").collect())
+        assert sorted(tuple(r) for r in testdata.numbered_payments(some).na.fill("").collect()) == whole
