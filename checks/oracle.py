@@ -384,5 +384,8 @@ def statements() -> dict[str, str]:
     bodies |= {f"report_{key}": sql for key, sql in REPORTS.items()}
     bodies["report_q17_5_tuned"] = regional(110000, 90000, 8)
     bodies |= INGEST
+    bodies["publish_seller_orders_appended"] = (
+        "SELECT * FROM p_seller_orders UNION ALL SELECT * FROM p_seller_orders"
+    )
     bodies["pipeline_load_report"] = LOAD_REPORT
     return {name: PREFIX + body.strip() for name, body in bodies.items()}

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from paylens.operators import ingest
-from paylens.operators.publish import conform, ensure_database
+from paylens.operators.publish import conform, ensure_database, publish_path
 from paylens.plans.pipeline import run_pipeline
 from paylens.plans.reports import REPORTS
 from paylens.plans.reports.geography import regional_opportunity
@@ -61,6 +61,15 @@ def _published(name: str) -> Query:
     return lambda spark, sf_dir: warehouse(spark, sf_dir).table(name)
 
 
+def _appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seller rows published, then added once more."""
+    name = "seller_orders"
+    mart, path = warehouse(spark, sf_dir).mart(name), f"{_folder(spark, sf_dir)}/appended/{name}"
+    publish_path(mart, TABLES[name], path)
+    publish_path(mart, TABLES[name], path, append=True)
+    return spark.read.parquet(path)
+
+
 def _report(report: Callable[[ReportTables], DataFrame]) -> Query:
     return lambda spark, sf_dir: report(report_tables(spark, sf_dir))
 
@@ -96,6 +105,7 @@ def registered() -> dict[str, Query]:
         "ingest_counts": lambda spark, sf_dir: ingest.source_counts(
             testdata.sources(spark, sf_dir)
         ),
+        "publish_seller_orders_appended": _appended,
         "pipeline_load_report": _load_report,
         "report_q17_5_tuned": _report(lambda t: regional_opportunity(t, **TUNED)),
     }

@@ -1,4 +1,11 @@
-"""The whole job: read the CSV sources, land them, build the marts, publish them."""
+"""The whole job in three stages: extract, transform, load.
+
+The stages pass state only through the lake folder, so each one can be run again alone:
+
+    <lake>/<source>              landed sources
+    <lake>/transformed/<mart>    marts
+    <lake>/shared/<frame>        frames shared by reports
+"""
 
 from __future__ import annotations
 
@@ -7,47 +14,76 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from paylens.operators.ingest import valid_payments
-from paylens.operators.publish import publish_table, write_parquet
+from paylens.operators.publish import ensure_database, publish_table, write_parquet
 from paylens.plans.tables import ReportTables
-from paylens.plans.warehouse import Warehouse
+from paylens.plans.warehouse import Warehouse, shared_store
 from paylens.schemas import TABLES
-from paylens.sources.catalog import DATABASE, published
-from paylens.sources.files import read_parquet, read_sources
+from paylens.sources.catalog import DATABASE
+from paylens.sources.files import read_lake, read_optional, read_parquet, read_sources
+
+Rows = dict[str, int | None]
 
 
 @dataclass
 class PipelineRun:
-    """``tables`` by name, and the rows landed or loaded by this run (None: skipped)."""
+    """Rows written by each stage (None: skipped), and the published tables."""
 
     spark: SparkSession
-    tables: dict[str, DataFrame]
-    landed: dict[str, int | None]
-    loaded: dict[str, int | None]
-    warehouse: Warehouse
+    lake_dir: str
+    database: str
+    landed: Rows
+    transformed: Rows
+    loaded: Rows
 
-    def load_report(self) -> DataFrame:
-        rows = [(name, n) for name, n in self.loaded.items()]
-        return self.spark.createDataFrame(rows, "table string, rows bigint")
+    @property
+    def tables(self) -> dict[str, DataFrame]:
+        return {
+            name: self.spark.table(f"{self.database}.{name}")
+            for name in TABLES
+            if self.spark.catalog.tableExists(f"{self.database}.{name}")
+        }
 
     def report_tables(self) -> ReportTables:
-        shared = self.warehouse.report_tables()
-        return ReportTables(self.tables.__getitem__, shared.store)
+        store = shared_store(self.spark, self.lake_dir)
+        return ReportTables.from_catalog(self.spark, self.database, store)
+
+    def load_report(self) -> DataFrame:
+        return self.spark.createDataFrame(list(self.loaded.items()), "table string, rows bigint")
 
 
 def extract(
     spark: SparkSession, source_dir: str, lake_dir: str, multi_line: bool = False
-) -> tuple[dict[str, DataFrame | None], dict[str, int | None]]:
+) -> Rows:
     """Land each source as Parquet, payments without the invalid ones."""
-    lake: dict[str, DataFrame | None] = {}
-    landed: dict[str, int | None] = {}
+    landed: Rows = {}
     for name, df in read_sources(spark, source_dir, multi_line).items():
-        lake[name], landed[name] = None, None
-        if df is not None:
+        if df is None:
+            landed[name] = None
+        else:
             kept = valid_payments(df) if name == "payments" else df
-            path = f"{lake_dir}/{name}"
-            landed[name] = write_parquet(kept, path)
-            lake[name] = read_parquet(spark, path)
-    return lake, landed
+            landed[name] = write_parquet(kept, f"{lake_dir}/{name}")
+    return landed
+
+
+def transform(spark: SparkSession, lake_dir: str) -> Rows:
+    """Build the marts whose sources are in the lake."""
+    warehouse = Warehouse(spark, read_lake(spark, lake_dir), lake_dir)
+    for name in TABLES:
+        warehouse.mart(name)
+    return warehouse.rows
+
+
+def load(
+    spark: SparkSession, lake_dir: str, database: str = DATABASE, append: bool = False
+) -> Rows:
+    """Publish the marts that exist; the table of a missing mart is left alone."""
+    ensure_database(spark, database)
+    loaded: Rows = {}
+    for name, spec in TABLES.items():
+        path = f"{lake_dir}/transformed/{name}"
+        mart = read_optional(lambda path=path: read_parquet(spark, path))
+        loaded[name] = publish_table(spark, mart, spec, database, append)
+    return loaded
 
 
 def run_pipeline(
@@ -57,15 +93,7 @@ def run_pipeline(
     database: str = DATABASE,
     multi_line: bool = False,
 ) -> PipelineRun:
-    lake, landed = extract(spark, source_dir, lake_dir, multi_line)
-    warehouse = Warehouse(spark, lake, lake_dir)
-    loaded = {
-        name: publish_table(spark, warehouse.mart(name), spec, database)
-        for name, spec in TABLES.items()
-    }
-    tables = {
-        name: published(spark, name, database)
-        for name in TABLES
-        if spark.catalog.tableExists(f"{database}.{name}")
-    }
-    return PipelineRun(spark, tables, landed, loaded, warehouse)
+    landed = extract(spark, source_dir, lake_dir, multi_line)
+    transformed = transform(spark, lake_dir)
+    loaded = load(spark, lake_dir, database)
+    return PipelineRun(spark, lake_dir, database, landed, transformed, loaded)

@@ -25,7 +25,7 @@ class ReportTables:
 
     def __init__(self, read: Read, store: Store | None = None):
         self._read = read
-        self.store = store
+        self._store = store
         self._shared: dict[str, DataFrame] = {}
 
     @classmethod
@@ -61,7 +61,7 @@ class ReportTables:
     def _share(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._shared:
             df = build()
-            self._shared[name] = self.store(name, df) if self.store else df
+            self._shared[name] = self._store(name, df) if self._store else df
         return self._shared[name]
 
     @property

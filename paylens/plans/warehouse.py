@@ -12,16 +12,28 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paylens.operators.publish import publish_path, write_parquet
 from paylens.plans.marts import MARTS
-from paylens.plans.tables import ReportTables
+from paylens.plans.tables import ReportTables, Store
 from paylens.schemas import TABLES
 
 
+def shared_store(spark: SparkSession, root: str) -> Store:
+    """Writes frames shared by reports below ``root``."""
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        path = f"{root}/shared/{name}"
+        write_parquet(df, path)
+        return spark.read.parquet(path)
+
+    return store
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame | None], root: str):
         """``sources`` hold valid payments only; ``root`` is a folder all executors reach."""
         self.spark = spark
         self.sources = sources
         self.root = root
+        self.rows: dict[str, int | None] = {}
         self._marts: dict[str, DataFrame | None] = {}
         self._tables: dict[str, DataFrame] = {}
 
@@ -29,16 +41,12 @@ class Warehouse:
         """The mart as a frame that is not written yet; None if an optional source is missing."""
         return MARTS[name](self.sources, lambda: self.mart("fact_payments"))
 
-    def _written(self, df: DataFrame, path: str) -> DataFrame:
-        write_parquet(df, path)
-        return self.spark.read.parquet(path)
-
     def mart(self, name: str) -> DataFrame | None:
+        """The written mart."""
         if name not in self._marts:
-            df = self.plan(name)
-            self._marts[name] = (
-                None if df is None else self._written(df, f"{self.root}/transformed/{name}")
-            )
+            df, path = self.plan(name), f"{self.root}/transformed/{name}"
+            self.rows[name] = None if df is None else write_parquet(df, path)
+            self._marts[name] = None if df is None else self.spark.read.parquet(path)
         return self._marts[name]
 
     def table(self, name: str) -> DataFrame:
@@ -53,6 +61,4 @@ class Warehouse:
         return self._tables[name]
 
     def report_tables(self) -> ReportTables:
-        return ReportTables(
-            self.table, lambda name, df: self._written(df, f"{self.root}/shared/{name}")
-        )
+        return ReportTables(self.table, shared_store(self.spark, self.root))

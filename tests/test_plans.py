@@ -10,7 +10,7 @@ import pytest
 from checks.registry import registered
 from paylens.plans.reports import REPORTS
 from paylens.plans.tables import ReportTables
-from paylens.plans.warehouse import Warehouse
+from paylens.plans.warehouse import Warehouse, shared_store
 from paylens.schemas import TABLES
 from tests.conftest import SF_DIR
 
@@ -127,10 +127,10 @@ SPLIT_EARLY = {
 }
 
 
-def in_many_tasks(skewed):
+def in_many_tasks(spark, skewed):
     """A partition is split by the tasks that wrote it, so small tables are spread first."""
     return ReportTables(
-        lambda name: skewed.table(name).repartition(12), skewed.report_tables().store
+        lambda name: skewed.table(name).repartition(12), shared_store(spark, skewed.root)
     )
 
 
@@ -139,9 +139,9 @@ def executed(df):
     return plan(df, "simple")
 
 
-def test_hot_person_in_weighted_joins_is_split(skewed, conf):
+def test_hot_person_in_weighted_joins_is_split(spark, skewed, conf):
     conf(SPLIT_EARLY)
-    t = in_many_tasks(skewed)
+    t = in_many_tasks(spark, skewed)
     for key in ("q3_5", "q17_5"):
         assert "skew=true" in executed(REPORTS[key](t))
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import pytest
 
+from paylens.__main__ import main
 from paylens.operators.publish import ensure_database, normalise, publish_path, publish_table
-from paylens.plans.pipeline import run_pipeline
+from paylens.plans.pipeline import load, run_pipeline
 from paylens.plans.reports import REPORTS
 from paylens.plans.tables import ReportTables
 from paylens.schemas import SOURCES, TABLES
@@ -125,8 +126,17 @@ def test_pipeline_without_optional_sources(spark, csv_dir, tmp_path):
     names = {r.category for r in run.tables["order_items_products"].collect()}
     assert names and not any(name.startswith("en_") for name in names)
 
-    # a table published earlier stays when its source is gone
-    (source / SOURCES["products"].file).unlink()
-    run = run_pipeline(spark, str(source), str(tmp_path / "lake"), "partial")
-    assert run.loaded["order_items_products"] is None
+    # a table published earlier stays when there is no mart for it
+    assert load(spark, str(tmp_path / "none"), "partial") == dict.fromkeys(TABLES)
     assert run.tables["order_items_products"].count() == 6000
+
+
+def test_stages_can_run_alone(spark, csv_dir, tmp_path, capsys):
+    lake = str(tmp_path)
+    common = ["--source", str(csv_dir), "--lake", lake, "--database", "staged"]
+    first = main([*common, "--stages", "extract", "transform"])
+    assert list(first) == ["extract", "transform"]
+    assert not spark.catalog.databaseExists("staged")
+    assert main([*common, "--stages", "load"])["load"] == first["transform"]
+    assert list_published(spark, "staged") == sorted(TABLES)
+    assert "load customer_segments: 1185" in capsys.readouterr().out
