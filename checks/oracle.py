@@ -92,7 +92,8 @@ fact_payments AS MATERIALIZED (
   JOIN customers USING (customer_id)
   LEFT JOIN (SELECT order_id, payment_type FROM payments WHERE payment_sequential = 1)
     USING (order_id)),
-done AS (SELECT *, {money("total_payment")} AS paid FROM fact_payments WHERE order_status = 'delivered'),
+done AS (
+  SELECT *, {money("total_payment")} AS paid FROM fact_payments WHERE order_status = 'delivered'),
 customer_segments AS MATERIALIZED (
   SELECT customer_id, customer_unique_id, customer_state, CAST(spent AS DOUBLE) AS total_spent,
     CAST(n AS INTEGER) AS order_count,

@@ -1,4 +1,4 @@
-"""Run the job: ``spark-submit ... -m paylens`` or ``python -m paylens --source ... --lake ...``."""
+"""Run the job: ``python -m paylens --source DIR --lake DIR``, or this file with spark-submit."""
 
 from __future__ import annotations
 

@@ -25,7 +25,11 @@ def hv_concentration(t: ReportTables, top: int = 15) -> DataFrame:
     hv = F.count_if(high_value())
     return (
         t.segments.groupBy("customer_state")
-        .agg(hv.alias("hv_count"), n_rows().alias("total_count"), percent(hv, n_rows()).alias("hv_pct"))
+        .agg(
+            hv.alias("hv_count"),
+            n_rows().alias("total_count"),
+            percent(hv, n_rows()).alias("hv_pct"),
+        )
         .orderBy(F.desc("hv_pct"), "customer_state")
         .limit(top)
     )

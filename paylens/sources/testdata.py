@@ -101,7 +101,9 @@ def _as_payments(lines: DataFrame, number: Column) -> DataFrame:
         .when(flag == "N", C.DEBIT_CARD)
         .otherwise(C.CREDIT_CARD)
         .alias("payment_type"),
-        F.when(flag == "N", 1).otherwise(1 + quantity.cast("int") % 10).alias("payment_installments"),
+        F.when(flag == "N", 1)
+        .otherwise(1 + quantity.cast("int") % 10)
+        .alias("payment_installments"),
         (F.floor(F.col("l_extendedprice") / 10) / 100).cast(MONEY).alias("payment_value"),
     )
 
