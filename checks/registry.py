@@ -76,9 +76,7 @@ def _report(report: Callable[[ReportTables], DataFrame]) -> Query:
 
 def _valid_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = ingest.valid_payments(testdata.sources(spark, sf_dir)["payments"])
-    return kept.drop("payment_sequential").withColumn(
-        "payment_value", kept.payment_value.cast("double")
-    )
+    return kept.drop("payment_sequential")
 
 
 def write_csv_sources(spark: SparkSession, sf_dir: str, folder: str) -> None:

@@ -1,8 +1,8 @@
 """Row counts, exact money sums and rounded figures.
 
-Published amounts are doubles with two decimals. They are read back as decimals before
-summing, and every rounding to two places happens on a decimal, so that a figure does not
-change with the partitioning and a value such as 1.005 is rounded the way it is written.
+Amounts are doubles with two decimals. They are summed as whole cents, so that a total does
+not depend on the order in which partitions are merged, and every figure rounded to two
+places is rounded as a decimal, so that 1.005 is rounded the way it is written.
 """
 
 from __future__ import annotations
@@ -10,30 +10,42 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from paylens.schemas import MONEY
 
+def n_rows() -> Column:
+    return F.count(F.lit(1))
 
-def money(name: str) -> Column:
-    return F.col(name).cast(MONEY)
 
+def cents(name: str) -> Column:
+    return F.rint(F.col(name) * 100).cast("bigint")
 
-def n_rows() -> Column:
-    return F.count(F.lit(1))
+
+def amount(in_cents: Column) -> Column:
+    return in_cents.cast("double") / 100
 
 
 def total(name: str) -> Column:
-    """Exact sum of an amount column; NULL over no rows."""
-    return F.sum(money(name))
+    """Exact sum of an amount column in cents; NULL over no rows."""
+    return F.sum(cents(name))
 
 
 def total_value(name: str) -> Column:
-    """Sum of an amount as published (double), 0 over no rows."""
-    return F.coalesce(total(name), F.lit(0)).cast("double")
+    """Exact sum of an amount column, 0 over no rows."""
+    return amount(F.coalesce(total(name), F.lit(0)))
+
+
+def wide_sum(value: Column) -> Column:
+    """Sum of whole numbers that may leave the range of a bigint."""
+    return F.sum(value.cast("decimal(38,0)"))
+
+
+def mean(sum_: Column, count: Column) -> Column:
+    """Unrounded average; NULL over no rows."""
+    return F.try_divide(sum_.cast("double"), count.cast("double"))
 
 
-def mean(amount: Column, count: Column) -> Column:
-    """Unrounded average of an exact sum."""
-    return F.try_divide(amount.cast("double"), count)
+def mean_amount(name: str) -> Column:
+    """Unrounded average of an amount column."""
+    return mean(amount(total(name)), F.count(name))
 
 
 def round2(value: Column) -> Column:
@@ -42,7 +54,7 @@ def round2(value: Column) -> Column:
 
 def mean_value(name: str) -> Column:
     """Average of an amount column, rounded to two places."""
-    return round2(mean(total(name), F.count(name)))
+    return round2(mean_amount(name))
 
 
 def percent(part: Column, whole: Column) -> Column:

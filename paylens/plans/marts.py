@@ -1,7 +1,4 @@
-"""The eight marts as frames over the sources.
-
-Amounts are decimals here and become doubles when published.
-"""
+"""The eight marts as frames over the sources."""
 
 from __future__ import annotations
 
@@ -11,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylens import constants as C
-from paylens.functions.figures import mean, percent
+from paylens.functions.figures import mean, mean_amount, percent, total_value
 from paylens.functions.labels import canceled, delivered, segment
 from paylens.schemas import TABLES
 
@@ -21,11 +18,11 @@ def _orders() -> Column:
 
 
 def _revenue() -> Column:
-    return F.sum("total_payment").alias("total_revenue")
+    return total_value("total_payment").alias("total_revenue")
 
 
-def _average(amount: str, alias: str) -> Column:
-    return mean(F.sum(amount), F.count(amount)).alias(alias)
+def _order_value() -> Column:
+    return mean_amount("total_payment").alias("avg_order_value")
 
 
 def fact_payments(orders: DataFrame, payments: DataFrame, customers: DataFrame) -> DataFrame:
@@ -37,7 +34,7 @@ def fact_payments(orders: DataFrame, payments: DataFrame, customers: DataFrame)
     shuffled. Customers come last, so the result is laid out by customer.
     """
     paid = payments.groupBy("order_id").agg(
-        F.sum("payment_value").alias("total_payment"),
+        total_value("payment_value").alias("total_payment"),
         F.max("payment_installments").alias("max_installments"),
     )
     first_payment = payments.where("payment_sequential = 1").select("order_id", "payment_type")
@@ -62,7 +59,10 @@ def customer_segments(
     return (
         fact.where(delivered())
         .groupBy("customer_id", "customer_unique_id", "customer_state")
-        .agg(F.sum("total_payment").alias("total_spent"), F.count("order_id").alias("order_count"))
+        .agg(
+            total_value("total_payment").alias("total_spent"),
+            F.count("order_id").alias("order_count"),
+        )
         .withColumn("segment", segment(F.col("total_spent"), high, premium))
     )
 
@@ -72,13 +72,13 @@ def revenue_by_state(fact: DataFrame) -> DataFrame:
         _revenue(),
         _orders(),
         F.count_distinct("customer_id").alias("unique_customers"),
-        _average("total_payment", "avg_order_value"),
+        _order_value(),
     )
 
 
 def installment_analysis(fact: DataFrame) -> DataFrame:
     return fact.where(delivered()).groupBy("max_installments").agg(
-        _average("total_payment", "avg_order_value"), _orders(), _revenue()
+        _order_value(), _orders(), _revenue()
     )
 
 
@@ -87,8 +87,8 @@ def payment_method_analysis(fact: DataFrame) -> DataFrame:
     return fact.where(delivered()).groupBy("payment_type").agg(
         _orders(),
         _revenue(),
-        _average("total_payment", "avg_order_value"),
-        _average("max_installments", "avg_installments"),
+        _order_value(),
+        mean(F.sum("max_installments"), F.count("max_installments")).alias("avg_installments"),
     )
 
 

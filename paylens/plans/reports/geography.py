@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paylens import constants as C
-from paylens.functions.figures import mean, money, n_rows, percent, round2, total_value
+from paylens.functions.figures import (
+    amount,
+    cents,
+    mean,
+    n_rows,
+    percent,
+    round2,
+    total_value,
+    wide_sum,
+)
 from paylens.functions.labels import high_value, paid_by
 from paylens.plans.tables import ReportTables
 
@@ -36,11 +45,11 @@ def hv_concentration(t: ReportTables, top: int = 15) -> DataFrame:
 
 
 def state_opportunity(t: ReportTables) -> DataFrame:
-    hv_revenue = F.sum(F.when(high_value(), money("total_spent")))
+    hv_revenue = F.sum(F.when(high_value(), cents("total_spent")))
     return (
         t.segments.groupBy("customer_state")
         .agg(
-            F.coalesce(hv_revenue, F.lit(0)).cast("double").alias("hv_revenue"),
+            amount(F.coalesce(hv_revenue, F.lit(0))).alias("hv_revenue"),
             percent(F.count_if(high_value()), n_rows()).alias("hv_concentration_pct"),
             n_rows().alias("total_customers"),
         )
@@ -62,24 +71,23 @@ def regional_opportunity(
     state table is joined to the result of the aggregation, not to the orders.
     """
     valued = t.person_segments.where(F.col("segment").isin(C.PREMIUM, C.HIGH))
+    weighted = F.col("max_installments").cast("decimal(10,0)") * F.col("weight")
     usage = (
         t.delivered.where(paid_by(C.CREDIT_CARD))
         .join(valued, "customer_unique_id")
         .groupBy("customer_state")
-        .agg(
-            mean(F.sum(F.col("max_installments") * F.col("weight")), F.sum("weight")).alias("usage")
-        )
+        .agg(mean(wide_sum(weighted), wide_sum(F.col("weight"))).alias("usage"))
     )
     revenue = F.col("total_revenue")
     few = F.col("usage") < max_installments
-    whole = F.sum(money("total_revenue")).over(Window.partitionBy())
+    whole = F.sum(cents("total_revenue")).over(Window.partitionBy())
     return (
         t.states.join(usage, "customer_state")
         .select(
             "customer_state",
             revenue.alias("hv_revenue"),
             F.col("unique_customers").alias("hv_customers"),
-            percent(money("total_revenue"), whole).alias("hv_revenue_pct"),
+            percent(cents("total_revenue"), whole).alias("hv_revenue_pct"),
             round2(F.col("usage")).alias("avg_installments"),
             F.when(few & (revenue > high_revenue), C.TIER_HIGH)
             .when(few & (revenue > medium_revenue), C.TIER_MEDIUM)

@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paylens import constants as C
-from paylens.functions.figures import mean, mean_value, n_rows, percent, round2, total, total_value
+from paylens.functions.figures import (
+    amount,
+    mean,
+    mean_value,
+    n_rows,
+    percent,
+    round2,
+    total,
+    total_value,
+)
 from paylens.functions.labels import (
     binned,
     canceled,
@@ -73,8 +82,8 @@ def revenue_lost_by_type(t: ReportTables) -> DataFrame:
         .select(
             "payment_type",
             "cancelled_orders",
-            lost.cast("double").alias("revenue_lost"),
-            round2(mean(lost, orders)).alias("avg_lost_per_order"),
+            amount(lost).alias("revenue_lost"),
+            round2(mean(amount(lost), orders)).alias("avg_lost_per_order"),
             percent(lost, F.sum(lost).over(Window.partitionBy())).alias("pct_of_total_lost"),
         )
         .orderBy(F.desc("revenue_lost"), "payment_type")

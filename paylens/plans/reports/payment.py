@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paylens import constants as C
-from paylens.functions.figures import mean_value, money, n_rows, percent
+from paylens.functions.figures import amount, cents, mean_value, n_rows, percent, wide_sum
 from paylens.functions.labels import high_value, paid_by, single_installment
 from paylens.plans.tables import ReportTables
 
@@ -29,13 +29,13 @@ def premium_payment_mix(t: ReportTables) -> DataFrame:
         .groupBy("segment", "payment_type")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
-            F.sum(money("total_payment") * F.col("weight")).alias("revenue"),
+            wide_sum(cents("total_payment").cast("decimal(18,0)") * F.col("weight")).alias("revenue"),
         )
         .select(
             "segment",
             "payment_type",
             "total_orders",
-            revenue.cast("double").alias("total_revenue"),
+            amount(revenue).alias("total_revenue"),
             percent(revenue, whole).alias("revenue_pct"),
         )
         .orderBy("segment", F.desc("total_revenue"), "payment_type")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paylens import constants as C
-from paylens.functions.figures import n_rows, percent, total, total_value
+from paylens.functions.figures import amount, n_rows, percent, total, total_value
 from paylens.functions.labels import binned, high_value, spending_bin
 from paylens.functions.time import has_time, month
 from paylens.plans.tables import ReportTables
@@ -55,10 +55,9 @@ def total_orders(t: ReportTables) -> DataFrame:
 
 def revenue_vs_target(t: ReportTables) -> DataFrame:
     actual = F.coalesce(total("total_payment"), F.lit(0))
-    target = F.round(actual * F.lit(Decimal(C.TARGET_FACTOR)), 2)
+    target = F.round(actual * F.lit(Decimal(C.TARGET_FACTOR)), 0)
     return t.delivered.agg(
-        actual.cast("double").alias("actual_revenue"),
-        target.cast("double").alias("target_revenue"),
+        amount(actual).alias("actual_revenue"), amount(target).alias("target_revenue")
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ class ReportTables:
     def __init__(self, read: Read, store: Store | None = None):
         self._read = read
         self._store = store
+        self._lock = RLock()
         self._shared: dict[str, DataFrame] = {}
 
     @classmethod
@@ -59,10 +61,11 @@ class ReportTables:
         return self._read("order_items_products")
 
     def _share(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        if name not in self._shared:
-            df = build()
-            self._shared[name] = self._store(name, df) if self._store else df
-        return self._shared[name]
+        with self._lock:
+            if name not in self._shared:
+                df = build()
+                self._shared[name] = self._store(name, df) if self._store else df
+            return self._shared[name]
 
     @property
     def segment_orders(self) -> DataFrame:

@@ -1,12 +1,14 @@
 """Marts and published tables of one data set, each written once and read back.
 
 Five marts and all reports depend on the order fact. Writing it cuts the lineage: later
-plans start from a scan, and an executor lost after the write costs nothing.
+plans start from a scan, and an executor lost after the write costs nothing. Reports may be
+run from several threads: a lock keeps each table from being written twice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,7 @@ class Warehouse:
         self.spark = spark
         self.sources = sources
         self.root = root
+        self._lock = RLock()
         self.rows: dict[str, int | None] = {}
         self._marts: dict[str, DataFrame | None] = {}
         self._tables: dict[str, DataFrame] = {}
@@ -43,22 +46,24 @@ class Warehouse:
 
     def mart(self, name: str) -> DataFrame | None:
         """The written mart."""
-        if name not in self._marts:
-            df, path = self.plan(name), f"{self.root}/transformed/{name}"
-            self.rows[name] = None if df is None else write_parquet(df, path)
-            self._marts[name] = None if df is None else self.spark.read.parquet(path)
-        return self._marts[name]
+        with self._lock:
+            if name not in self._marts:
+                df, path = self.plan(name), f"{self.root}/transformed/{name}"
+                self.rows[name] = None if df is None else write_parquet(df, path)
+                self._marts[name] = None if df is None else self.spark.read.parquet(path)
+            return self._marts[name]
 
     def table(self, name: str) -> DataFrame:
         """The published table, in a folder of its own."""
-        if name not in self._tables:
-            mart = self.mart(name)
-            if mart is None:
-                raise ValueError(f"{name} needs a source that is missing")
-            path = f"{self.root}/published/{name}"
-            publish_path(mart, TABLES[name], path)
-            self._tables[name] = self.spark.read.parquet(path)
-        return self._tables[name]
+        with self._lock:
+            if name not in self._tables:
+                mart = self.mart(name)
+                if mart is None:
+                    raise ValueError(f"{name} needs a source that is missing")
+                path = f"{self.root}/published/{name}"
+                publish_path(mart, TABLES[name], path)
+                self._tables[name] = self.spark.read.parquet(path)
+            return self._tables[name]
 
     def report_tables(self) -> ReportTables:
         return ReportTables(self.table, shared_store(self.spark, self.root))

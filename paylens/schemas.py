@@ -4,11 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-# Amounts are two-decimal money: summed as decimals so that totals do not depend on
-# the order in which partitions are merged, and turned into doubles when published.
-MONEY = "decimal(18,2)"
-
-
 @dataclass(frozen=True)
 class SourceSpec:
     """A raw CSV file: the columns the marts need (others are landed as text)."""
@@ -53,7 +48,7 @@ SOURCES = {
                 "payment_sequential": "int",
                 "payment_type": "string",
                 "payment_installments": "int",
-                "payment_value": MONEY,
+                "payment_value": "double",
             },
         ),
         SourceSpec(
@@ -68,8 +63,8 @@ SOURCES = {
                 "order_id": "string",
                 "product_id": "string",
                 "seller_id": "string",
-                "price": MONEY,
-                "freight_value": MONEY,
+                "price": "double",
+                "freight_value": "double",
             },
         ),
         SourceSpec(

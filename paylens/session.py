@@ -21,7 +21,6 @@ def settings(input_bytes: int | None = None) -> dict[str, str]:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
         "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
         "spark.ui.enabled": "false",
@@ -44,14 +43,16 @@ def build_session(
 
 
 def work_dir(spark: SparkSession) -> str:
-    """This application's folder below ``spark.checkpoint.dir``.
+    """This application's folder below ``spark.checkpoint.dir`` (or the checkpoint folder).
 
     Only a local session without that setting falls back to a temporary folder: on a
     cluster such a folder is not visible to the other machines.
     """
     app_id = spark.sparkContext.applicationId
     if app_id not in _work_dirs:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
+        shared = (
+            spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+        )
         if shared:
             _work_dirs[app_id] = f"{shared.rstrip('/')}/paylens-{app_id}"
         elif spark.sparkContext.master.startswith("local"):

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paylens import constants as C
-from paylens.schemas import MONEY
 
 CUSTOMER_ID_OFFSET = 1_000_000
 BLANK_TIME_EVERY = 97
@@ -104,7 +103,7 @@ def _as_payments(lines: DataFrame, number: Column) -> DataFrame:
         F.when(flag == "N", 1)
         .otherwise(1 + quantity.cast("int") % 10)
         .alias("payment_installments"),
-        (F.floor(F.col("l_extendedprice") / 10) / 100).cast(MONEY).alias("payment_value"),
+        (F.floor(F.col("l_extendedprice") / 10) / 100).alias("payment_value"),
     )
 
 
@@ -125,8 +124,8 @@ def items(lineitem: DataFrame) -> DataFrame:
         F.col("l_linenumber").alias("order_item_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_suppkey").cast("string").alias("seller_id"),
-        (F.floor(F.col("l_extendedprice") / 2) / 100).cast(MONEY).alias("price"),
-        (F.col("l_quantity") / 2).cast(MONEY).alias("freight_value"),
+        (F.floor(F.col("l_extendedprice") / 2) / 100).alias("price"),
+        (F.col("l_quantity") / 2).alias("freight_value"),
     )
 
 

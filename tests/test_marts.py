@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 import pytest
 
 from paylens.operators.ingest import valid_payments
@@ -21,7 +19,7 @@ def fact_of(spark, payments, orders=None, customers=None):
     ids = sorted({p[0] for p in payments})
     orders = orders or [(i, f"c{i}", "delivered", "2017-10-02 10:56:33") for i in ids]
     customers = customers or [(o[1], f"u{o[0]}", "SP") for o in orders]
-    paid = [(i, n, kind, parts, Decimal(str(value))) for i, n, kind, parts, value in payments]
+    paid = [(i, n, kind, parts, float(value)) for i, n, kind, parts, value in payments]
     return marts.fact_payments(
         frame(spark, "orders", *orders),
         valid_payments(frame(spark, "payments", *paid)),
@@ -33,14 +31,14 @@ def test_fact_sums_payments_and_takes_the_first_type(spark):
     fact = fact_of(spark, [("1", 2, "voucher", 1, 5.5), ("1", 1, "credit_card", 3, 10.25)])
     row = fact.collect()
     assert len(row) == 1
-    assert (row[0].total_payment, row[0].max_installments) == (Decimal("15.75"), 3)
+    assert (row[0].total_payment, row[0].max_installments) == (15.75, 3)
     assert row[0].payment_type == "credit_card"
     assert (row[0].customer_unique_id, row[0].customer_state) == ("u1", "SP")
 
 
 def test_fact_without_valid_first_payment_has_null_type(spark):
     row = fact_of(spark, [("1", 1, "not_defined", 1, 9), ("1", 2, "voucher", 1, 50)]).first()
-    assert (row.total_payment, row.payment_type) == (Decimal("50.00"), None)
+    assert (row.total_payment, row.payment_type) == (50.0, None)
 
 
 def test_order_with_only_invalid_payments_is_absent(spark):
@@ -51,8 +49,8 @@ def test_order_with_only_invalid_payments_is_absent(spark):
 def test_two_first_payments_double_the_order(spark):
     fact = fact_of(spark, [("1", 1, "voucher", 1, 1), ("1", 1, "boleto", 1, 2)])
     assert sorted((r.payment_type, r.total_payment) for r in fact.collect()) == [
-        ("boleto", Decimal("3.00")),
-        ("voucher", Decimal("3.00")),
+        ("boleto", 3.0),
+        ("voucher", 3.0),
     ]
 
 
@@ -80,8 +78,8 @@ def test_segments_are_delivered_only_and_per_customer_id(spark):
     paid = [(str(i), 1, "voucher", 1, 100) for i in range(1, 5)]
     result = marts.customer_segments(fact_of(spark, paid, orders, customers))
     assert sorted((r.customer_id, r.total_spent, r.order_count) for r in result.collect()) == [
-        ("c1", Decimal("100.00"), 1),
-        ("c2", Decimal("200.00"), 2),
+        ("c1", 100.0, 1),
+        ("c2", 200.0, 2),
     ]
 
 
@@ -116,7 +114,7 @@ def test_leakage_labels(spark):
 
 
 def items(spark, *rows):
-    return frame(spark, "items", *[(*r, Decimal("1.00"), Decimal("0.50")) for r in rows])
+    return frame(spark, "items", *[(*r, 1.0, 0.5) for r in rows])
 
 
 def test_item_categories(spark):

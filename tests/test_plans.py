@@ -68,7 +68,7 @@ def test_fact_shuffles_each_input_once(spark, conf, supplied):
     by_order = text.count("Exchange hashpartitioning(order_id")
     by_customer = text.count("Exchange hashpartitioning(customer_id")
     assert (by_order, by_customer) == (3, 2)  # orders, totals, first payments; joined, customers
-    assert text.count("partial_sum(payment_value") == 1
+    assert text.count("partial_sum(") == 1
     assert text.count("WindowGroupLimit") == 2  # one of them before the shuffle
 
 
@@ -84,7 +84,7 @@ def skewed(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("skewed"))
     orders, lines = 60_000, 120_000
     third = "id % 3 = 0"
-    money = "cast((id * 7919 % 70000) / 100D as decimal(18,2))"
+    money = "(id * 7919 % 70000) / 100D"
     source = {
         "orders": spark.range(orders).selectExpr(
             "string(id) order_id",

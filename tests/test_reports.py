@@ -6,6 +6,7 @@ import pytest
 
 from paylens.plans.reports import REPORTS, SECTIONS, run_section
 from paylens.plans.reports.geography import regional_opportunity
+from paylens.plans.tables import ReportTables
 
 
 def order(i, paid=100.0, kind="credit_card", parts=1, person=None, **more):
@@ -289,3 +290,15 @@ def test_reports_over_empty_tables(tables):
     t = tables()
     for key, report in REPORTS.items():
         report(t).collect()
+
+
+def test_weighted_sums_leave_the_bigint_range(spark, tables, rows):
+    """A person with very many orders and segment rows."""
+    t = tables(
+        fact_payments=[order(1, 10**9, person="p", parts=9), order(2, 10**9, person="p", parts=8)],
+        revenue_by_state=[{"customer_state": "SP", "total_revenue": 1.0}],
+    )
+    weights = spark.createDataFrame([("p", "Premium", 3 * 10**18)], t.person_segments.schema)
+    t = ReportTables(t._read, lambda name, df: weights if name == "person_segments" else df)
+    assert rows(REPORTS["q3_5"](t)) == [("Premium", "credit_card", 2, 6e27, 100.0)]
+    assert rows(REPORTS["q17_5"](t))[0][4] == 8.5

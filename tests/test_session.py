@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
+import pytest
+
 from paylens.session import settings, work_dir
 
 
@@ -8,6 +12,18 @@ def test_work_dir_is_below_the_shared_folder(spark):
     assert work_dir(spark) == f"{shared}/paylens-{spark.sparkContext.applicationId}"
 
 
+def session(master, app, folder=None):
+    context = SimpleNamespace(applicationId=app, master=master, getCheckpointDir=lambda: folder)
+    return SimpleNamespace(conf={}, sparkContext=context)
+
+
+def test_no_local_folder_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_dir(session("spark://host:7077", "app-1"))
+    assert work_dir(session("spark://host:7077", "app-2", "hdfs:/c")) == "hdfs:/c/paylens-app-2"
+    assert "paylens-" in work_dir(session("local[2]", "app-3"))
+
+
 def test_partitions_follow_the_input():
     assert "spark.sql.shuffle.partitions" not in settings()
     assert settings(0)["spark.sql.shuffle.partitions"] == "8"

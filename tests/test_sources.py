@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 import pytest
 from pyspark.errors import AnalysisException
 
@@ -29,7 +27,7 @@ def test_columns_are_found_by_name_and_extra_ones_kept(spark, tmp_path):
     df = read(spark, tmp_path, HEADER + ",note\n10.50,a,1,voucher,2,x\n")
     assert dict(df.dtypes) == {**PAYMENTS.columns, "note": "string"}
     assert df.first().asDict() == {
-        "payment_value": Decimal("10.50"),
+        "payment_value": 10.5,
         "order_id": "a",
         "payment_sequential": 1,
         "payment_type": "voucher",
@@ -87,7 +85,7 @@ def test_status_distribution_leaves_out_null(spark, rows):
 
 def test_invalid_payments_are_dropped_but_null_types_kept(spark, rows):
     df = spark.createDataFrame([("voucher",), (None,), ("not_defined",)], "payment_type string")
-    assert sorted(rows(ingest.valid_payments(df)), key=str) == [(None,), ("voucher",)]
+    assert {kind for (kind,) in rows(ingest.valid_payments(df))} == {None, "voucher"}
 
 
 def test_source_counts(spark, rows):
