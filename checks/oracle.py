@@ -215,7 +215,8 @@ SELECT customer_state, total_revenue AS hv_revenue, unique_customers AS hv_custo
     WHEN total_revenue > {medium} THEN 'Medium Priority' ELSE 'Low Priority' END AS opportunity_tier
 FROM p_revenue_by_state JOIN (
   SELECT customer_state, {average("max_installments")} AS usage FROM po
-  WHERE segment <> 'Regular' AND payment_type = 'credit_card' GROUP BY ALL) USING (customer_state)"""
+  WHERE segment <> 'Regular' AND payment_type = 'credit_card' GROUP BY ALL)
+  USING (customer_state)"""
 
 
 def volume(part: str, name: str) -> str:

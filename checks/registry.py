@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,31 +29,38 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Thresholds that spread the states of the supplied data over all three tiers.
 TUNED = {"high_revenue": 110_000, "medium_revenue": 90_000, "max_installments": 8}
 
-_warehouses: dict[tuple[str, str], tuple[Warehouse, ReportTables]] = {}
+_Prepared = tuple[dict[str, DataFrame], Warehouse, ReportTables]
+_prepared_sets: dict[tuple[str, str], _Prepared] = {}
+_lock = Lock()
 
 
 def _folder(spark: SparkSession, sf_dir: str) -> str:
     return f"{work_dir(spark)}/{hashlib.sha256(sf_dir.encode()).hexdigest()[:12]}"
 
 
-def _prepared(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, ReportTables]:
+def _prepared(spark: SparkSession, sf_dir: str) -> _Prepared:
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _warehouses:
-        sources = testdata.sources(spark, sf_dir)
-        sources["payments"] = ingest.valid_payments(sources["payments"])
-        built = Warehouse(spark, sources, _folder(spark, sf_dir))
-        _warehouses[key] = (built, built.report_tables())
-    return _warehouses[key]
+    with _lock:
+        if key not in _prepared_sets:
+            raw = testdata.sources(spark, sf_dir)
+            valid = {**raw, "payments": ingest.valid_payments(raw["payments"])}
+            built = Warehouse(spark, valid, _folder(spark, sf_dir))
+            _prepared_sets[key] = (raw, built, built.report_tables())
+        return _prepared_sets[key]
 
 
-def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return _prepared(spark, sf_dir)[0]
 
 
-def report_tables(spark: SparkSession, sf_dir: str) -> ReportTables:
+def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return _prepared(spark, sf_dir)[1]
 
 
+def report_tables(spark: SparkSession, sf_dir: str) -> ReportTables:
+    return _prepared(spark, sf_dir)[2]
+
+
 def _mart(name: str) -> Query:
     return lambda spark, sf_dir: conform(warehouse(spark, sf_dir).plan(name), TABLES[name])
 
@@ -75,7 +83,7 @@ def _report(report: Callable[[ReportTables], DataFrame]) -> Query:
 
 
 def _valid_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = ingest.valid_payments(testdata.sources(spark, sf_dir)["payments"])
+    kept = ingest.valid_payments(raw_sources(spark, sf_dir)["payments"])
     return kept.drop("payment_sequential")
 
 
@@ -97,12 +105,10 @@ def _load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registered() -> dict[str, Query]:
     found: dict[str, Query] = {
         "ingest_status_distribution": lambda spark, sf_dir: ingest.status_distribution(
-            testdata.sources(spark, sf_dir)["orders"]
+            raw_sources(spark, sf_dir)["orders"]
         ),
         "ingest_valid_payments": _valid_payments,
-        "ingest_counts": lambda spark, sf_dir: ingest.source_counts(
-            testdata.sources(spark, sf_dir)
-        ),
+        "ingest_counts": lambda spark, sf_dir: ingest.source_counts(raw_sources(spark, sf_dir)),
         "publish_seller_orders_appended": _appended,
         "pipeline_load_report": _load_report,
         "report_q17_5_tuned": _report(lambda t: regional_opportunity(t, **TUNED)),

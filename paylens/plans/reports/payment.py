@@ -22,6 +22,7 @@ def methods_by_segment(t: ReportTables) -> DataFrame:
 def premium_payment_mix(t: ReportTables) -> DataFrame:
     """Orders of persons with Premium rows; an order's amount counts once per such row."""
     premium = t.person_segments.where(F.col("segment") == C.PREMIUM)
+    weighted = cents("total_payment").cast("decimal(18,0)") * F.col("weight")
     revenue = F.col("revenue")
     whole = F.sum(revenue).over(Window.partitionBy("segment"))
     return (
@@ -29,7 +30,7 @@ def premium_payment_mix(t: ReportTables) -> DataFrame:
         .groupBy("segment", "payment_type")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
-            wide_sum(cents("total_payment").cast("decimal(18,0)") * F.col("weight")).alias("revenue"),
+            wide_sum(weighted).alias("revenue"),
         )
         .select(
             "segment",

@@ -85,7 +85,8 @@ def test_segments_are_delivered_only_and_per_customer_id(spark):
 
 def test_payment_methods_keep_the_null_group(spark):
     paid = [("1", 1, None, 2, 10), ("2", 1, "voucher", 1, 1), ("3", 1, "voucher", 4, 2)]
-    result = {r.payment_type: r for r in marts.payment_method_analysis(fact_of(spark, paid)).collect()}
+    rows = marts.payment_method_analysis(fact_of(spark, paid)).collect()
+    result = {r.payment_type: r for r in rows}
     assert set(result) == {None, "voucher"}
     assert result["voucher"].total_orders == 2
     assert result["voucher"].avg_order_value == 1.5
@@ -144,7 +145,11 @@ def test_duplicate_translations_multiply_items(spark):
 def test_seller_orders_count_items(spark):
     bought = items(spark, ("1", "p", "s1"), ("1", "p", "s1"), ("2", "p", "s1"), ("3", "p", "s2"))
     orders = frame(
-        spark, "orders", ("1", "c", "delivered", ""), ("2", "c", "canceled", ""), ("3", "c", None, "")
+        spark,
+        "orders",
+        ("1", "c", "delivered", ""),
+        ("2", "c", "canceled", ""),
+        ("3", "c", None, ""),
     )
     sellers = frame(spark, "sellers", ("s1", "SP"), ("s2", "RJ"), ("s3", "MG"))
     result = {r.seller_id: r for r in marts.seller_orders(bought, orders, sellers).collect()}

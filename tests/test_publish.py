@@ -13,7 +13,10 @@ from paylens.schemas import SOURCES, TABLES
 from paylens.sources.catalog import list_published, published
 
 METHODS = TABLES["payment_method_analysis"]
-SCHEMA = "extra int, total_orders bigint, payment_type string, total_revenue decimal(28,2), avg_order_value double, avg_installments double"
+SCHEMA = (
+    "extra int, total_orders bigint, payment_type string, total_revenue decimal(28,2), "
+    "avg_order_value double, avg_installments double"
+)
 
 
 def methods(spark, *rows):
@@ -44,7 +47,8 @@ def test_narrowing_overflow_raises(spark):
 
 def test_publish_replaces_appends_and_skips(spark):
     def loaded():
-        return sorted((r.payment_type, r.total_orders) for r in published(spark, METHODS.name, "pub").collect())
+        table = published(spark, METHODS.name, "pub")
+        return sorted((r.payment_type, r.total_orders) for r in table.collect())
 
     ensure_database(spark, "pub")
     ensure_database(spark, "pub")
