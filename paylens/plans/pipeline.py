@@ -4,7 +4,6 @@ The stages pass state only through the lake folder, so each one can be run again
 
     <lake>/<source>              landed sources
     <lake>/transformed/<mart>    marts
-    <lake>/shared/<frame>        frames shared by reports
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from paylens.operators.ingest import valid_payments
 from paylens.operators.publish import ensure_database, publish_table, write_parquet
 from paylens.plans.tables import ReportTables
-from paylens.plans.warehouse import Warehouse, shared_store
+from paylens.plans.warehouse import Warehouse
 from paylens.schemas import TABLES
 from paylens.sources.catalog import DATABASE
 from paylens.sources.files import read_lake, read_optional, read_parquet, read_sources
@@ -29,7 +28,6 @@ class PipelineRun:
     """Rows written by each stage (None: skipped), and the published tables."""
 
     spark: SparkSession
-    lake_dir: str
     database: str
     landed: Rows
     transformed: Rows
@@ -44,8 +42,7 @@ class PipelineRun:
         }
 
     def report_tables(self) -> ReportTables:
-        store = shared_store(self.spark, self.lake_dir)
-        return ReportTables.from_catalog(self.spark, self.database, store)
+        return ReportTables.from_catalog(self.spark, self.database)
 
     def load_report(self) -> DataFrame:
         return self.spark.createDataFrame(list(self.loaded.items()), "table string, rows bigint")
@@ -96,4 +93,4 @@ def run_pipeline(
     landed = extract(spark, source_dir, lake_dir, multi_line)
     transformed = transform(spark, lake_dir)
     loaded = load(spark, lake_dir, database)
-    return PipelineRun(spark, lake_dir, database, landed, transformed, loaded)
+    return PipelineRun(spark, database, landed, transformed, loaded)

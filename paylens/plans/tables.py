@@ -4,17 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from threading import RLock
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylens.functions.labels import delivered
+from paylens.operators.publish import write_parquet
+from paylens.session import work_dir
 from paylens.sources import catalog
 
 Read = Callable[[str], DataFrame]
 Store = Callable[[str, DataFrame], DataFrame]
 
 
+def shared_store(spark: SparkSession, folder: str) -> Store:
+    """Writes frames shared by reports into ``folder``."""
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        path = f"{folder}/{name}"
+        write_parquet(df, path)
+        return spark.read.parquet(path)
+
+    return store
+
+
 class ReportTables:
     """Published tables by name, and two frames that many reports share.
 
@@ -34,7 +48,15 @@ class ReportTables:
     def from_catalog(
         cls, spark: SparkSession, database: str = catalog.DATABASE, store: Store | None = None
     ) -> ReportTables:
-        return cls(lambda name: catalog.published(spark, name, database), store)
+        """Tables of a database. Shared frames go to a folder of this object's own.
+
+        Make a new object after the tables were published again.
+        """
+        folder = f"{work_dir(spark)}/{database}-{uuid4().hex}"
+        return cls(
+            lambda name: catalog.published(spark, name, database),
+            store or shared_store(spark, folder),
+        )
 
     @property
     def fact(self) -> DataFrame:

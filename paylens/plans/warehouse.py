@@ -14,21 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paylens.operators.publish import publish_path, write_parquet
 from paylens.plans.marts import MARTS
-from paylens.plans.tables import ReportTables, Store
+from paylens.plans.tables import ReportTables, shared_store
 from paylens.schemas import TABLES
 
 
-def shared_store(spark: SparkSession, root: str) -> Store:
-    """Writes frames shared by reports below ``root``."""
-
-    def store(name: str, df: DataFrame) -> DataFrame:
-        path = f"{root}/shared/{name}"
-        write_parquet(df, path)
-        return spark.read.parquet(path)
-
-    return store
-
-
 class Warehouse:
     def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame | None], root: str):
         """``sources`` hold valid payments only; ``root`` is a folder all executors reach."""
@@ -66,4 +55,4 @@ class Warehouse:
             return self._tables[name]
 
     def report_tables(self) -> ReportTables:
-        return ReportTables(self.table, shared_store(self.spark, self.root))
+        return ReportTables(self.table, shared_store(self.spark, f"{self.root}/shared"))

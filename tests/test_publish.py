@@ -10,6 +10,7 @@ from paylens.plans.pipeline import load, run_pipeline
 from paylens.plans.reports import REPORTS
 from paylens.plans.tables import ReportTables
 from paylens.schemas import SOURCES, TABLES
+from paylens.session import work_dir
 from paylens.sources.catalog import list_published, published
 
 METHODS = TABLES["payment_method_analysis"]
@@ -106,9 +107,11 @@ def test_pipeline_round_trip(spark, csv_dir, tmp_path, supplied):
     again = run_pipeline(spark, str(csv_dir), str(tmp_path), "full")
     assert {name: content(df) for name, df in again.tables.items()} == first
 
-    from_catalog = ReportTables.from_catalog(spark, "full")
+    stored = run.report_tables()
+    plain = ReportTables(run.tables.__getitem__)
     for key in ("q2", "q3_5", "q17_5", "q23a"):
-        assert content(REPORTS[key](from_catalog)) == content(REPORTS[key](run.report_tables()))
+        assert content(REPORTS[key](stored)) == content(REPORTS[key](plain))
+    assert work_dir(spark) in stored.segment_orders.inputFiles()[0]
 
 
 def test_pipeline_without_optional_sources(spark, csv_dir, tmp_path):
