@@ -9,11 +9,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from functools import partial
 from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
 from paylens.operators import ingest
+from paylens.operators.jobs import together
 from paylens.operators.publish import conform, ensure_database, publish_path
 from paylens.plans.pipeline import run_pipeline
 from paylens.plans.reports import REPORTS
@@ -89,9 +91,13 @@ def _valid_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_csv_sources(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """The sources as CSV files, to be read by the pipeline."""
-    for name, df in testdata.sources(spark, sf_dir, all_numbers=True).items():
+
+    def write(name: str, df: DataFrame) -> None:
         df.write.mode("overwrite").csv(f"{folder}/{SOURCES[name].file}", header=True)
 
+    sources = testdata.sources(spark, sf_dir, all_numbers=True)
+    together(spark, {name: partial(write, name, df) for name, df in sources.items()})
+
 
 def _load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job from CSV files to catalog tables; rows loaded per table."""

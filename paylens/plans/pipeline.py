@@ -9,14 +9,16 @@ The stages pass state only through the lake folder, so each one can be run again
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from paylens.operators.ingest import valid_payments
+from paylens.operators.jobs import together
 from paylens.operators.publish import ensure_database, publish_table, write_parquet
 from paylens.plans.tables import ReportTables
 from paylens.plans.warehouse import Warehouse
-from paylens.schemas import TABLES
+from paylens.schemas import TABLES, TableSpec
 from paylens.sources.catalog import DATABASE
 from paylens.sources.files import read_lake, read_optional, read_parquet, read_sources
 
@@ -52,35 +54,36 @@ def extract(
     spark: SparkSession, source_dir: str, lake_dir: str, multi_line: bool = False
 ) -> Rows:
     """Land each source as Parquet, payments without the invalid ones."""
-    landed: Rows = {}
-    for name, df in read_sources(spark, source_dir, multi_line).items():
+
+    def land(name: str, df: DataFrame | None) -> int | None:
         if df is None:
-            landed[name] = None
-        else:
-            kept = valid_payments(df) if name == "payments" else df
-            landed[name] = write_parquet(kept, f"{lake_dir}/{name}")
-    return landed
+            return None
+        kept = valid_payments(df) if name == "payments" else df
+        return write_parquet(kept, f"{lake_dir}/{name}")
+
+    sources = read_sources(spark, source_dir, multi_line)
+    return together(spark, {name: partial(land, name, df) for name, df in sources.items()})
 
 
 def transform(spark: SparkSession, lake_dir: str) -> Rows:
     """Build the marts whose sources are in the lake."""
     warehouse = Warehouse(spark, read_lake(spark, lake_dir), lake_dir)
-    for name in TABLES:
-        warehouse.mart(name)
-    return warehouse.rows
+    together(spark, {name: partial(warehouse.mart, name) for name in TABLES})
+    return {name: warehouse.rows[name] for name in TABLES}
 
 
 def load(
     spark: SparkSession, lake_dir: str, database: str = DATABASE, append: bool = False
 ) -> Rows:
     """Publish the marts that exist; the table of a missing mart is left alone."""
+
+    def publish(spec: TableSpec) -> int | None:
+        path = f"{lake_dir}/transformed/{spec.name}"
+        mart = read_optional(lambda: read_parquet(spark, path))
+        return publish_table(spark, mart, spec, database, append)
+
     ensure_database(spark, database)
-    loaded: Rows = {}
-    for name, spec in TABLES.items():
-        path = f"{lake_dir}/transformed/{name}"
-        mart = read_optional(lambda path=path: read_parquet(spark, path))
-        loaded[name] = publish_table(spark, mart, spec, database, append)
-    return loaded
+    return together(spark, {name: partial(publish, spec) for name, spec in TABLES.items()})
 
 
 def run_pipeline(

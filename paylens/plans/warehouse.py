@@ -1,8 +1,8 @@
 """Marts and published tables of one data set, each written once and read back.
 
 Five marts and all reports depend on the order fact. Writing it cuts the lineage: later
-plans start from a scan, and an executor lost after the write costs nothing. Reports may be
-run from several threads: a lock keeps each table from being written twice.
+plans start from a scan, and an executor lost after the write costs nothing. Tables may be
+asked for from several threads: a lock keeps each one from being written twice.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ class Warehouse:
         self.spark = spark
         self.sources = sources
         self.root = root
-        self._lock = RLock()
+        self._locks = {name: RLock() for name in TABLES}
         self.rows: dict[str, int | None] = {}
         self._marts: dict[str, DataFrame | None] = {}
         self._tables: dict[str, DataFrame] = {}
@@ -35,7 +35,7 @@ class Warehouse:
 
     def mart(self, name: str) -> DataFrame | None:
         """The written mart."""
-        with self._lock:
+        with self._locks[name]:
             if name not in self._marts:
                 df, path = self.plan(name), f"{self.root}/transformed/{name}"
                 self.rows[name] = None if df is None else write_parquet(df, path)
@@ -44,7 +44,7 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         """The published table, in a folder of its own."""
-        with self._lock:
+        with self._locks[name]:
             if name not in self._tables:
                 mart = self.mart(name)
                 if mart is None:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylens import constants as C
+from paylens.operators.jobs import together
 from paylens.schemas import SOURCES, SourceSpec
 
 
@@ -60,25 +62,23 @@ def read_sources(
     spark: SparkSession, source_dir: str, multi_line: bool = False
 ) -> dict[str, DataFrame | None]:
     """All CSV sources of a folder; optional ones that are missing are None."""
-    found: dict[str, DataFrame | None] = {}
-    for spec in SOURCES.values():
-        path = f"{source_dir}/{spec.file}"
 
-        def read(path: str = path, spec: SourceSpec = spec) -> DataFrame:
-            return read_csv(spark, path, spec, multi_line)
+    def read(spec: SourceSpec) -> DataFrame:
+        return read_csv(spark, f"{source_dir}/{spec.file}", spec, multi_line)
 
-        found[spec.name] = read() if spec.required else read_optional(read)
-    return found
+    return _read_all(spark, read)
 
 
 def read_lake(spark: SparkSession, lake_dir: str) -> dict[str, DataFrame | None]:
     """All landed sources of a lake folder; optional ones that are missing are None."""
-    found: dict[str, DataFrame | None] = {}
-    for spec in SOURCES.values():
-        path = f"{lake_dir}/{spec.name}"
+    return _read_all(spark, lambda spec: read_parquet(spark, f"{lake_dir}/{spec.name}"))
 
-        def read(path: str = path) -> DataFrame:
-            return read_parquet(spark, path)
 
-        found[spec.name] = read() if spec.required else read_optional(read)
-    return found
+def _read_all(
+    spark: SparkSession, read: Callable[[SourceSpec], DataFrame]
+) -> dict[str, DataFrame | None]:
+    def one(spec: SourceSpec) -> DataFrame | None:
+        return read(spec) if spec.required else read_optional(lambda: read(spec))
+
+    # finding the columns of a source is a small job of its own
+    return together(spark, {name: partial(one, spec) for name, spec in SOURCES.items()})
