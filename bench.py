@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 ``build_*`` entries are the one-off work: the order fact and other tables written from
-the supplied data. ``pipeline_load_report`` is one run of the whole job, from writing the
+the supplied data. ``job_load_report`` is one run of the whole job, from writing the
 sources as CSV to the published tables. Every other entry is one registered query, rows
 materialised without output: one warm-up run, then the median of BENCH_RUNS runs
 (default 3).
@@ -58,7 +58,7 @@ def main() -> None:
     for name, query in sorted(registered().items()):
         if name.startswith("publish_"):
             continue
-        if name == "pipeline_load_report":
+        if name == "job_load_report":
             seconds[name] = timed(lambda: run(query(spark, sf_dir)))
             continue
         run(query(spark, sf_dir))

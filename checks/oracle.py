@@ -389,5 +389,5 @@ def statements() -> dict[str, str]:
     bodies["publish_seller_orders_appended"] = (
         "SELECT * FROM p_seller_orders UNION ALL SELECT * FROM p_seller_orders"
     )
-    bodies["pipeline_load_report"] = LOAD_REPORT
+    bodies["job_load_report"] = LOAD_REPORT
     return {name: PREFIX + body.strip() for name, body in bodies.items()}

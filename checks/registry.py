@@ -116,7 +116,7 @@ def registered() -> dict[str, Query]:
         "ingest_valid_payments": _valid_payments,
         "ingest_counts": lambda spark, sf_dir: ingest.source_counts(raw_sources(spark, sf_dir)),
         "publish_seller_orders_appended": _appended,
-        "pipeline_load_report": _load_report,
+        "job_load_report": _load_report,
         "report_q17_5_tuned": _report(lambda t: regional_opportunity(t, **TUNED)),
     }
     for name in TABLES:

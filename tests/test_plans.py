@@ -51,7 +51,7 @@ NO_BROADCAST = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"pipeline_load_report"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"job_load_report"}))
 def test_no_cross_join_and_no_python(spark, conf, name):
     conf(NO_BROADCAST)
     text = plan(QUERIES[name](spark, SF_DIR))
