@@ -11,7 +11,10 @@ Conventions that hold for every operator here:
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +41,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the Python workers, once per application."""
+    app_id = spark.sparkContext.applicationId
+    if app_id in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="paylens-"), "paylens_text.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder in ("", "llm"):
+            for name in sorted(os.listdir(os.path.join(package, folder))):
+                if name.endswith(".py"):
+                    inner = os.path.join("paylens", folder, name)
+                    out.write(os.path.join(package, folder, name), inner)
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app_id)
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
+    """doc_id and text, for operators that go on in Python."""
+    ship(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
@@ -59,3 +84,8 @@ def ascii_lower(text: Column) -> Column:
 def partitions_for(spark: SparkSession, total_bytes: int, target: int) -> int:
     """Partitions of about ``target`` bytes each, no fewer than the session's cores."""
     return max(spark.sparkContext.defaultParallelism, -(-int(total_bytes) // target), 1)
+
+
+def lower(text: str) -> str:
+    """A-Z lower-cased, nothing else changed (bytes know no other letters)."""
+    return text.encode("utf-8", "replace").lower().decode("utf-8")
