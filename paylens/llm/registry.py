@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from paylens.llm.mixing import op9_mixing
+from paylens.llm import exact_dedup, license_scan, line_dedup, mixing, quality, secret_scan
 
 
 def queries() -> dict:
-    return {"op9_mixing": op9_mixing}
+    return {
+        "op2_license_scan": license_scan.op2_license_scan,
+        "op3_secret_scan": secret_scan.op3_secret_scan,
+        "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+        "op5_line_dedup": line_dedup.op5_line_dedup,
+        "op6_quality": quality.op6_quality,
+        "op9_mixing": mixing.op9_mixing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_exact_dedup": exact_dedup.ORACLE, "op5_line_dedup": line_dedup.ORACLE}
