@@ -11,11 +11,13 @@ Conventions that hold for every operator here:
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
 import zipfile
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,3 +91,19 @@ def partitions_for(spark: SparkSession, total_bytes: int, target: int) -> int:
 def lower(text: str) -> str:
     """A-Z lower-cased, nothing else changed (bytes know no other letters)."""
     return text.encode("utf-8", "replace").lower().decode("utf-8")
+
+
+class Hashes:
+    """64-bit hashes of words, remembered up to a bound."""
+
+    def __init__(self, bound: int = 500_000):
+        self.known: dict[bytes, int] = {}
+        self.bound = bound
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        known = self.known
+        if len(known) > self.bound:
+            known.clear()
+        for word in set(words).difference(known):
+            known[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "big")
+        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
