@@ -1,18 +1,57 @@
-"""The corpus pipeline: documents filtered, deduplicated and mixed, stage by stage."""
+"""The corpus pipeline: documents judged, deduplicated, decontaminated and mixed.
+
+Every stage reads all that the one before it kept and passes on the columns of ``documents``; the
+last adds ``mix_copy``, the number of the copy, as documents may be taken more than once. Nulls,
+empty texts and repeated rows are treated as each operator's module says.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from paylens.llm.common import read_table, saved
+from paylens.llm.decontamination import drop_leaks
+from paylens.llm.exact_dedup import keep_first
 from paylens.llm.mixing import mix_documents
+from paylens.llm.near_dedup import keep_one
+from paylens.llm.quality import keep_good
+
+NEAR_SIMILARITY = 0.8
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    return keep_good(docs, read_table(spark, sf_dir, "labels"))
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first of all documents with the same text."""
+    return keep_first(docs)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near duplicates."""
+    return keep_one(docs, similarity=NEAR_SIMILARITY)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak no benchmark item."""
+    return drop_leaks(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
     return mix_documents(docs)
 
 
-STAGES = [("mixing sources to target weights", mixing_stage)]
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("exact dedup", exact_stage),
+    ("MinHash near-dedup", near_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("mixing sources to target weights", mixing_stage),
+]
+# A trained classifier, minwise trees and hashed draws cannot be written in SQL.
 ORACLE_SQL = None
 
 

@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
-from paylens.llm import exact_dedup, license_scan, line_dedup, mixing, quality, secret_scan
+from paylens.llm import (
+    decontamination,
+    exact_dedup,
+    license_scan,
+    line_dedup,
+    lm_scoring,
+    mixing,
+    near_dedup,
+    quality,
+    secret_scan,
+    suffix_dedup,
+)
 
 
 def queries() -> dict:
     return {
+        "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
         "op2_license_scan": license_scan.op2_license_scan,
         "op3_secret_scan": secret_scan.op3_secret_scan,
         "op4_exact_dedup": exact_dedup.op4_exact_dedup,
         "op5_line_dedup": line_dedup.op5_line_dedup,
         "op6_quality": quality.op6_quality,
+        "op7_lm_scoring": lm_scoring.op7_lm_scoring,
+        "op8_decontamination": decontamination.op8_decontamination,
         "op9_mixing": mixing.op9_mixing,
+        "op10_near_dedup": near_dedup.op10_near_dedup,
     }
 
 
