@@ -1,0 +1,95 @@
+from __future__ import annotations
+
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from paylens.llm.lm_scoring import discounts, held_out, score, train
+from pyspark.sql import functions as F
+
+
+def tokens(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return [*low.encode().split(), "end"]
+
+
+class Brute:
+    def __init__(self, texts):
+        self.count, self.pairs = Counter(), Counter()
+        for text in texts:
+            before = "<s>"
+            for token in tokens(text):
+                self.count[token] += 1
+                self.pairs[before, token] += 1
+                before = token
+        self.total, self.follow, self.preceded = Counter(), defaultdict(list), Counter()
+        for (a, b), n in self.pairs.items():
+            self.total[a] += n
+            self.follow[a].append(n)
+            self.preceded[b] += 1
+        numbers = Counter(self.pairs.values())
+        self.d2 = discounts([numbers[i] for i in range(1, 5)])
+        numbers = Counter(self.preceded.values())
+        self.d1 = discounts([numbers[i] for i in range(1, 5)])
+        self.n = sum(self.count.values())
+
+    def word(self, w):
+        kinds = len(self.pairs)
+        if not kinds:
+            return 1 / (len(self.count) + 1)
+        rest = sum(self.d1[min(k, 3)] for k in self.preceded.values()) / kinds
+        k = self.preceded[w]
+        return max(k - self.d1[min(k, 3)], 0) / kinds + rest / (len(self.count) + 1)
+
+    def pair(self, a, b):
+        if not self.total[a]:
+            return self.word(b)
+        n = self.pairs[a, b]
+        rest = sum(self.d2[min(x, 3)] for x in self.follow[a]) / self.total[a]
+        return max(n - self.d2[min(n, 3)], 0) / self.total[a] + rest * self.word(b)
+
+    def row(self, text):
+        ts = tokens(text)
+        v = len(self.count)
+        base = sum(math.log10((self.count[t] + 0.1) / (self.n + 0.1 * (v + 1))) for t in ts)
+        own = sum(math.log10(self.pair(a, b)) for a, b in zip(["<s>", *ts], ts))
+        return len(ts), sum(self.count[t] > 0 for t in ts), self.n, base, own
+
+
+def is_held(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 10 == 0
+
+
+@pytest.mark.parametrize("options", [{}, {"block": 1000, "shard": 800}])
+def test_scores(table, corpus, with_clashes, options):
+    rows = corpus(31, n=120)
+    docs = with_clashes(table(rows))
+    model = train(docs.filter(~held_out(F.col("doc_id"))), **options)
+    kept = {k: v for k, v in options.items() if k == "block"}
+    got = [tuple(r) for r in score(docs, model, **kept).collect()]
+    brute = Brute(t for i, t in rows if not is_held(i))
+    expected = [(i, is_held(i), *brute.row(t)) for i, t in rows]
+
+    def key(r):
+        return (r[0] is None, r[0], r[2], round(r[5], 6))
+
+    assert any(r[1] for r in got) and len(got) == len(expected)
+    for a, b in zip(sorted(got, key=key), sorted(expected, key=key)):
+        assert a[:5] == b[:5]
+        assert a[5:] == pytest.approx(b[5:], rel=1e-9)
+
+
+def test_probabilities_add_up():
+    brute = Brute(["a b a c", "a b", "c b d", "d d d a"])
+    words = [*brute.count, "unknown"]
+    for before in ["<s>", "a", "d", "never"]:
+        assert sum(brute.pair(before, w) for w in words) == pytest.approx(1)
+
+
+def test_empty(table):
+    model = train(table([]))
+    assert score(table([]), model).count() == 0
+    (row,) = score(table([(1, None)]), model).collect()
+    assert row["n_tokens"] == 1 and row["n_known"] == 0 and row["score"] == 0
