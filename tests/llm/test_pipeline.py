@@ -56,7 +56,7 @@ def odd_dir(spark, table, corpus, with_clashes, tmp_path_factory):
     folder = tmp_path_factory.mktemp("odd")
     with_clashes(table(corpus(41))).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(
-        [(1, 0, 0), (3, 1, 0), (None, 1, 1), (6, None, 0)], "doc_id long, quality int, toxic int"
+        [(1, 1, 0), (3, 1, 0), (None, 1, 1), (6, None, 0)], "doc_id long, quality int, toxic int"
     ).write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([(1, None), (None, "x y")], "item_id long, text string").write.parquet(
         f"{folder}/benchmark.parquet"
