@@ -9,7 +9,7 @@ from __future__ import annotations
 
 
 def money(x: str) -> str:
-    return f"CAST({x} AS DECIMAL(18,2))"
+    return f"CAST({x} AS DECIMAL(24,6))"
 
 
 def total(x: str) -> str:
@@ -45,7 +45,7 @@ all_payments AS (
       WHEN l_returnflag = 'N' THEN 'debit_card' ELSE 'credit_card' END AS payment_type,
     CASE WHEN l_returnflag = 'N' THEN 1
       ELSE 1 + CAST(l_quantity AS INTEGER) % 10 END AS payment_installments,
-    CAST(FLOOR(l_extendedprice / 10) / 100 AS DECIMAL(18,2)) AS payment_value
+    FLOOR(l_extendedprice / 10) / 100 AS payment_value
   FROM lineitem),
 payments AS (SELECT * FROM all_payments WHERE payment_type IS DISTINCT FROM 'not_defined'),
 src_orders AS (
@@ -66,8 +66,7 @@ customers AS (
 items AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id,
     CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
-    CAST(FLOOR(l_extendedprice / 2) / 100 AS DECIMAL(18,2)) AS price,
-    CAST(l_quantity / 2 AS DECIMAL(18,2)) AS freight_value
+    FLOOR(l_extendedprice / 2) / 100 AS price, l_quantity / 2 AS freight_value
   FROM lineitem),
 sellers AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, n_name AS seller_state
@@ -86,7 +85,7 @@ fact_payments AS MATERIALIZED (
   SELECT order_id, customer_id, order_status, order_purchase_timestamp,
     CAST(paid AS DOUBLE) AS total_payment, CAST(parts AS INTEGER) AS max_installments,
     payment_type, customer_unique_id, customer_state
-  FROM (SELECT order_id, SUM(payment_value) AS paid, MAX(payment_installments) AS parts
+  FROM (SELECT order_id, SUM({money("payment_value")}) AS paid, MAX(payment_installments) AS parts
         FROM payments GROUP BY ALL)
   JOIN src_orders USING (order_id)
   JOIN customers USING (customer_id)
@@ -215,7 +214,7 @@ SELECT customer_state, total_revenue AS hv_revenue, unique_customers AS hv_custo
     WHEN total_revenue > {medium} THEN 'Medium Priority' ELSE 'Low Priority' END AS opportunity_tier
 FROM p_revenue_by_state JOIN (
   SELECT customer_state, {average("max_installments")} AS usage FROM po
-  WHERE segment <> 'Regular' AND payment_type = 'credit_card' GROUP BY ALL)
+  WHERE segment IN ('Premium', 'High') AND payment_type = 'credit_card' GROUP BY ALL)
   USING (customer_state)"""
 
 
@@ -363,7 +362,8 @@ INGEST = {
 SELECT order_status, COUNT(*) AS orders FROM src_orders
 WHERE order_status IS NOT NULL GROUP BY ALL""",
     "ingest_valid_payments": """
-SELECT order_id, payment_type, payment_installments, CAST(payment_value AS DOUBLE) AS payment_value
+SELECT order_id, payment_sequential, payment_type, payment_installments,
+  CAST(payment_value AS DOUBLE) AS payment_value
 FROM payments""",
     "ingest_counts": """
 SELECT 'orders' AS source, COUNT(*) AS rows_read, COUNT(*) AS rows_kept FROM src_orders
@@ -380,14 +380,39 @@ LOAD_REPORT = " UNION ALL ".join(
 )
 
 
+# Payments of four decimals, for the same marts.
+FINE_PREFIX = PREFIX.replace(
+    "FLOOR(l_extendedprice / 10) / 100 AS payment_value",
+    "ROUND(l_extendedprice * (1 - l_discount), 4) AS payment_value",
+)
+FINE = ("fact_payments", "customer_segments", "revenue_by_state")
+NEED_OPTIONAL = ("order_items_products", "seller_orders")
+
+
 def statements() -> dict[str, str]:
     bodies = {f"mart_{name}": f"SELECT * FROM {name}" for name in COLUMNS}
-    bodies |= {f"publish_{name}_normalized": f"SELECT * FROM p_{name}" for name in COLUMNS}
+    for prefix, suffix in (("publish_", "_normalized"), ("publish_table_", ""), ("job_table_", "")):
+        bodies |= {f"{prefix}{name}{suffix}": f"SELECT * FROM p_{name}" for name in COLUMNS}
     bodies |= {f"report_{key}": sql for key, sql in REPORTS.items()}
     bodies["report_q17_5_tuned"] = regional(110000, 90000, 8)
     bodies |= INGEST
-    bodies["publish_seller_orders_appended"] = (
-        "SELECT * FROM p_seller_orders UNION ALL SELECT * FROM p_seller_orders"
-    )
+    for place in ("publish_seller_orders_appended", "publish_table_seller_orders_appended"):
+        bodies[place] = "SELECT * FROM p_seller_orders UNION ALL SELECT * FROM p_seller_orders"
+    bodies["mart_order_items_products_untranslated"] = """
+SELECT order_id, product_id, seller_id, price, freight_value, product_category_name AS category
+FROM items LEFT JOIN products USING (product_id)"""
     bodies["job_load_report"] = LOAD_REPORT
-    return {name: PREFIX + body.strip() for name, body in bodies.items()}
+    bodies["job_landed_payments"] = INGEST["ingest_valid_payments"]
+    bodies["job_ingest_counts"] = INGEST["ingest_counts"]
+    bodies["job_ingest_statuses"] = INGEST["ingest_status_distribution"]
+    bodies["job_partial_revenue_by_state"] = "SELECT * FROM p_revenue_by_state"
+    bodies["job_partial_tables"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", COUNT(*) AS rows FROM {name}"
+        for name in COLUMNS
+        if name not in NEED_OPTIONAL
+    )
+    found = {name: PREFIX + body.strip() for name, body in bodies.items()}
+    for name in FINE:
+        found[f"mart_{name}_fine"] = FINE_PREFIX + f"SELECT * FROM {name}"
+    found["report_q2_fine"] = FINE_PREFIX + REPORTS["q2"].strip()
+    return found

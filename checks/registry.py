@@ -9,15 +9,17 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paylens.operators import ingest
 from paylens.operators.jobs import together
-from paylens.operators.publish import conform, ensure_database, publish_path
-from paylens.plans.pipeline import run_pipeline
+from paylens.operators.publish import conform, ensure_database, publish_path, publish_table
+from paylens.plans.marts import order_items_products
+from paylens.plans.pipeline import PipelineRun, run_pipeline
 from paylens.plans.reports import REPORTS
 from paylens.plans.reports.geography import regional_opportunity
 from paylens.plans.tables import ReportTables
@@ -25,6 +27,7 @@ from paylens.plans.warehouse import Warehouse
 from paylens.schemas import SOURCES, TABLES
 from paylens.session import work_dir
 from paylens.sources import testdata
+from paylens.sources.catalog import published
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,27 +88,129 @@ def _report(report: Callable[[ReportTables], DataFrame]) -> Query:
 
 
 def _valid_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = ingest.valid_payments(raw_sources(spark, sf_dir)["payments"])
-    return kept.drop("payment_sequential")
+    return ingest.valid_payments(testdata.sources(spark, sf_dir, all_numbers=True)["payments"])
 
 
-def write_csv_sources(spark: SparkSession, sf_dir: str, folder: str) -> None:
+def write_csv_sources(spark: SparkSession, sf_dir: str, folder: str, optional: bool = True) -> None:
     """The sources as CSV files, to be read by the pipeline."""
 
     def write(name: str, df: DataFrame) -> None:
         df.write.mode("overwrite").csv(f"{folder}/{SOURCES[name].file}", header=True)
 
     sources = testdata.sources(spark, sf_dir, all_numbers=True)
-    together(spark, {name: partial(write, name, df) for name, df in sources.items()})
+    wanted = {name: df for name, df in sources.items() if optional or SOURCES[name].required}
+    together(spark, {name: partial(write, name, df) for name, df in wanted.items()})
+
+
+def _job(spark: SparkSession, sf_dir: str, optional: bool = True) -> PipelineRun:
+    """The whole job from CSV files to catalog tables, run anew."""
+    folder = f"{_folder(spark, sf_dir)}/{'job' if optional else 'partial'}"
+    write_csv_sources(spark, sf_dir, f"{folder}/csv", optional)
+    database = f"paylens_{hashlib.sha256(folder.encode()).hexdigest()[:12]}"
+    ensure_database(spark, database, f"{folder}/{database}")
+    return run_pipeline(spark, f"{folder}/csv", f"{folder}/lake", database)
+
+
+_runs: dict[tuple[str, str, bool], PipelineRun] = {}
+
+
+def finished_job(spark: SparkSession, sf_dir: str, optional: bool = True) -> PipelineRun:
+    """The job's last run on this data in this application."""
+    key = (spark.sparkContext.applicationId, sf_dir, optional)
+    with _lock:
+        if key not in _runs:
+            _runs[key] = _job(spark, sf_dir, optional)
+        return _runs[key]
 
 
 def _load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole job from CSV files to catalog tables; rows loaded per table."""
+    """Rows loaded per table by a run of its own."""
+    return _job(spark, sf_dir).load_report()
+
+
+def _job_table(name: str) -> Query:
+    return lambda spark, sf_dir: finished_job(spark, sf_dir).tables[name]
+
+
+def _landed_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    finished_job(spark, sf_dir)
+    return spark.read.parquet(f"{_folder(spark, sf_dir)}/job/lake/payments")
+
+
+def _statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = finished_job(spark, sf_dir).extracted.statuses
+    return spark.createDataFrame(list(found.items()), "order_status string, orders bigint")
+
+
+def _partial_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the tables that a job without the optional sources has published."""
+    tables = finished_job(spark, sf_dir, optional=False).tables
+    counts = [
+        df.agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows"))
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _reloaded(name: str) -> Query:
+    """A catalog table, read back after a reload over older rows."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        database = _catalog(spark, sf_dir)
+        mart, spec = warehouse(spark, sf_dir).mart(name), TABLES[name]
+        publish_table(spark, mart, spec, database)
+        publish_table(spark, mart, spec, database, append=True)
+        publish_table(spark, mart, spec, database)
+        return published(spark, name, database)
+
+    return query
+
+
+def _catalog_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database, name = f"{_catalog(spark, sf_dir)}_twice", "seller_orders"
+    ensure_database(spark, database, f"{_folder(spark, sf_dir)}/{database}")
+    mart = warehouse(spark, sf_dir).mart(name)
+    publish_table(spark, mart, TABLES[name], database)
+    publish_table(spark, mart, TABLES[name], database, append=True)
+    return published(spark, name, database)
+
+
+def _catalog(spark: SparkSession, sf_dir: str) -> str:
     folder = _folder(spark, sf_dir)
-    write_csv_sources(spark, sf_dir, f"{folder}/csv")
-    database = f"paylens_{hashlib.sha256(folder.encode()).hexdigest()[:12]}"
+    database = f"paylens_tables_{hashlib.sha256(folder.encode()).hexdigest()[:12]}"
     ensure_database(spark, database, f"{folder}/{database}")
-    return run_pipeline(spark, f"{folder}/csv", f"{folder}/lake", database).load_report()
+    return database
+
+
+_fine: dict[tuple[str, str], Warehouse] = {}
+
+
+def fine_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The warehouse over payments with amounts of four decimals."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _lock:
+        if key not in _fine:
+            raw = testdata.sources(spark, sf_dir, fine=True)
+            valid = {**raw, "payments": ingest.valid_payments(raw["payments"])}
+            _fine[key] = Warehouse(spark, valid, f"{_folder(spark, sf_dir)}/fine")
+        return _fine[key]
+
+
+def _fine_mart(name: str) -> Query:
+    return lambda spark, sf_dir: conform(fine_warehouse(spark, sf_dir).plan(name), TABLES[name])
+
+
+def _fine_q2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return REPORTS["q2"](fine_warehouse(spark, sf_dir).report_tables())
+
+
+def _untranslated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_sources(spark, sf_dir)
+    mart = order_items_products(raw["items"], raw["products"], None)
+    return conform(mart, TABLES["order_items_products"])
+
+
+FINE = ("fact_payments", "customer_segments", "revenue_by_state")
 
 
 def registered() -> dict[str, Query]:
@@ -117,11 +222,25 @@ def registered() -> dict[str, Query]:
         "ingest_counts": lambda spark, sf_dir: ingest.source_counts(raw_sources(spark, sf_dir)),
         "publish_seller_orders_appended": _appended,
         "job_load_report": _load_report,
+        "job_landed_payments": _landed_payments,
+        "job_ingest_counts": lambda spark, sf_dir: finished_job(spark, sf_dir).ingest_report(),
+        "job_ingest_statuses": _statuses,
+        "job_partial_tables": _partial_tables,
+        "job_partial_revenue_by_state": lambda spark, sf_dir: finished_job(
+            spark, sf_dir, optional=False
+        ).tables["revenue_by_state"],
+        "mart_order_items_products_untranslated": _untranslated,
+        "publish_table_seller_orders_appended": _catalog_appended,
+        "report_q2_fine": _fine_q2,
         "report_q17_5_tuned": _report(lambda t: regional_opportunity(t, **TUNED)),
     }
     for name in TABLES:
         found[f"mart_{name}"] = _mart(name)
         found[f"publish_{name}_normalized"] = _published(name)
+        found[f"publish_table_{name}"] = _reloaded(name)
+        found[f"job_table_{name}"] = _job_table(name)
+    for name in FINE:
+        found[f"mart_{name}_fine"] = _fine_mart(name)
     for key, report in REPORTS.items():
         found[f"report_{key}"] = _report(report)
     return found

@@ -5,7 +5,8 @@ from __future__ import annotations
 import argparse
 
 from paylens.plans.pipeline import extract, load, transform
-from paylens.session import build_session
+from paylens.schemas import SOURCES
+from paylens.session import TARGET_PARTITION_BYTES, build_session, fit_partitions, size_of
 from paylens.sources.catalog import DATABASE
 
 STAGES = ("extract", "transform", "load")
@@ -20,14 +21,37 @@ def main(argv: list[str] | None = None) -> dict[str, dict[str, int | None]]:
     parser.add_argument("--database", default=DATABASE)
     parser.add_argument("--stages", nargs="+", choices=STAGES, default=STAGES)
     parser.add_argument(
-        "--input-gb", type=float, help="size of the sources, sets the shuffle partitions"
+        "--input-gb",
+        type=float,
+        help="size of the sources, sets the shuffle partitions (default: that of their files)",
+    )
+    parser.add_argument(
+        "--partition-mb",
+        type=float,
+        default=TARGET_PARTITION_BYTES / 2**20,
+        help="input per shuffle partition",
     )
     parser.add_argument("--multi-line", action="store_true", help="CSV fields contain line breaks")
     args = parser.parse_args(argv)
 
-    spark = build_session(input_bytes=int(args.input_gb * 1e9) if args.input_gb else None)
+    per_partition = int(args.partition_mb * 2**20)
+    spark = build_session(partition_bytes=per_partition)
+    files = [f"{args.source}/{s.file}" for s in SOURCES.values()]
+    size = int(args.input_gb * 1e9) if args.input_gb else size_of(spark, *files)
+    if size:
+        fit_partitions(spark, size, per_partition)
+
+    def report_extract() -> dict[str, int | None]:
+        done = extract(spark, args.source, args.lake, args.multi_line)
+        for status, n in done.statuses.items():
+            print(f"status {status}: {n}")
+        for name, x in done.sources.items():
+            if x:
+                print(f"read {name}: {x.rows_read}, kept {x.rows_kept}")
+        return done.rows
+
     stages = {
-        "extract": lambda: extract(spark, args.source, args.lake, args.multi_line),
+        "extract": report_extract,
         "transform": lambda: transform(spark, args.lake),
         "load": lambda: load(spark, args.lake, args.database),
     }

@@ -1,8 +1,9 @@
 """Row counts, exact money sums and rounded figures.
 
-Amounts are doubles with two decimals. They are summed as whole cents, so that a total does
-not depend on the order in which partitions are merged, and every figure rounded to two
-places is rounded as a decimal, so that 1.005 is rounded the way it is written.
+Amounts are doubles that stand for decimals of at most ``MONEY_SCALE`` places; ingest fails on
+any other (``operators/ingest.py``). They are summed as such decimals, so that no digit is lost
+and a total does not depend on the order in which partitions are merged. Figures rounded to two
+places are rounded as decimals, so that 1.005 is rounded the way it is written.
 """
 
 from __future__ import annotations
@@ -10,22 +11,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from paylens.schemas import MONEY_SCALE
+
 
 def n_rows() -> Column:
     return F.count(F.lit(1))
 
 
-def cents(name: str) -> Column:
-    return F.rint(F.col(name) * 100).cast("bigint")
+def exact(name: str) -> Column:
+    """The decimal that an amount column stands for."""
+    return F.col(name).cast(f"decimal(24,{MONEY_SCALE})")
+
+
+def fits(value: Column) -> Column:
+    """Whether an amount has no more decimals than can be summed; NULL fits."""
+    return F.coalesce(value.cast(f"decimal(24,{MONEY_SCALE})").cast("double") == value, F.lit(True))
 
 
-def amount(in_cents: Column) -> Column:
-    return in_cents.cast("double") / 100
+def amount(decimal: Column) -> Column:
+    return decimal.cast("double")
 
 
 def total(name: str) -> Column:
-    """Exact sum of an amount column in cents; NULL over no rows."""
-    return F.sum(cents(name))
+    """Exact sum of an amount column as a decimal; NULL over no rows."""
+    return F.sum(exact(name))
 
 
 def total_value(name: str) -> Column:

@@ -1,7 +1,7 @@
 """Parts of the purchase time, which is published as 'yyyy-MM-dd HH:mm:ss' text.
 
 The text has no zone, so it is read without one: results do not depend on the session
-time zone. Text that is not a timestamp gives NULL.
+time zone. No purchase time is NULL or blank text; any other text in another format raises.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PURCHASED = "order_purchase_timestamp"
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def has_time() -> Column:
@@ -17,7 +18,8 @@ def has_time() -> Column:
 
 
 def purchase_time() -> Column:
-    return F.col(PURCHASED).try_cast("timestamp_ntz")
+    """NULL where there is no time."""
+    return F.when(has_time(), F.to_timestamp_ntz(F.col(PURCHASED), F.lit(TIME_FORMAT)))
 
 
 def month() -> Column:

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from paylens import constants as C
+from paylens.functions.figures import fits
+from paylens.operators.publish import write_parquet
+from paylens.schemas import MONEY_SCALE, SourceSpec
 
 
 def status_distribution(orders: DataFrame) -> DataFrame:
@@ -42,3 +46,28 @@ def source_counts(sources: Mapping[str, DataFrame | None]) -> DataFrame:
 
     parts = [counts(name, df) for name, df in sources.items() if df is not None]
     return reduce(DataFrame.unionByName, parts)
+
+
+@dataclass(frozen=True)
+class Landed:
+    rows_read: int
+    rows_kept: int
+
+
+def land(df: DataFrame, spec: SourceSpec, path: str) -> Landed:
+    """Write a source as Parquet, payments without the invalid ones.
+
+    Rows are counted, and amounts checked, while they are written. Amounts with more decimals than
+    sums are exact to fail the landing with their number; nothing is rounded.
+    """
+    seen = Observation()
+    misfits = [F.count_if(~fits(F.col(c))).alias(c) for c in spec.money]
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows_read"), *misfits)
+    kept = write_parquet(valid_payments(watched) if spec.name == "payments" else watched, path)
+    found = seen.get
+    for column in spec.money:
+        if found[column]:
+            raise ValueError(
+                f"{spec.name}: {found[column]} amounts in {column} do not fit {MONEY_SCALE} decimals"
+            )
+    return Landed(found["rows_read"], kept)

@@ -13,10 +13,12 @@ T = TypeVar("T")
 AT_ONCE = 4
 
 
-def together(spark: SparkSession, work: Mapping[str, Callable[[], T]]) -> dict[str, T]:
-    """Run independent jobs, a few at a time, so that one job's last tasks do not leave the
-    cluster idle. Results are in the order of ``work``; the first error is raised."""
-    with ThreadPoolExecutor(AT_ONCE) as pool:
+def together(
+    spark: SparkSession, work: Mapping[str, Callable[[], T]], at_once: int = AT_ONCE
+) -> dict[str, T]:
+    """Run independent jobs, ``at_once`` at a time, so that one job's last tasks do not leave
+    the cluster idle. Results are in the order of ``work``; the first error is raised."""
+    with ThreadPoolExecutor(at_once) as pool:
         running = {
             name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in work.items()
         }

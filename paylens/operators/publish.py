@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from paylens.schemas import TableSpec
-from paylens.sources.catalog import DATABASE
+from paylens.sources.catalog import DATABASE, forget_shared
 
 
 def write_parquet(
@@ -61,13 +61,19 @@ def publish_table(
     """Publish into a catalog table, creating it if absent, and return the rows loaded.
 
     The rows replace those of the table, or are added with ``append``. Without a mart
-    (None) nothing happens and an earlier table stays as it is.
+    (None) nothing happens and an earlier table stays as it is. A table that exists with
+    other columns, in another order or with other types raises before anything is changed.
     """
     if df is None:
         return None
     ensure_database(spark, database)
     table = f"`{database}`.`{spec.name}`"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({spec.ddl}) USING parquet")
+    found, wanted = spark.table(table).dtypes, list(spec.columns.items())
+    if found != wanted:
+        raise ValueError(f"{table} has columns {found}, but {wanted} are to be loaded")
+    if spec.name in ("fact_payments", "customer_segments"):
+        forget_shared(spark, database)
     rows = Observation()
     (
         normalise(df, spec)

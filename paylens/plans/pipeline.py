@@ -4,37 +4,65 @@ The stages pass state only through the lake folder, so each one can be run again
 
     <lake>/<source>              landed sources
     <lake>/transformed/<mart>    marts
+    <lake>/manifest/<stage>      what the last run of a stage has written
+
+A source or mart that the last run did not write counts as missing, even if files of an earlier
+run are still there.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylens.operators.ingest import valid_payments
+from paylens.operators.ingest import Landed, land, status_distribution
 from paylens.operators.jobs import together
-from paylens.operators.publish import ensure_database, publish_table, write_parquet
-from paylens.plans.tables import ReportTables
+from paylens.operators.manifest import Rows, read_manifest, write_manifest
+from paylens.operators.publish import ensure_database, publish_table
+from paylens.plans.tables import ReportTables, refresh_shared
 from paylens.plans.warehouse import Warehouse
-from paylens.schemas import TABLES, TableSpec
+from paylens.schemas import SOURCES, TABLES, TableSpec
 from paylens.sources.catalog import DATABASE
-from paylens.sources.files import read_lake, read_optional, read_parquet, read_sources
+from paylens.sources.files import read_lake, read_parquet, read_sources
+
+# Marts built from the written order fact; the others need sources only.
+FROM_FACT = (
+    "customer_segments",
+    "revenue_by_state",
+    "installment_analysis",
+    "payment_method_analysis",
+    "revenue_leakage",
+)
+
+
+@dataclass
+class Extracted:
+    """Rows read and kept per source (None: not there), and orders per status."""
+
+    sources: dict[str, Landed | None]
+    statuses: dict[str, int] = field(default_factory=dict)
 
-Rows = dict[str, int | None]
+    @property
+    def rows(self) -> Rows:
+        return {name: x and x.rows_kept for name, x in self.sources.items()}
 
 
 @dataclass
 class PipelineRun:
-    """Rows written by each stage (None: skipped), and the published tables."""
+    """What each stage has written (None: skipped), and the published tables."""
 
     spark: SparkSession
     database: str
-    landed: Rows
+    extracted: Extracted
     transformed: Rows
     loaded: Rows
 
+    @property
+    def landed(self) -> Rows:
+        return self.extracted.rows
+
     @property
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -49,41 +77,68 @@ class PipelineRun:
     def load_report(self) -> DataFrame:
         return self.spark.createDataFrame(list(self.loaded.items()), "table string, rows bigint")
 
+    def ingest_report(self) -> DataFrame:
+        """Rows read and kept of each source that was there."""
+        rows = [
+            (name, x.rows_read, x.rows_kept) for name, x in self.extracted.sources.items() if x
+        ]
+        return self.spark.createDataFrame(rows, "source string, rows_read bigint, rows_kept bigint")
+
 
 def extract(
     spark: SparkSession, source_dir: str, lake_dir: str, multi_line: bool = False
-) -> Rows:
+) -> Extracted:
     """Land each source as Parquet, payments without the invalid ones."""
 
-    def land(name: str, df: DataFrame | None) -> int | None:
-        if df is None:
-            return None
-        kept = valid_payments(df) if name == "payments" else df
-        return write_parquet(kept, f"{lake_dir}/{name}")
+    def one(name: str, df: DataFrame | None) -> Landed | None:
+        return None if df is None else land(df, SOURCES[name], f"{lake_dir}/{name}")
 
+    write_manifest(spark, lake_dir, "extract", {})
     sources = read_sources(spark, source_dir, multi_line)
-    return together(spark, {name: partial(land, name, df) for name, df in sources.items()})
+    done = Extracted(together(spark, {name: partial(one, name, df) for name, df in sources.items()}))
+    orders = read_parquet(spark, f"{lake_dir}/orders")
+    done.statuses = {r["order_status"]: r["orders"] for r in status_distribution(orders).collect()}
+    write_manifest(spark, lake_dir, "extract", done.rows)
+    return done
 
 
 def transform(spark: SparkSession, lake_dir: str) -> Rows:
-    """Build the marts whose sources are in the lake."""
-    warehouse = Warehouse(spark, read_lake(spark, lake_dir), lake_dir)
-    together(spark, {name: partial(warehouse.mart, name) for name in TABLES})
-    return {name: warehouse.rows[name] for name in TABLES}
+    """Build the marts whose sources were landed. Those that need no fact run beside it."""
+    landed = [name for name, n in read_manifest(spark, lake_dir, "extract").items() if n is not None]
+    warehouse = Warehouse(spark, read_lake(spark, lake_dir, landed), lake_dir)
+    write_manifest(spark, lake_dir, "transform", {})
+
+    def fact_first() -> None:
+        warehouse.mart("fact_payments")
+        together(spark, {name: partial(warehouse.mart, name) for name in FROM_FACT})
+
+    alone = [name for name in TABLES if name not in ("fact_payments", *FROM_FACT)]
+    together(
+        spark,
+        {"fact": fact_first, **{name: partial(warehouse.mart, name) for name in alone}},
+    )
+    rows = {name: warehouse.rows[name] for name in TABLES}
+    write_manifest(spark, lake_dir, "transform", rows)
+    return rows
 
 
 def load(
     spark: SparkSession, lake_dir: str, database: str = DATABASE, append: bool = False
 ) -> Rows:
-    """Publish the marts that exist; the table of a missing mart is left alone."""
+    """Publish the marts that were built; the table of a missing mart is left alone."""
+    built = read_manifest(spark, lake_dir, "transform")
 
     def publish(spec: TableSpec) -> int | None:
-        path = f"{lake_dir}/transformed/{spec.name}"
-        mart = read_optional(lambda: read_parquet(spark, path))
+        if built.get(spec.name) is None:
+            return None
+        mart = read_parquet(spark, f"{lake_dir}/transformed/{spec.name}")
         return publish_table(spark, mart, spec, database, append)
 
     ensure_database(spark, database)
-    return together(spark, {name: partial(publish, spec) for name, spec in TABLES.items()})
+    rows = together(spark, {name: partial(publish, spec) for name, spec in TABLES.items()})
+    if any(n is not None for n in rows.values()):
+        refresh_shared(spark, database)
+    return rows
 
 
 def run_pipeline(
@@ -93,7 +148,7 @@ def run_pipeline(
     database: str = DATABASE,
     multi_line: bool = False,
 ) -> PipelineRun:
-    landed = extract(spark, source_dir, lake_dir, multi_line)
+    extracted = extract(spark, source_dir, lake_dir, multi_line)
     transformed = transform(spark, lake_dir)
     loaded = load(spark, lake_dir, database)
-    return PipelineRun(spark, database, landed, transformed, loaded)
+    return PipelineRun(spark, database, extracted, transformed, loaded)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from paylens import constants as C
 from paylens.functions.figures import (
     amount,
-    cents,
+    exact,
     mean,
     n_rows,
     percent,
@@ -45,7 +45,7 @@ def hv_concentration(t: ReportTables, top: int = 15) -> DataFrame:
 
 
 def state_opportunity(t: ReportTables) -> DataFrame:
-    hv_revenue = F.sum(F.when(high_value(), cents("total_spent")))
+    hv_revenue = F.sum(F.when(high_value(), exact("total_spent")))
     return (
         t.segments.groupBy("customer_state")
         .agg(
@@ -80,14 +80,14 @@ def regional_opportunity(
     )
     revenue = F.col("total_revenue")
     few = F.col("usage") < max_installments
-    whole = F.sum(cents("total_revenue")).over(Window.partitionBy())
+    whole = F.sum(exact("total_revenue")).over(Window.partitionBy())
     return (
         t.states.join(usage, "customer_state")
         .select(
             "customer_state",
             revenue.alias("hv_revenue"),
             F.col("unique_customers").alias("hv_customers"),
-            percent(cents("total_revenue"), whole).alias("hv_revenue_pct"),
+            percent(exact("total_revenue"), whole).alias("hv_revenue_pct"),
             round2(F.col("usage")).alias("avg_installments"),
             F.when(few & (revenue > high_revenue), C.TIER_HIGH)
             .when(few & (revenue > medium_revenue), C.TIER_MEDIUM)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paylens import constants as C
-from paylens.functions.figures import amount, cents, mean_value, n_rows, percent, wide_sum
+from paylens.functions.figures import amount, exact, mean_value, n_rows, percent
 from paylens.functions.labels import high_value, paid_by, single_installment
 from paylens.plans.tables import ReportTables
 
@@ -22,7 +22,7 @@ def methods_by_segment(t: ReportTables) -> DataFrame:
 def premium_payment_mix(t: ReportTables) -> DataFrame:
     """Orders of persons with Premium rows; an order's amount counts once per such row."""
     premium = t.person_segments.where(F.col("segment") == C.PREMIUM)
-    weighted = cents("total_payment").cast("decimal(18,0)") * F.col("weight")
+    weighted = exact("total_payment") * F.col("weight").cast("decimal(10,0)")
     revenue = F.col("revenue")
     whole = F.sum(revenue).over(Window.partitionBy("segment"))
     return (
@@ -30,7 +30,7 @@ def premium_payment_mix(t: ReportTables) -> DataFrame:
         .groupBy("segment", "payment_type")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
-            wide_sum(weighted).alias("revenue"),
+            F.sum(weighted).alias("revenue"),
         )
         .select(
             "segment",

@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+# Decimals that amounts may have; sums are exact to this place.
+MONEY_SCALE = 6
+
+
 @dataclass(frozen=True)
 class SourceSpec:
-    """A raw CSV file: the columns the marts need (others are landed as text)."""
+    """A raw CSV file: the columns the marts need (others are landed as text).
+
+    ``money`` names the columns that hold amounts, of at most ``MONEY_SCALE`` decimals.
+    """
 
     name: str
     file: str
     columns: dict[str, str]
     required: bool = True
+    money: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -50,6 +58,7 @@ SOURCES = {
                 "payment_installments": "int",
                 "payment_value": "double",
             },
+            money=("payment_value",),
         ),
         SourceSpec(
             "customers",
@@ -66,6 +75,7 @@ SOURCES = {
                 "price": "double",
                 "freight_value": "double",
             },
+            money=("price", "freight_value"),
         ),
         SourceSpec(
             "sellers",

@@ -11,33 +11,65 @@ TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 _work_dirs: dict[str, str] = {}
 
 
-def settings(input_bytes: int | None = None) -> dict[str, str]:
+def partitions_for(input_bytes: int, partition_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Shuffle partitions of about ``partition_bytes`` for an input of this size, at any size."""
+    return max(1, math.ceil(input_bytes / partition_bytes))
+
+
+def size_of(spark: SparkSession, *paths: str) -> int:
+    """Bytes of all files below the paths that exist, from the file system's listing."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(conf)
+        if files.exists(place):
+            total += files.getContentSummary(place).getLength()
+    return total
+
+
+def fit_partitions(
+    spark: SparkSession, input_bytes: int, partition_bytes: int = TARGET_PARTITION_BYTES
+) -> None:
+    """Set the shuffle partitions of a running session."""
+    n = partitions_for(input_bytes, partition_bytes)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+
+
+def settings(
+    input_bytes: int | None = None, partition_bytes: int = TARGET_PARTITION_BYTES
+) -> dict[str, str]:
     """Settings for a session of this package.
 
-    Adaptive execution starts from many shuffle partitions and merges the small ones, so
-    ``input_bytes`` (the size of the sources, if known) only has to be roughly right.
+    Adaptive execution merges small shuffle partitions but makes no further ones for plain
+    aggregations and sorts, so their number has to follow ``input_bytes``, the size of the
+    sources. It only has to be roughly right, and can be set later (``fit_partitions``).
+    ``partition_bytes`` is the input per partition; smaller for executors with little memory.
     """
     conf = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
-        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.ui.enabled": "false",
     }
     if input_bytes is not None:
-        partitions = max(8, math.ceil(input_bytes / TARGET_PARTITION_BYTES))
-        conf["spark.sql.shuffle.partitions"] = str(min(partitions, 100_000))
+        conf["spark.sql.shuffle.partitions"] = str(partitions_for(input_bytes, partition_bytes))
     return conf
 
 
 def build_session(
-    app: str = "paylens", master: str | None = None, input_bytes: int | None = None, **conf: str
+    app: str = "paylens",
+    master: str | None = None,
+    input_bytes: int | None = None,
+    partition_bytes: int = TARGET_PARTITION_BYTES,
+    **conf: str,
 ) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**settings(input_bytes), **conf}.items():
+    for key, value in {**settings(input_bytes, partition_bytes), **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

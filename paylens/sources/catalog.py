@@ -13,3 +13,39 @@ def published(spark: SparkSession, name: str, database: str = DATABASE) -> DataF
 
 def list_published(spark: SparkSession, database: str = DATABASE) -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+
+
+# The fact table names the folder of the frames that reports share: as written, and, as long as no
+# table was published since, as current.
+_WRITTEN, _CURRENT = "paylens.shared.written", "paylens.shared.current"
+
+
+def location(spark: SparkSession, database: str = DATABASE) -> str:
+    return spark.catalog.getDatabase(database).locationUri.rstrip("/")
+
+
+def shared_folder(spark: SparkSession, database: str, current: bool = True) -> str | None:
+    if not spark.catalog.tableExists(f"`{database}`.`fact_payments`"):
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES `{database}`.`fact_payments`").collect()
+    return {r["key"]: r["value"] for r in rows}.get(_CURRENT if current else _WRITTEN)
+
+
+def set_shared_folder(spark: SparkSession, database: str, folder: str) -> None:
+    spark.sql(
+        f"ALTER TABLE `{database}`.`fact_payments` "
+        f"SET TBLPROPERTIES ('{_WRITTEN}' = '{folder}', '{_CURRENT}' = '{folder}')"
+    )
+
+
+def forget_shared(spark: SparkSession, database: str) -> None:
+    """Called when a table is published: the shared frames are no longer those of the tables."""
+    if shared_folder(spark, database):
+        spark.sql(
+            f"ALTER TABLE `{database}`.`fact_payments` UNSET TBLPROPERTIES IF EXISTS ('{_CURRENT}')"
+        )
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

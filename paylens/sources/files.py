@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from functools import partial
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylens import constants as C
@@ -20,7 +20,7 @@ def read_csv(
     """Read a CSV source by the names in its header and cast the columns of ``spec``.
 
     Only the header is read ahead; there is no pass to infer types. Further columns stay
-    text. Empty fields and the usual missing-value markers become NULL. A row that does
+    text; whole numbers may be written as 1.0. Empty fields and the usual missing-value markers become NULL. A row that does
     not fit the header fails the read instead of losing values.
 
     ``multi_line`` is needed only for files with line breaks inside quoted fields; such
@@ -41,7 +41,18 @@ def read_csv(
     cleaned = raw.select(
         *[F.when(~value.isin(*C.MISSING_MARKERS), value).alias(name) for name, value in names]
     )
-    return cleaned.withColumns({c: F.col(c).cast(kind) for c, kind in spec.columns.items()})
+    return cleaned.withColumns(
+        {c: _whole(c) if kind == "int" else F.col(c).cast(kind) for c, kind in spec.columns.items()}
+    )
+
+
+def _whole(name: str) -> Column:
+    """Text as an int: 7 and 7.0 alike; a real fraction raises."""
+    exact = F.col(name).cast("decimal(38,18)")
+    error = F.concat(F.lit(f"{name} is not a whole number: "), F.col(name))
+    return F.when(exact != F.floor(exact), F.raise_error(error).cast("int")).otherwise(
+        exact.cast("int")
+    )
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -66,19 +77,21 @@ def read_sources(
     def read(spec: SourceSpec) -> DataFrame:
         return read_csv(spark, f"{source_dir}/{spec.file}", spec, multi_line)
 
-    return _read_all(spark, read)
-
-
-def read_lake(spark: SparkSession, lake_dir: str) -> dict[str, DataFrame | None]:
-    """All landed sources of a lake folder; optional ones that are missing are None."""
-    return _read_all(spark, lambda spec: read_parquet(spark, f"{lake_dir}/{spec.name}"))
-
-
-def _read_all(
-    spark: SparkSession, read: Callable[[SourceSpec], DataFrame]
-) -> dict[str, DataFrame | None]:
     def one(spec: SourceSpec) -> DataFrame | None:
         return read(spec) if spec.required else read_optional(lambda: read(spec))
 
     # finding the columns of a source is a small job of its own
     return together(spark, {name: partial(one, spec) for name, spec in SOURCES.items()})
+
+
+def read_lake(
+    spark: SparkSession, lake_dir: str, landed: Collection[str]
+) -> dict[str, DataFrame | None]:
+    """The sources that were landed in a lake folder; optional ones that were not are None."""
+
+    def read(spec: SourceSpec) -> DataFrame | None:
+        if spec.name in landed or spec.required:
+            return read_parquet(spark, f"{lake_dir}/{spec.name}")
+        return None
+
+    return together(spark, {name: partial(read, spec) for name, spec in SOURCES.items()})

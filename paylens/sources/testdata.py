@@ -7,10 +7,13 @@ invalid on purpose.
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paylens import constants as C
+from paylens.session import work_dir
 
 CUSTOMER_ID_OFFSET = 1_000_000
 BLANK_TIME_EVERY = 97
@@ -44,11 +47,10 @@ PAYMENT_ORDER = (
     "l_shipdate",
     "l_quantity",
 )
-SLICES_PER_LINE = 1000
 
 
-def payments(lineitem: DataFrame) -> DataFrame:
-    """Payments numbered by one window per order.
+def payments(lineitem: DataFrame, fine: bool = False) -> DataFrame:
+    """Payments numbered by one window per order; ``fine``: amounts of four decimals.
 
     For marts: where the number is unused, column pruning drops the window, and where only
     payment number 1 is kept, each task keeps one row per order before the shuffle. To get
@@ -56,24 +58,24 @@ def payments(lineitem: DataFrame) -> DataFrame:
     """
     lines = lineitem.withColumn("order_id", F.col("l_orderkey").cast("string"))
     number = F.row_number().over(Window.partitionBy("order_id").orderBy(*PAYMENT_ORDER))
-    return _as_payments(lines, number)
+    discounted = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    return _as_payments(lines, number, F.round(discounted, 4) if fine else None)
 
 
 def numbered_payments(lineitem: DataFrame) -> DataFrame:
     """The same payments, with each order numbered in slices.
 
-    A slice is a range of line and part numbers, so slices follow the order of the
-    payments and a very large order is spread over many tasks; the sizes of the earlier
-    slices of an order (some thousands at most) give where a slice starts.
+    A slice is what one task of a range partitioning by order and all columns of PAYMENT_ORDER
+    holds of an order, so a very large order is spread over as many tasks as its rows need, even
+    if most of them also share a part. The spread rows are written, which fixes the slices; the
+    sizes of the earlier slices of an order (one per task at most) give where a slice starts.
     """
-    last_part = lineitem.agg(F.max("l_partkey")).scalar()
-    part_range = F.floor(F.col("l_partkey") * SLICES_PER_LINE / (last_part + 1))
-    lines = lineitem.withColumns(
-        {
-            "order_id": F.col("l_orderkey").cast("string"),
-            "slice": F.col("l_linenumber") * SLICES_PER_LINE + part_range,
-        }
-    )
+    spark = lineitem.sparkSession
+    keyed = lineitem.withColumn("order_id", F.col("l_orderkey").cast("string"))
+    folder = f"{work_dir(spark)}/numbered-{uuid4().hex}"
+    spread = keyed.repartitionByRange("order_id", *PAYMENT_ORDER)
+    spread.withColumn("slice", F.spark_partition_id()).write.parquet(folder)
+    lines = spark.read.parquet(folder)
     earlier = Window.partitionBy("order_id").orderBy("slice").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -87,7 +89,8 @@ def numbered_payments(lineitem: DataFrame) -> DataFrame:
     return _as_payments(placed, F.col("start") + F.col("in_slice"))
 
 
-def _as_payments(lines: DataFrame, number: Column) -> DataFrame:
+def _as_payments(lines: DataFrame, number: Column, value: Column | None = None) -> DataFrame:
+    value = (F.floor(F.col("l_extendedprice") / 10) / 100) if value is None else value
     line, flag, status = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")
     quantity = F.col("l_quantity")
     return lines.select(
@@ -103,7 +106,7 @@ def _as_payments(lines: DataFrame, number: Column) -> DataFrame:
         F.when(flag == "N", 1)
         .otherwise(1 + quantity.cast("int") % 10)
         .alias("payment_installments"),
-        (F.floor(F.col("l_extendedprice") / 10) / 100).alias("payment_value"),
+        value.alias("payment_value"),
     )
 
 
@@ -156,7 +159,7 @@ def categories(part: DataFrame) -> DataFrame:
 
 
 def sources(
-    spark: SparkSession, sf_dir: str, all_numbers: bool = False
+    spark: SparkSession, sf_dir: str, all_numbers: bool = False, fine: bool = False
 ) -> dict[str, DataFrame]:
     """The seven sources; ``all_numbers`` if every payment number will be used."""
 
@@ -166,7 +169,7 @@ def sources(
     order, line, nation, part = table("orders"), table("lineitem"), table("nation"), table("part")
     return {
         "orders": orders(order),
-        "payments": numbered_payments(line) if all_numbers else payments(line),
+        "payments": numbered_payments(line) if all_numbers else payments(line, fine),
         "customers": customers(order, table("customer"), nation),
         "items": items(line),
         "sellers": sellers(table("supplier"), nation),

@@ -5,9 +5,18 @@ from __future__ import annotations
 from decimal import ROUND_HALF_UP, Decimal
 from fractions import Fraction
 
+import pytest
 from pyspark.sql import functions as F
 
-from paylens.functions.figures import amount, cents, mean_value, percent, total, total_value
+from paylens.functions.figures import (
+    amount,
+    exact,
+    fits,
+    mean_value,
+    percent,
+    total,
+    total_value,
+)
 from paylens.functions.labels import binned, segment
 
 PLACES = Decimal("0.01")
@@ -43,16 +52,27 @@ def test_totals_and_means_are_exact(spark):
         )
         for r in got.collect():
             values = expected[r.k]
-            assert r.t == sum(values) and r.tv == sum(values) / 100
+            assert r.t == Decimal(sum(values)) / 100 and r.tv == sum(values) / 100
             assert r.m == rounded(Fraction(sum(values), 100 * len(values)))
 
 
-def test_every_cent_survives(spark):
-    """Amounts as doubles, back to cents and out again."""
-    df = spark.range(2_000_000).select((F.col("id") / 100).alias("v"), "id")
-    lost = cents("v") != F.col("id")
-    changed = amount(F.col("id")) != F.col("v")
-    assert df.where(lost | changed).count() == 0
+@pytest.mark.parametrize("places", [2, 4, 6])
+def test_every_decimal_survives(spark, places):
+    """Amounts as doubles, back to decimals and out again."""
+    df = spark.range(0, 2_000_000_000, 9973).select((F.col("id") / 10**places).alias("v"), "id")
+    lost = exact("v") * 10**places != F.col("id")
+    changed = amount(exact("v")) != F.col("v")
+    assert df.where(lost | changed | ~fits(F.col("v"))).count() == 0
+
+
+def test_small_amounts_are_not_rounded_away(spark):
+    df = spark.range(1000).select(F.lit(0.004).alias("v"))
+    assert df.agg(total_value("v"), mean_value("v")).first()[0] == 4.0
+
+
+def test_amounts_that_do_not_fit(spark):
+    df = spark.createDataFrame([(0.1234567,), (1e-9,), (0.123456,), (None,)], "v double")
+    assert [r[0] for r in df.select(fits(F.col("v"))).collect()] == [False, False, True, True]
 
 
 def test_empty_total_is_zero(spark):
@@ -67,3 +87,16 @@ def test_bins_and_segments(spark):
     assert [r[0] for r in binned_values] == ["a", "b", "b", "c", "c"]
     labels = df.select(segment(F.col("v"), high=1, premium=10)).collect()
     assert [r[0] for r in labels] == ["Regular", "High", "High", "Premium", "Premium"]
+
+
+def test_times_have_one_format(spark):
+    from paylens.functions.time import hour, month, quarter
+
+    name = "order_purchase_timestamp"
+    good = spark.createDataFrame([("2017-10-02 10:56:33",), ("",), (None,)], f"{name} string")
+    parts = good.select(month(), quarter(), hour()).collect()
+    assert [tuple(r) for r in parts] == [("2017-10", "Q4-2017", 10), (None,) * 3, (None,) * 3]
+    for text in ("2017", "02/10/2017 10:56", "2017-10-02", "2017-13-02 10:56:33"):
+        bad = spark.createDataFrame([(text,)], f"{name} string")
+        with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP|could not be parsed"):
+            bad.select(quarter()).collect()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 
 from pyspark.sql import functions as F
 
@@ -65,7 +66,24 @@ def test_first_bins_of_the_table(reports):
 
 def test_numbering_in_slices_equals_one_window(spark):
     lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
-    for some in (lines, lines.withColumn("l_orderkey", F.lit(1))):
+    one = lines.withColumn("l_orderkey", F.lit(1))
+    for some in (lines, one, one.withColumns({"l_partkey": F.lit(1), "l_linenumber": F.lit(1)})):
         whole = testdata.payments(some).na.fill("").collect()
         sliced = testdata.numbered_payments(some).na.fill("").collect()
         assert sorted(sliced) == sorted(whole)
+
+
+def test_one_order_and_part_is_numbered_in_many_tasks(spark):
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    hot = lines.withColumns({c: F.lit(1) for c in ("l_orderkey", "l_partkey", "l_linenumber")})
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"  # small partitions are merged
+    spark.conf.set(merge, "false")
+    try:
+        numbered = testdata.numbered_payments(hot)
+    finally:
+        spark.conf.unset(merge)
+    assert numbered.agg(F.max("payment_sequential")).first()[0] == lines.count()
+    folders = {os.path.dirname(f) for f in numbered.inputFiles()}
+    stored = spark.read.parquet(*folders)
+    sizes = [r["count"] for r in stored.groupBy("slice").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 0.5 * lines.count()

@@ -67,6 +67,12 @@ def test_segment_thresholds(spark, spent, label):
     assert marts.customer_segments(fact).first().segment == label
 
 
+def test_amounts_below_a_cent_decide_the_segment(spark):
+    paid = [("1", 1, "voucher", 1, 399.995), ("1", 2, "voucher", 1, 0.004)]
+    row = marts.customer_segments(fact_of(spark, paid)).first()
+    assert (row.total_spent, row.segment) == (399.999, "High")
+
+
 def test_segments_are_delivered_only_and_per_customer_id(spark):
     orders = [
         ("1", "c1", "delivered", ""),

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from threading import Event
+
 import pytest
 
 from paylens.__main__ import main
 from paylens.operators.publish import ensure_database, normalise, publish_path, publish_table
-from paylens.plans.pipeline import load, run_pipeline
+from paylens.plans.pipeline import extract, load, run_pipeline, transform
 from paylens.plans.reports import REPORTS
 from paylens.plans.tables import ReportTables
+from paylens.plans.warehouse import Warehouse
 from paylens.schemas import SOURCES, TABLES
 from paylens.session import work_dir
-from paylens.sources.catalog import list_published, published
+from paylens.sources.catalog import list_published, location, published
 
 METHODS = TABLES["payment_method_analysis"]
 SCHEMA = (
@@ -94,6 +97,7 @@ def content(df):
 
 
 def test_pipeline_round_trip(spark, csv_dir, tmp_path, supplied):
+    ensure_database(spark, "full", str(tmp_path / "db"))
     run = run_pipeline(spark, str(csv_dir), str(tmp_path), "full")
     assert list_published(spark, "full") == sorted(TABLES)
     assert run.landed["orders"] == 1500 and run.landed["payments"] < run.landed["items"] == 6000
@@ -111,7 +115,15 @@ def test_pipeline_round_trip(spark, csv_dir, tmp_path, supplied):
     plain = ReportTables(run.tables.__getitem__)
     for key in ("q2", "q3_5", "q17_5", "q23a"):
         assert content(REPORTS[key](stored)) == content(REPORTS[key](plain))
-    assert work_dir(spark) in stored.segment_orders.inputFiles()[0]
+    place = location(spark, "full").removeprefix("file:")
+    assert place in stored.segment_orders.inputFiles()[0]
+    assert len(list((tmp_path / "db").glob("shared_*"))) == 1  # the first run's were removed
+
+    # a table that is published by itself makes the stored frames outdated
+    publish_table(spark, supplied.mart("customer_segments"), TABLES["customer_segments"], "full")
+    alone = run.report_tables()
+    assert work_dir(spark) in alone.segment_orders.inputFiles()[0]
+    assert content(REPORTS["q2"](alone)) == content(REPORTS["q2"](plain))
 
 
 def test_pipeline_without_optional_sources(spark, csv_dir, tmp_path):
@@ -138,6 +150,65 @@ def test_pipeline_without_optional_sources(spark, csv_dir, tmp_path):
     assert run.tables["order_items_products"].count() == 6000
 
 
+def test_rerun_without_optional_sources_on_a_used_lake(spark, csv_dir, tmp_path):
+    """Files of the first run are still there, but they are not taken for the second one's."""
+    lake, source = str(tmp_path / "lake"), tmp_path / "csv"
+    first = run_pipeline(spark, str(csv_dir), lake, "used")
+    before = content(first.tables["order_items_products"])
+    source.mkdir()
+    for spec in SOURCES.values():
+        if spec.required:
+            (source / spec.file).symlink_to(csv_dir / spec.file)
+    run = run_pipeline(spark, str(source), lake, "used")
+    for name in ("order_items_products", "seller_orders"):
+        assert run.transformed[name] is None and run.loaded[name] is None
+    assert run.loaded["fact_payments"] == first.loaded["fact_payments"]
+    assert content(run.tables["order_items_products"]) == before
+
+
+def test_marts_without_the_fact_run_beside_it(spark, csv_dir, tmp_path, monkeypatch):
+    lake = str(tmp_path)
+    extract(spark, str(csv_dir), lake)
+    written = {name: Event() for name in ("order_items_products", "seller_orders")}
+    mart = Warehouse.mart
+
+    def slow_fact(self, name):
+        if name == "fact_payments" and name not in self.rows:
+            assert all(done.wait(120) for done in written.values())
+        result = mart(self, name)
+        if name in written:
+            written[name].set()
+        return result
+
+    monkeypatch.setattr(Warehouse, "mart", slow_fact)
+    assert transform(spark, lake)["fact_payments"] == 1471
+
+
+def test_report_of_the_ingest(spark, csv_dir, tmp_path, duck):
+    from checks import oracle
+
+    found = extract(spark, str(csv_dir), str(tmp_path))
+    counts = duck.execute(oracle.statements()["ingest_counts"]).fetchall()
+    assert {(n, x.rows_read, x.rows_kept) for n, x in found.sources.items()} == set(counts)
+    statuses = duck.execute(oracle.statements()["ingest_status_distribution"]).fetchall()
+    assert found.statuses == dict(statuses)
+
+
+def test_table_with_other_columns_is_left_alone(spark):
+    """Columns are inserted by position, so another order would swap values."""
+    ensure_database(spark, "swapped")
+    spec = TABLES["seller_orders"]
+    columns = dict(reversed(spec.columns.items()))
+    ddl = ", ".join(f"{c} {t}" for c, t in columns.items())
+    spark.sql(f"CREATE TABLE swapped.seller_orders ({ddl}) USING parquet")
+    spark.sql("INSERT INTO swapped.seller_orders VALUES (1.0, 2, 3, 'SP', 'x')")
+    mart = spark.createDataFrame([("s", "SP", 5, 1, 20.0)], spec.ddl)
+    for append in (False, True):
+        with pytest.raises(ValueError, match="has columns"):
+            publish_table(spark, mart, spec, "swapped", append)
+    assert [r.seller_id for r in published(spark, "seller_orders", "swapped").collect()] == ["x"]
+
+
 def test_stages_can_run_alone(spark, csv_dir, tmp_path, capsys):
     lake = str(tmp_path)
     common = ["--source", str(csv_dir), "--lake", lake, "--database", "staged"]
@@ -146,4 +217,6 @@ def test_stages_can_run_alone(spark, csv_dir, tmp_path, capsys):
     assert not spark.catalog.databaseExists("staged")
     assert main([*common, "--stages", "load"])["load"] == first["transform"]
     assert list_published(spark, "staged") == sorted(TABLES)
-    assert "load customer_segments: 1185" in capsys.readouterr().out
+    printed = capsys.readouterr().out
+    assert "load customer_segments: 1185" in printed
+    assert "read orders: 1500, kept 1500" in printed and "status delivered: " in printed

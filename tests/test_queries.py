@@ -5,16 +5,19 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from checks import oracle
+from checks.registry import registered
 from tests.conftest import SF_DIR
 
-QUERIES, ORACLE = queries(), oracle_sql()
+QUERIES, ORACLE = registered(), oracle.statements()
 TYPES = {"string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "int": "INTEGER"}
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
-    assert len([q for q in QUERIES if q.startswith("report_")]) == 37
-    assert len([q for q in QUERIES if q.startswith("mart_")]) == 8
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
+    assert len([q for q in QUERIES if q.startswith("report_")]) == 38
+    assert len([q for q in QUERIES if q.startswith("mart_")]) == 12
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

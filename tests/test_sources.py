@@ -47,6 +47,24 @@ def test_missing_values_are_null(spark, tmp_path, text):
     assert (row.payment_value, row.payment_type, row.payment_installments) == (None,) * 3
 
 
+def test_whole_numbers_may_have_a_point(spark, tmp_path):
+    row = read(spark, tmp_path, HEADER + "\n1,a,1.0,x,12.000\n").first()
+    assert (row.payment_sequential, row.payment_installments) == (1, 12)
+    with pytest.raises(Exception, match="payment_installments is not a whole number: 1.5"):
+        read(spark, tmp_path, HEADER + "\n1,a,1.0,x,1.5\n").collect()
+
+
+def test_landing_counts_rows_and_checks_amounts(spark, tmp_path):
+    text = HEADER + "\n0.000001,a,1,voucher,1\n5,a,2,not_defined,1\n,b,1,boleto,1\n"
+    landed = ingest.land(read(spark, tmp_path, text), PAYMENTS, str(tmp_path / "good"))
+    assert (landed.rows_read, landed.rows_kept) == (3, 2)
+    kept = spark.read.parquet(str(tmp_path / "good"))
+    assert sorted(r.order_id for r in kept.collect()) == ["a", "b"]
+    text = HEADER + "\n0.0000001,a,1,voucher,1\n1.00000009,a,2,voucher,1\n2.5,a,3,voucher,1\n"
+    with pytest.raises(ValueError, match="2 amounts in payment_value do not fit 6 decimals"):
+        ingest.land(read(spark, tmp_path, text), PAYMENTS, str(tmp_path / "bad"))
+
+
 def test_bad_number_raises(spark, tmp_path):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         read(spark, tmp_path, HEADER + "\nabc,a,1,x,1\n").collect()
