@@ -2,7 +2,8 @@
 
 Two first-order Markov models over the characters of tokens are trained on the documents
 themselves. Labelled samples are at hand there: what the patterns match is random text, and
-all other runs of token characters are ordinary words and identifiers. A token outside the
+all other runs of token characters are ordinary words and identifiers, but for long ones with digits
+in their midst, which have no label. A token outside the
 matches is a secret when the log-likelihood ratio of the two models, in total and per character,
 is high. Training counts every text; what is kept is one count per pair of characters.
 
@@ -34,8 +35,10 @@ KINDS = ["assign", "access", "hex", "markov"]
 
 # The method's own limits.
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+IDENTIFIER = re.compile(r"[A-Za-z_-]+[0-9]{0,4}")  # ordinary, whatever its length
 LEAST_TOTAL = 15.0  # natural log-likelihood ratio of the whole token
 LEAST_MEAN = 0.6  # and per character
+PRIOR = 20.0  # weight of a character's frequency against what is counted after another one
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 _SIZE = len(ALPHABET) + 1
@@ -53,14 +56,22 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def candidates(text: str) -> Iterator[re.Match]:
+    """Long tokens of digits and other characters: what the models are to judge."""
+    for m in TOKEN.finditer(text):
+        if not m[0].isdigit() and any(c.isdigit() for c in m[0]):
+            yield m
+
+
 def pair_counts(texts: list[str]) -> np.ndarray:
-    """Counts of adjacent characters: [0] in matched values, [1] in all other runs."""
+    """Counts of adjacent characters: [0] in matched values, [1] in all else that is labelled."""
     both = np.zeros((2, _SIZE * _SIZE), np.int64)
     for text in texts:
-        spans, at, rest, random = base_spans(text), 0, [], []
-        for start, kind, end in spans:
-            value = ASSIGN.match(text, start)[2] if kind == 0 else text[start:end]
-            random.append(value)
+        base, at, rest = base_spans(text), 0, []
+        random = [ASSIGN.match(text, s)[2] if kind == 0 else text[s:e] for s, kind, e in base]
+        unknown = [m.span() for m in candidates(text) if not IDENTIFIER.fullmatch(m[0])]
+        left_out = sorted([(s, e) for s, _, e in base] + unknown)
+        for start, end in left_out:
             rest.append(text[at : max(at, start)])
             at = max(at, end)
         rest.append(text[at:])
@@ -100,9 +111,15 @@ def train(docs: DataFrame) -> np.ndarray:
 
 
 def log_ratio(counts: np.ndarray) -> np.ndarray:
-    """Both models smoothed by one occurrence of every pair."""
-    smooth = counts.reshape(2, _SIZE, _SIZE) + 1.0
-    given = np.log(smooth / smooth.sum(axis=2, keepdims=True))
+    """Both models, each pair smoothed by the frequency of its second character.
+
+    Without any labelled random text that model is uniform.
+    """
+    pairs = counts.reshape(2, _SIZE, _SIZE).astype(np.float64)
+    single = pairs.sum(axis=1) + 1.0
+    single /= single.sum(axis=1, keepdims=True)
+    given = pairs + PRIOR * single[:, None, :]
+    given = np.log(given / given.sum(axis=2, keepdims=True))
     return (given[0] - given[1]).reshape(-1)
 
 
@@ -117,10 +134,8 @@ def scan_text(ratio: np.ndarray, text: str, total=LEAST_TOTAL, mean=LEAST_MEAN):
     base = base_spans(text)
     taken = [(start, end) for start, _, end in base]
     extra = []
-    for m in TOKEN.finditer(text):
+    for m in candidates(text):
         token = m[0]
-        if not any(c.isdigit() for c in token) or token.isdigit():
-            continue
         if any(start < m.end() and m.start() < end for start, end in taken):
             continue
         score = token_score(ratio, token)
