@@ -11,13 +11,13 @@ Conventions that hold for every operator here:
 
 from __future__ import annotations
 
-import hashlib
 import os
 import tempfile
 import uuid
 import zipfile
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +35,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 def saved(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read back: cuts lineage, survives executors."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -93,17 +93,6 @@ def lower(text: str) -> str:
     return text.encode("utf-8", "replace").lower().decode("utf-8")
 
 
-class Hashes:
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __init__(self, bound: int = 500_000):
-        self.known: dict[bytes, int] = {}
-        self.bound = bound
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > self.bound:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "big")
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words, the same in every process."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))

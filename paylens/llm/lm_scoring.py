@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylens.llm.blocks import blocks, by_shard, dealt
-from paylens.llm.common import Hashes, id_and_text, read_table, scratch
+from paylens.llm.common import id_and_text, read_table, scratch, word_hashes
 from paylens.llm.store import Store
 
 BLOCK = 24 * 2**20  # bytes of text that a task works on at once
@@ -71,11 +71,11 @@ def word_shards(words: np.ndarray, shards: int) -> np.ndarray:
 class Block:
     """Words of some documents, one after another, each document ended by the end token."""
 
-    def __init__(self, texts: list[str], hashes: Hashes):
+    def __init__(self, texts: list[str]):
         parts, lengths = [], []
         for text in texts:
             words = text.encode("utf-8", "replace").lower().split()
-            parts.append(hashes.of(words))
+            parts.append(word_hashes(words))
             parts.append(np.array([_END]))
             lengths.append(len(words) + 1)
         self.words = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
@@ -126,9 +126,8 @@ def _counting(shards: int, hot: np.ndarray, size: int):
     """Blocks of training text to rows for pair shards and word shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
         for table in blocks(batches, size):
-            block = Block(table["text"].to_pylist(), hashes)
+            block = Block(table["text"].to_pylist())
             words, counts = np.unique(block.words, return_counts=True)
             at = word_shards(words, shards)
             order = np.argsort(at, kind="stable")
@@ -387,10 +386,10 @@ _SCORED = (
 
 def _scoring(model: Model, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, read = Hashes(), model.store.reader()
+        read = model.store.reader()
         try:
             for table in blocks(batches, size):
-                block = Block(table["text"].to_pylist(), hashes)
+                block = Block(table["text"].to_pylist())
                 tokens, known, base, score = score_block(model, read, block)
                 out = pa.table(
                     [table["doc_id"], table["held_out"], pa.array(tokens), pa.array(known),
@@ -416,7 +415,7 @@ def frequent_words(texts: DataFrame, shards: int) -> np.ndarray:
     rows = counted.filter(F.col("n") > max(total / (8 * shards), 20)).collect()  # 8 per shard at most
     listed = sorted(row["word"].encode("utf-8", "replace") for row in rows)
     edges = np.array([_START >> _SHORT, _END >> _SHORT])
-    return np.concatenate([Hashes().of(listed) >> _SHORT, edges])
+    return np.concatenate([word_hashes(listed) >> _SHORT, edges])
 
 
 def train(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) -> Model:

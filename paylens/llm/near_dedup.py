@@ -6,15 +6,18 @@ of its own. A tree sends a class down paths: a node picks a coordinate, with som
 one, and sends its members on by their minwise token there, so that similar classes stay together.
 Nodes small enough are compared exhaustively; others branch again. Several independent trees make
 it near certain that a similar pair meets in one: at the similarity threshold a pair shares a first
-node of one tree with probability 0.87, so 12 trees miss it once in 10^10.
-
-Comparisons inside a node use the minwise tokens and keep whatever may be similar (0.15 below the
-threshold, over 4 standard errors); every link is then confirmed on the full sets. Only what
-connects classes matters for components, which saves most of the work: a node first links each
-member to its closest ones as a forest, an oversized node to one leader; once the confirmed links
-are merged, only nodes that still hold more than one component go on, and there every pair across
-components is compared. Nodes that stay too large beyond the last level are compared in
-blocks of bounded size.
+node of one tree with probability 0.87, so 8 trees miss it once in 10^7.
+
+Comparisons inside a node use the minwise tokens and keep whatever may be similar (0.12 below the
+threshold, 3.8 standard errors); every link is then confirmed on the full sets. Members that may be
+similar to one of another component bring their full sets along, and pairs are compared until they
+are connected. Only what connects classes matters for components, which saves most of the work: the
+nodes of one tree come first, oversized ones as random blocks, and after that only nodes that hold
+more than one component. Nodes too large for one task compare
+pairs of blocks, or, with few members outside their largest component, these few with blocks of it.
+Nodes of more than 32 blocks link what lies in the same random block and branch again; what is still
+as large beyond the last level is compared in pairs of blocks too. What is moved grows with the
+members of nodes, never with their pairs.
 
 Defined cases: a text without words has an empty set, is linked with nothing and keeps itself;
 documents without doc_id come last; rows that repeat a doc_id share its verdict when their sets
@@ -28,23 +31,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from paylens.llm.common import LAST, Hashes, id_and_text, order_key, read_table, saved
+from paylens.llm.common import LAST, id_and_text, order_key, read_table, saved, word_hashes
 
 WORDS = 5
 SIMILARITY = 0.85
 COORDINATES = 128
-TREES = 12
-LEAF = 48  # members of a node that is compared exhaustively
-MARGIN = 0.15
+TREES = 8
+LEAF = 4000  # members of a node, or of a block of one, that one task compares exhaustively
+BLOCKS = 32  # blocks of a node whose members are still compared exhaustively
+MARGIN = 0.12
 LEVELS = 40
 
 _rng = np.random.default_rng(20240611)
 _MULTIPLY = (_rng.integers(0, 2**31, COORDINATES, dtype=np.uint32) * 2 + 1).astype(np.uint32)
 _ADD = _rng.integers(0, 2**32, COORDINATES, dtype=np.uint32)
-_ODD = (_rng.integers(0, 2**62, 64, dtype=np.uint64) * 2 + 1).astype(np.uint64)
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -53,17 +57,17 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def shingles(text: str, hashes: Hashes, size: int = WORDS) -> np.ndarray:
+def shingles(text: str, size: int = WORDS) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles."""
     words = text.encode("utf-8", "replace").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    ids = hashes.of(words)
-    if len(ids) < size:
-        size = len(ids)
-    total = np.full(len(ids) - size + 1, size, np.uint64)
+    ids = _mixed(word_hashes(words))
+    size = min(size, len(ids))
+    n = len(ids) - size + 1
+    total = np.full(n, size, np.uint64)
     for i in range(size):
-        total = total * _ODD[0] + _mixed(ids[i : len(ids) - size + 1 + i] + _ODD[i + 1])
+        total = total * _FACTOR + ids[i : n + i]
     return np.unique(_mixed(total))
 
 
@@ -82,13 +86,12 @@ _BASE = "doc_id long, d long, t long, c binary, n long, minwise binary, sketch b
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 part = batch.slice(start, 2048)
                 c, n, mins, sketches = [], [], [], []
                 for text in part["text"].to_pylist():
-                    tokens = shingles(text, hashes, size)
+                    tokens = shingles(text, size)
                     n.append(len(tokens))
                     c.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
                     least = minwise(tokens)
@@ -105,11 +108,10 @@ def _sets(size: int):
 
 def _full_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 part = batch.slice(start, 2048)
-                sets = [shingles(t, hashes, size).tobytes() for t in part["text"].to_pylist()]
+                sets = [shingles(t, size).tobytes() for t in part["text"].to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part["c"], pa.array(sets, pa.binary())], ["c", "tokens"]
                 )
@@ -127,12 +129,12 @@ def _branches(path: Column, similarity: float) -> Column:
 
 
 def _descend(members: DataFrame, similarity: float) -> DataFrame:
-    """Members one level down: from path, c, minwise to path, c."""
+    """Members one level down: from tree, path, c, minwise to tree, path, c."""
     at = members.select(
-        "path", "c", "minwise", F.explode(_branches(F.col("path"), similarity)).alias("k")
+        "tree", "path", "c", "minwise", F.explode(_branches(F.col("path"), similarity)).alias("k")
     )
     token = F.substring("minwise", (F.col("k") * 4 + 1).cast("int"), F.lit(4))
-    return at.select(F.xxhash64("path", "k", token).alias("path"), "c")
+    return at.select("tree", F.xxhash64("path", "k", token).alias("path"), "c")
 
 
 def _sized(members: DataFrame, name: str) -> DataFrame:
@@ -142,42 +144,22 @@ def _sized(members: DataFrame, name: str) -> DataFrame:
     return members.join(saved(sizes, f"{name}-sizes"), "path")
 
 
-def _closest(sketch: np.ndarray, n: np.ndarray, comp: np.ndarray, least: float, threshold: float):
-    """Pairs across components that may be similar, closest first: (i, j)."""
-    same = np.empty((len(n), len(n)), np.int16)
-    for i in range(len(n)):
-        same[i] = (sketch == sketch[i]).sum(axis=1)
-    small, large = np.minimum.outer(n, n), np.maximum.outer(n, n)
-    fits = (same >= least * COORDINATES) & (small >= threshold * large)
-    i, j = np.nonzero(np.triu(fits & (comp[:, None] != comp[None, :]), 1))
-    order = np.argsort(-same[i, j], kind="stable")
-    return i[order], j[order]
-
-
-def _forest(i: np.ndarray, j: np.ndarray, comp: np.ndarray) -> np.ndarray:
-    """Positions of the pairs that connect components not yet connected by closer pairs."""
-    top = list(range(len(comp)))
-    seen: dict = {}
-    for at, label in enumerate(comp.tolist()):
-        top[at] = seen.setdefault(label, at)
-
-    def find(x: int) -> int:
-        while top[x] != x:
-            top[x] = top[top[x]]
-            x = top[x]
-        return x
-
-    kept = []
-    for at, (a, b) in enumerate(zip(i.tolist(), j.tolist())):
-        a, b = find(a), find(b)
-        if a != b:
-            top[max(a, b)] = min(a, b)
-            kept.append(at)
-    return np.array(kept, np.int64)
+def _candidates(node: dict, similarity: float, margin: float) -> Iterator[tuple[int, np.ndarray]]:
+    """For each member the later ones of other components that may be similar, closest first."""
+    sketch, n, comp = node["sketch"], node["n"], node["comp"]
+    for i in range(len(n) - 1):
+        same = (sketch[i + 1 :] == sketch[i]).sum(axis=1)
+        fits = same >= (similarity - margin) * COORDINATES
+        if fits.any():
+            j = np.flatnonzero(fits) + i + 1
+            small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+            j = j[(comp[j] != comp[i]) & (small >= similarity * large)]
+            if len(j):
+                yield i, j[np.argsort(-same[j - i - 1], kind="stable")]
 
 
-def _compare(similarity: float, margin: float, forest: bool):
-    """Pairs of each node, from rows sorted by path: path, c, n, sketch, comp."""
+def _by_node(work, schema: pa.Schema):
+    """Run work on the rows of one node after another; rows come sorted by path."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -185,8 +167,7 @@ def _compare(similarity: float, margin: float, forest: bool):
             table = pa.Table.from_batches([batch])
             if rest is not None:
                 table = pa.concat_tables([rest, table]).combine_chunks()
-            path = table["path"].to_numpy()
-            cuts = np.flatnonzero(np.diff(path)) + 1
+            cuts = np.flatnonzero(np.diff(table["path"].to_numpy())) + 1
             if len(cuts) == 0:
                 rest = table
                 continue
@@ -196,83 +177,124 @@ def _compare(similarity: float, margin: float, forest: bool):
             yield from nodes(rest, np.array([0, rest.num_rows]))
 
     def nodes(table: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        cs, n = table["c"].to_pylist(), table["n"].to_numpy()
         sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8)
-        sketch = sketch.reshape(-1, COORDINATES)
-        comp = np.unique(np.array(table["comp"].to_pylist(), object), return_inverse=True)[1]
-        left, right = [], []
+        columns = {
+            "path": table["path"].to_numpy(),
+            "c": table["c"].to_pylist(),
+            "n": table["n"].to_numpy(),
+            "sketch": sketch.reshape(-1, COORDINATES),
+            "comp": np.unique(np.array(table["comp"].to_pylist(), object), return_inverse=True)[1],
+        }
+        if "tokens" in table.column_names:
+            columns["tokens"] = table["tokens"].to_pylist()
+        rows: list[tuple] = []
         for start, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            if end - start < 2:
-                continue
-            labels = comp[start:end]
-            i, j = _closest(
-                sketch[start:end], n[start:end], labels, similarity - margin, similarity
-            )
-            if forest and len(i):
-                at = _forest(i, j, labels)
-                i, j = i[at], j[at]
-            left += [cs[start + x] for x in i.tolist()]
-            right += [cs[start + x] for x in j.tolist()]
-        pairs = [(a, b) if a < b else (b, a) for a, b in zip(left, right)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())],
-            ["a", "b"],
-        )
+            if end - start > 1:
+                rows += work({name: x[start:end] for name, x in columns.items()})
+        cells = zip(*rows) if rows else [[] for _ in schema]
+        arrays = [pa.array(x, field.type) for x, field in zip(cells, schema)]
+        yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     return run
 
 
-def _pairs_of(nodes: DataFrame, similarity: float, margin: float, forest: bool) -> DataFrame:
+_PAIR = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+_MEMBER = pa.schema([("path", pa.int64()), ("c", pa.binary())])
+
+
+def _undecided(similarity: float, margin: float):
+    """Members that may be similar to one of another component: path, c."""
+
+    def work(node: dict) -> list[tuple]:
+        marked = np.zeros(len(node["n"]), bool)
+        for i, others in _candidates(node, similarity, margin):
+            marked[i] = True
+            marked[others] = True
+        return [(int(node["path"][x]), node["c"][x]) for x in np.flatnonzero(marked).tolist()]
+
+    return _by_node(work, _MEMBER)
+
+
+def _node_links(similarity: float, margin: float):
+    """Links on the full sets that connect the components of each node: a, b."""
+    percent = round(100 * similarity)
+
+    def work(node: dict) -> list[tuple]:
+        sets = [np.frombuffer(x, np.uint64) for x in node["tokens"]]
+        top, c, found = _Top(node["comp"]), node["c"], []
+        for x, others in _candidates(node, similarity, margin):
+            others = [y for y in others.tolist() if not top.same(x, y)]
+            for start in range(0, len(others), 64):
+                part = [y for y in others[start : start + 64] if not top.same(x, y)]
+                for y, both in zip(part, _shared(sets[x], [sets[y] for y in part])):
+                    union = len(sets[x]) + len(sets[y]) - both
+                    if 100 * both >= percent * union and top.join(x, y):
+                        found.append((c[x], c[y]))
+        return found
+
+    return _by_node(work, _PAIR)
+
+
+def _shared(one: np.ndarray, others: list[np.ndarray]) -> list[int]:
+    """How many tokens each of the other sorted sets shares with one."""
+    if not others:
+        return []
+    joined = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, joined), len(one) - 1)
+    starts = np.cumsum([0] + [len(x) for x in others[:-1]])
+    return np.add.reduceat((one[at] == joined).astype(np.int64), starts).tolist()
+
+
+class _Top:
+    """Union-find over the members of a node, begun with the components they have."""
+
+    def __init__(self, comp: np.ndarray):
+        first: dict[int, int] = {}
+        self.above = [first.setdefault(label, at) for at, label in enumerate(comp.tolist())]
+
+    def find(self, x: int) -> int:
+        above = self.above
+        while above[x] != x:
+            above[x] = above[above[x]]
+            x = above[x]
+        return x
+
+    def same(self, x: int, y: int) -> bool:
+        return self.find(x) == self.find(y)
+
+    def join(self, x: int, y: int) -> bool:
+        """False if they were joined before."""
+        x, y = self.find(x), self.find(y)
+        self.above[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _by_path(nodes: DataFrame, work, schema: str, *more: str) -> DataFrame:
     return (
-        nodes.select("path", "c", "n", "sketch", "comp")
+        nodes.select("path", "c", "n", "sketch", "comp", *more)
         .repartition("path")
         .sortWithinPartitions("path", "c")
-        .mapInArrow(_compare(similarity, margin, forest), "a binary, b binary")
+        .mapInArrow(work, schema)
     )
 
 
-def _leader_pairs(nodes: DataFrame, similarity: float) -> DataFrame:
-    """Every member of an oversized node with its node's leader."""
-    leaders = saved(
-        nodes.groupBy("path").agg(
-            F.min(F.struct(F.xxhash64("path", "c"), "c", "n", "comp")).alias("x")
-        ),
-        "leaders",
-    ).select(
-        "path",
-        F.col("x.c").alias("leader"),
-        F.col("x.n").alias("leader_n"),
-        F.col("x.comp").alias("leader_comp"),
-    )
-    pairs = nodes.join(leaders, "path").filter("comp != leader_comp")
-    fits = F.least("n", "leader_n") >= similarity * F.greatest("n", "leader_n")
-    return pairs.filter(fits).select(
-        F.least("c", "leader").alias("a"), F.greatest("c", "leader").alias("b")
-    )
-
+def _in_blocks(nodes: DataFrame, leaf: int) -> DataFrame:
+    """Oversized nodes cut into random blocks of about ``leaf`` members, others in one."""
+    count = F.ceil(F.col("size") / leaf)
+    block = F.pmod(F.xxhash64("path", "c"), count)
+    return nodes.withColumn("path", F.xxhash64("path", block))
 
-def _confirm(similarity: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        percent = round(100 * similarity)
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch["left"], batch["right"]):
-                x = np.frombuffer(x.as_buffer(), np.uint64)
-                y = np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            out = batch.filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([out["a"], out["b"]], ["a", "b"])
 
-    return run
+def _oversized(nodes: DataFrame, leaf: int) -> DataFrame:
+    return nodes.filter(F.col("size") > leaf).select("path", "c")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float, name: str) -> DataFrame:
-    pairs = saved(pairs.distinct(), f"{name}-pairs")
-    left = sets.select(F.col("c").alias("a"), F.col("tokens").alias("left"))
-    right = sets.select(F.col("c").alias("b"), F.col("tokens").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return saved(both.mapInArrow(_confirm(similarity), "a binary, b binary"), f"{name}-links")
+def _joined(comps: DataFrame, found: DataFrame) -> DataFrame:
+    """Components once more links are found."""
+    if found.isEmpty():
+        return comps
+    stars = comps.filter("c != comp").select(F.col("c").alias("a"), F.col("comp").alias("b"))
+    return components(stars.union(found))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -293,17 +315,20 @@ def components(links: DataFrame) -> DataFrame:
     )
     while True:
         near = both.join(labels.select(F.col("c").alias("to"), "comp"), "to")
-        sunk = saved(
-            near.select("c", "comp").union(labels).groupBy("c").agg(F.min("comp").alias("comp")),
-            "labels-sunk",
+        sunk = (
+            near.select("c", "comp", F.lit(None).cast("binary").alias("old"))
+            .union(labels.select("c", "comp", F.col("comp").alias("old")))
+            .groupBy("c")
+            .agg(F.min("comp").alias("comp"), F.max("old").alias("old"))
         )
+        sunk = saved(sunk, "labels-sunk")
         jump = sunk.select(F.col("c").alias("comp"), F.col("comp").alias("next"))
-        after = sunk.join(jump, "comp").select("c", F.col("next").alias("comp"))
-        after = saved(after, "labels")
-        changed = after.join(labels.withColumnRenamed("comp", "old"), "c").filter("comp != old")
-        if changed.isEmpty():
-            return after
-        labels = after
+        seen = Observation()
+        after = sunk.join(jump, "comp").select("c", F.col("next").alias("comp"), "old")
+        changed = F.count_if(F.col("comp") != F.col("old")).alias("changed")
+        labels = saved(after.observe(seen, changed), "labels").select("c", "comp")
+        if not seen.get["changed"]:
+            return labels
 
 
 def _with_comp(members: DataFrame, comps: DataFrame | None) -> DataFrame:
@@ -350,39 +375,18 @@ def _blocks(nodes: DataFrame, leaf: int) -> DataFrame:
     return blocked.withColumn("path", path).drop("own", "other")
 
 
-def _sets_of(texts, classes, pairs, large, words: int) -> DataFrame:
-    """Full sets of all that may be similar to anything: c, tokens.
-
-    Whoever may be has a pair of the first level, or sits in an oversized node there.
-    """
-    wanted = (
-        pairs.select(F.col("a").alias("c"))
-        .union(pairs.select(F.col("b").alias("c")))
-        .union(large.select("c"))
-        .distinct()
-    )
-    texts_of = saved(classes.join(wanted, "c", "left_semi").select("c", "first.*"), "wanted")
+def _sets_of(texts: DataFrame, classes: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """Full sets of the classes in members: c, tokens."""
+    wanted = classes.join(members.select("c").distinct(), "c", "left_semi").select("c", "first.*")
     return saved(
         texts.select("d", "t", "text")
-        .join(texts_of, ["d", "t"])
+        .join(saved(wanted, "wanted").hint("merge"), ["d", "t"])  # the same plan at every size
         .select("c", "text")
         .mapInArrow(_full_sets(words), "c binary, tokens binary"),
         "full-sets",
     )
 
 
-def _link(pairs, sets, similarity, links, comps, name) -> tuple[DataFrame, DataFrame]:
-    """Links and components once these pairs are confirmed too."""
-    more = _confirmed(pairs, sets, similarity, name)
-    if links is None:
-        links = more
-    elif more.isEmpty():
-        return links, comps
-    else:
-        links = saved(links.union(more).distinct(), "links")
-    return links, components(links)
-
-
 def similar_components(
     docs: DataFrame,
     similarity: float = SIMILARITY,
@@ -390,6 +394,7 @@ def similar_components(
     trees: int = TREES,
     leaf: int = LEAF,
     levels: int = LEVELS,
+    blocks: int = BLOCKS,
     margin: float = MARGIN,
 ) -> DataFrame:
     """One row per document: doc_id, at, text_hash, n_shingles, component_id, kept."""
@@ -408,41 +413,52 @@ def similar_components(
         ),
         "classes",
     )
-    roots = classes.select(
-        F.explode(F.transform(F.sequence(F.lit(1), F.lit(trees)), lambda r: F.xxhash64(r))).alias("path"),
-        "c",
-        "minwise",
-    )
+    numbers = F.sequence(F.lit(1), F.lit(trees))
+    roots = classes.select(F.explode(numbers).alias("tree"), "c", "minwise")
+    members = _descend(roots.withColumn("path", F.xxhash64("tree")), similarity)
     told = classes.select("c", "n", "sketch")
-    comps = links = sets = None
-    members = _descend(roots, similarity)
+    comps = sets = None
     for level in range(1, levels + 1):
         name = f"level{level}"
         nodes = saved(_sized(members, name).join(told, "c"), f"{name}-nodes")
-        known = saved(_with_comp(nodes, comps), f"{name}-known")
-        small, large = (known.filter(x) for x in (F.col("size") <= leaf, F.col("size") > leaf))
-        pairs = _leader_pairs(large, similarity).union(_pairs_of(small, similarity, margin, True))
-        pairs = saved(pairs.distinct(), f"{name}-candidates")
-        if sets is None:
-            sets = _sets_of(texts, classes, pairs, large, words)
-        links, comps = _link(pairs, sets, similarity, links, comps, name)
-
-        # Every pair across the components that are left, but in nodes with many outsiders.
+        if level == 1:
+            # Whoever may be similar to anyone is undecided in a node, or block, of some tree.
+            cut = _in_blocks(_with_comp(nodes, None), leaf)
+            similar = saved(
+                _by_path(cut, _undecided(similarity, margin), "path long, c binary"), "similar"
+            )
+            sets = _sets_of(texts, classes, similar.union(_oversized(nodes, leaf)), words)
+            tree = cut.filter("tree = 1").join(similar, ["path", "c"], "left_semi")
+            links = _by_path(
+                tree.join(sets, "c"),
+                _node_links(similarity, margin),
+                "a binary, b binary",
+                "tokens",
+            )
+            comps = components(saved(links, "first-links"))
+
         mixed = _mixed_nodes(nodes, comps)
         small, large = (mixed.filter(x) for x in (F.col("size") <= leaf, F.col("size") > leaf))
-        few, many = large.filter(F.col("others") <= leaf), large.filter(F.col("others") > leaf)
-        exhaustive = [small, _against_main(few, leaf)]
-        if level == levels:
-            exhaustive.append(_blocks(many, leaf))
-        columns = ["path", "c", "n", "sketch", "comp"]
-        together = exhaustive[0].select(columns)
-        for part in exhaustive[1:]:
-            together = together.union(part.select(columns))
-        pairs = _pairs_of(together, similarity, margin, False)
-        links, comps = _link(pairs, sets, similarity, links, comps, f"{name}-rest")
+        few, rest = large.filter(F.col("others") <= leaf), large.filter(F.col("others") > leaf)
+        exhaustive = (F.col("size") <= leaf * blocks) | F.lit(level == levels)
+        many = rest.filter(~exhaustive)
+        compared = small
+        for part in (
+            _against_main(few, leaf),
+            _blocks(rest.filter(exhaustive), leaf),
+            _in_blocks(many, leaf),
+        ):
+            compared = compared.unionByName(part)
+        undecided = _by_path(compared, _undecided(similarity, margin), "path long, c binary")
+        undecided = saved(undecided, f"{name}-undecided")
+        bring = compared.join(undecided, ["path", "c"], "left_semi").join(sets, "c")
+        links = _by_path(
+            bring, _node_links(similarity, margin), "a binary, b binary", "tokens"
+        )
+        comps = _joined(comps, saved(links, f"{name}-links"))
         if many.isEmpty():
             break
-        below = many.select("path", "c").join(classes.select("c", "minwise"), "c")
+        below = many.select("tree", "path", "c").join(classes.select("c", "minwise"), "c")
         members = _descend(below, similarity)
 
     smallest = (
@@ -484,3 +500,35 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
         }
     )
     return keyed.join(kept.distinct(), ["near_at", "near_hash"], "left_semi").select(*docs.columns)
+
+
+ORACLE = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+    FROM texts, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS t(i)
+    WHERE len(words) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1
+), common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both
+    FROM shingles AS a JOIN shingles AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY ALL
+), links AS (
+    SELECT x, y FROM common JOIN sizes AS a ON a.doc_id = x JOIN sizes AS b ON b.doc_id = y
+    WHERE 100 * n_both >= 85 * (a.n + b.n - n_both)
+), reach AS (
+    SELECT x, y FROM links
+    UNION
+    SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), lowest AS (
+    SELECT x AS doc_id, least(x, min(y)) AS component_id FROM reach GROUP BY x
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       doc_id = coalesce(component_id, doc_id) AS kept
+FROM texts LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)
+"""
