@@ -40,7 +40,7 @@ GRAM = 16
 BLOCK = 24 * 2**20  # bytes of text that a task works on at once
 SHARD = 64 * 2**20  # bytes of text per shard of anchors
 SORTED = 2**20  # bytes of contexts in one suffix array
-CROWD = 2000  # contexts of an anchor that go into one suffix array
+CROWD = 20_000  # contexts of an anchor that go into one suffix array
 _CHUNK = 2**18
 _PRIME = 0x9E3779B97F4A7C15
 
@@ -429,19 +429,18 @@ def _sort_contexts(length: int, size: int):
 
 
 def _crowded_spans(contexts: DataFrame, length: int) -> DataFrame:
-    """Repeats around anchors with very many contexts: their strings, each grouped by itself."""
+    """Repeats around anchors with very many contexts: their strings, each grouped by itself.
+
+    Only the MD5 of a string is moved.
+    """
     starts = F.sequence(F.lit(0).cast("long"), F.col("e") - F.col("s") - length)
-    strings = contexts.filter(F.col("e") - F.col("s") >= length).select(
-        "d", "t", "s", "context", F.explode(starts).alias("at")
-    )
-    strings = saved(
-        strings.select(
-            "d",
-            "t",
-            (F.col("s") + F.col("at")).alias("s"),
-            F.substring("context", (F.col("at") + 1).cast("int"), F.lit(length)).alias("string"),
-        ).distinct(),
-        "crowded-strings",
+    strings = contexts.select("d", "t", "s", "context", F.explode(starts).alias("at")).select(
+        "d",
+        "t",
+        (F.col("s") + F.col("at")).alias("s"),
+        F.unhex(
+            F.md5(F.substring("context", (F.col("at") + 1).cast("int"), F.lit(length)))
+        ).alias("string"),
     )
     firsts = strings.groupBy("string").agg(
         F.min(F.struct("d", "t", "s")).alias("first"), F.count("*").alias("n")
@@ -550,3 +549,41 @@ def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:
             "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
         )
     )
+
+
+ORACLE = r"""
+WITH texts AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits,
+           octet_length(encode(coalesce(text, ''))) AS n_bytes
+    FROM documents
+), strings AS (
+    SELECT doc_id, i AS start, md5(substr(digits, 2 * i + 1, 200)) AS string
+    FROM texts, unnest(range(0, n_bytes - 99)) AS t(i)
+), firsts AS (
+    SELECT string, min(row(doc_id, start)) AS place FROM strings GROUP BY 1 HAVING count(*) > 1
+), later AS (
+    SELECT doc_id, start FROM strings JOIN firsts USING (string)
+    WHERE row(doc_id, start) <> place
+), marked AS (
+    SELECT doc_id, start,
+           coalesce(start - lag(start) OVER (PARTITION BY doc_id ORDER BY start) > 100, true)
+               AS opens
+    FROM later
+), runs AS (
+    SELECT doc_id, start, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY start) AS run
+    FROM marked
+), spans AS (
+    SELECT doc_id, run, min(start) AS s, max(start) + 100 AS e FROM runs GROUP BY ALL
+), gaps AS (
+    SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS before
+    FROM spans
+), kept AS (
+    SELECT doc_id, sum(e - s) AS n_removed, count(*) AS n_spans, max(e) AS last_end,
+           string_agg(substr(digits, 2 * before + 1, 2 * (s - before)), '' ORDER BY s) AS head
+    FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head || substr(digits, 2 * last_end + 1), digits))) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""
