@@ -36,6 +36,7 @@ from paylens.llm.common import id_and_text, order_key, read_table, saved
 SAMPLE = 8000  # labelled documents used to fit
 LEAST_DOCS = 3  # training documents that must hold a word for it to get a vector
 WORD_DIM, SHAPE_DIM = 32, 16
+WIDTH = WORD_DIM + 3 * SHAPE_DIM + 2  # of a pooled document
 STRETCH = 64  # tokens
 HIDDEN = 32
 EPOCHS = 60
@@ -80,38 +81,46 @@ class Vectors:
 
 
 class Shapes:
-    """Shape of every token met, remembered up to a bound."""
+    """Shape numbers of tokens without a vector, remembered up to a bound."""
 
-    def __init__(self, bound: int = 300_000):
-        self.known: dict[str, str] = {}
-        self.bound = bound
+    def __init__(self, shapes: Vectors, bound: int = 300_000):
+        self.ids, self.known, self.bound = shapes.ids, {}, bound
 
-    def of(self, tokens: list[str]) -> list[str]:
-        known, out, before = self.known, [], None
+    def of(self, tokens: list[str]) -> list[int]:
+        known, out = self.known, []
         if len(known) > self.bound:
             known.clear()
         for token in tokens:
-            if token == before:
-                out.append("repeat")
-                continue
-            before = token
             form = known.get(token)
             if form is None:
-                form = known[token] = shape(token)
+                form = known[token] = self.ids.get(shape(token), 0)
             out.append(form)
         return out
 
 
-def pooled(words: Vectors, shapes: Vectors, memo: Shapes, text: str) -> np.ndarray:
+def _forms(model: Model, memo: Shapes, tokens: list[str], ids: np.ndarray) -> np.ndarray:
+    """Shape number of every token; one that repeats the token before it has its own."""
+    forms = model.shape_of[ids]
+    rare = np.flatnonzero(ids == 0)
+    forms[rare] = memo.of([tokens[i] for i in rare.tolist()])
+    again = ids[1:] == ids[:-1]
+    for i in np.flatnonzero(again & (ids[1:] == 0)).tolist():
+        again[i] = tokens[i] == tokens[i + 1]
+    forms[1:][again] = model.shapes.ids["repeat"]
+    return forms
+
+
+def pooled(model: Model, memo: Shapes, text: str) -> np.ndarray:
     tokens = tokens_of(text)
     if not tokens:
-        return np.zeros(WORD_DIM + 3 * SHAPE_DIM + 2, np.float32)
+        return np.zeros(WIDTH, np.float32)
+    words, shapes = model.words, model.shapes
     ids = words.rows(tokens)
     counts = np.bincount(ids)
     present = np.flatnonzero(counts)
     mean = (counts[present].astype(np.float32) @ words.table[present]) / len(ids)
     known = 1 - counts[0] / len(ids)
-    rows = shapes.table[shapes.rows(memo.of(tokens))]
+    rows = shapes.table[_forms(model, memo, tokens, ids)]
     starts = np.arange(0, len(rows), STRETCH)
     sums = np.add.reduceat(rows, starts, axis=0)
     means = sums / np.diff(np.append(starts, len(rows)))[:, None]
@@ -137,10 +146,15 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     ids[token] = len(ids)
             docs.update(set(tokens))
             at = np.array([ids[t] for t in tokens], np.int64)
+            near = index[at]
+            both = np.zeros_like(near)
             for distance in (1, 2):
-                if len(at) > distance:
-                    np.add.at(sums, at[distance:], index[at[:-distance]])
-                    np.add.at(sums, at[:-distance], index[at[distance:]])
+                both[distance:] += near[:-distance]
+                both[:-distance] += near[distance:]
+            order = np.argsort(at, kind="stable")
+            present, starts = np.unique(at[order], return_index=True)
+            if len(present):
+                sums[present] += np.add.reduceat(both[order], starts, axis=0)
     for start in range(0, len(ids), 10_000):
         names = list(ids)[start : start + 10_000]
         rows = sums[start : start + len(names)]
@@ -245,10 +259,11 @@ def held_out(doc_id: Column) -> Column:
 class Model:
     def __init__(self, words: Vectors, shapes: Vectors, network: Network | None = None):
         self.words, self.shapes, self.network = words, shapes, network
+        self.shape_of = np.array([0] + [shapes.ids.get(shape(w), 0) for w in words.ids], np.int32)
 
     def features(self, texts: list[str], memo: Shapes) -> np.ndarray:
-        rows = [pooled(self.words, self.shapes, memo, t) for t in texts]
-        return np.stack(rows) if rows else np.zeros((0, WORD_DIM + 3 * SHAPE_DIM + 2), np.float32)
+        rows = [pooled(self, memo, t) for t in texts]
+        return np.stack(rows) if rows else np.zeros((0, WIDTH), np.float32)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -269,7 +284,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     shared = spark.sparkContext.broadcast(model)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Shapes()
+        memo = Shapes(shared.value.shapes)
         for batch in batches:
             x = shared.value.features(batch["text"].to_pylist(), memo)
             yield pa.RecordBatch.from_arrays(
@@ -283,7 +298,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .toArrow()
         .sort_by("doc_id")
     )
-    x = np.array(rows["x"].to_pylist(), np.float64).reshape(rows.num_rows, -1)
+    x = np.array(rows["x"].to_pylist(), np.float64).reshape(-1, WIDTH)
     y = rows["label"].to_numpy().astype(np.float64)
     ids = rows["doc_id"].to_pylist()
     held = np.array([zlib.crc32(b"t%d" % i) % 8 == 0 for i in ids], bool)
@@ -299,7 +314,7 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Shapes()
+        memo = Shapes(shared.value.shapes)
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
@@ -330,7 +345,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5, **options)
 
     @F.pandas_udf("double")
     def score(texts):
-        x = shared.value.features(texts.tolist(), Shapes())
+        x = shared.value.features(texts.tolist(), Shapes(shared.value.shapes))
         return pd.Series(shared.value.network.score(x))
 
     return docs.filter(score(F.coalesce(F.col("text"), F.lit(""))) >= least)
