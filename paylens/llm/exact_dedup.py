@@ -94,11 +94,12 @@ def check_hits(docs: DataFrame, state: DataFrame, digits: int) -> DataFrame:
         "digest", F.col("at").alias("first_at"), F.col("locator")
     )
     members = saved(norm.join(hits, "digest"), "hits")
-    named = (
+    named = saved(
         members.filter("at = first_at AND file = locator")
         .groupBy("digest")
-        .agg(F.min("norm").alias("named"))
-    )
+        .agg(F.min("norm").alias("named")),
+        "named",
+    )  # written, so that the join below can split the members of a very large group
     return members.join(named, "digest").select(
         "digest", "at", "norm", (F.col("norm") == F.col("named")).alias("same")
     )
