@@ -36,7 +36,7 @@ from paylens.llm.blocks import blocks, by_shard, dealt
 from paylens.llm.common import id_and_text, read_table, scratch, word_hashes
 from paylens.llm.store import Store
 
-BLOCK = 24 * 2**20  # bytes of text that a task works on at once
+BLOCK = 16 * 2**20  # bytes of text that a task works on at once
 SHARD = 20 * 2**20  # bytes of text per shard
 ADD = 0.1  # of the base score
 
