@@ -3,13 +3,19 @@
 Every stage reads all that the one before it kept and passes on the columns of ``documents``; the
 last adds ``mix_copy``, the number of the copy, as documents may be taken more than once. Nulls,
 empty texts and repeated rows are treated as each operator's module says.
+
+A stage's result is to be written before the next stage is called: what a stage has written for itself
+is deleted then, so that the shared folder holds the tables of one stage at a time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
-from paylens.llm.common import read_table, saved
+from paylens.llm.common import delete, noted, read_table, saved
 from paylens.llm.decontamination import drop_leaks
 from paylens.llm.exact_dedup import keep_first
 from paylens.llm.mixing import mix_documents
@@ -18,27 +24,50 @@ from paylens.llm.quality import keep_good
 
 NEAR_SIMILARITY = 0.8
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_left: dict[str, list[str]] = {}  # by application: tables of the stage called last
+
+
+def _tidy(stage: Stage) -> Stage:
+    """The stage, after the tables that the one before has left are deleted."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        app_id = spark.sparkContext.applicationId
+        delete(spark, _left.get(app_id, []))
+        with noted() as paths:
+            out = stage(spark, docs, sf_dir)
+        _left[app_id] = paths
+        return out
+
+    return run_stage
+
 
+@_tidy
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     return keep_good(docs, read_table(spark, sf_dir, "labels"))
 
 
+@_tidy
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first of all documents with the same text."""
     return keep_first(docs)
 
 
+@_tidy
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near duplicates."""
     return keep_one(docs, similarity=NEAR_SIMILARITY)
 
 
+@_tidy
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no benchmark item."""
     return drop_leaks(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+@_tidy
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mix_documents(docs)
@@ -60,4 +89,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    delete(spark, _left[spark.sparkContext.applicationId])
     return docs

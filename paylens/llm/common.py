@@ -15,6 +15,9 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import xxhash
@@ -27,9 +30,34 @@ LAST = 2**63 - 1
 WHITE = r"\x20\x09-\x0D"
 
 
+_noted: ContextVar[list[str] | None] = ContextVar("noted", default=None)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share."""
-    return f"{work_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{work_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    if _noted.get() is not None:
+        _noted.get().append(path)
+    return path
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """Collects the paths that scratch() gives out meanwhile."""
+    paths: list[str] = []
+    token = _noted.set(paths)
+    try:
+        yield paths
+    finally:
+        _noted.reset(token)
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Remove tables in the shared folder; the list is empty afterwards."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    paths.clear()
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
