@@ -16,7 +16,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from paylens.llm.common import delete, noted, read_table, saved
-from paylens.llm.decontamination import drop_leaks
+from paylens.llm.decontamination import WHOLE, drop_leaks
 from paylens.llm.exact_dedup import keep_first
 from paylens.llm.mixing import mix_documents
 from paylens.llm.near_dedup import keep_one
@@ -64,7 +64,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_tidy
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no benchmark item."""
-    return drop_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+    return drop_leaks(docs, read_table(spark, sf_dir, "benchmark"), **WHOLE)
 
 
 @_tidy

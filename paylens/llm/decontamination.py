@@ -3,9 +3,9 @@
 Numbers, units after numbers, and names (capitalised words inside a sentence) become typed
 placeholders, other words are lower-cased; so a question whose figures or names were changed
 has the template of the original. Both sides are cut into windows of ``width`` words of the
-template and joined by hash: the benchmark at every word, a document at every ``stride``-th, which
-still meets every shared run of ``width + stride - 1`` words. Documents that meet are then cut
-at every word, windows are compared in full, and what stood in the placeholders is checked: along
+template and joined by hash: the benchmark at every word, a document at every ``stride``-th, by default also at every word, so that every shared
+window is met. In documents that meet, windows are compared in full, and what stood in the
+placeholders is checked: along
 one alignment of document and item, a value of the item must always have been replaced by the
 same value. A document leaks an item when consistent windows cover ``least`` words of the item, or
 all of it if it is shorter.
@@ -13,8 +13,11 @@ all of it if it is shorter.
 The join of all windows is left to Spark: the benchmark's side is broadcast only when the
 written table is below the session's threshold, and shuffled otherwise.
 
-Defined cases: null texts are empty; items of fewer than ``width`` words, or windows with fewer
-than ``literal`` ordinary words, are no evidence; an empty benchmark flags nothing; rows that
+``leaks`` by itself judges strictly; the query and the pipeline ask for all of ``WHOLE``.
+
+Defined cases: null texts are empty; windows with fewer than ``literal`` ordinary words are no
+evidence, nor are items of fewer than ``width`` words, unless ``short_items`` makes each of them
+one window; an empty benchmark flags nothing; rows that
 repeat doc_id and text give one result; rows that repeat an item count as one; item ids may be
 null.
 """
@@ -26,7 +29,9 @@ from pyspark.sql import functions as F
 
 from paylens.llm.common import LAST, order_key, read_table, saved
 
-WIDTH, STRIDE, LITERAL, LEAST = 8, 4, 4, 13
+WIDTH, STRIDE, LITERAL, LEAST = 8, 1, 4, 13
+# What the query and the pipeline find beyond the strict defaults.
+WHOLE = {"short_items": True}
 
 # Units that may follow a number.
 UNITS = (
@@ -75,36 +80,64 @@ def _is_slot(word: Column) -> Column:
     return word.isin(_NUMBER, _UNIT, _NAME)
 
 
-def _windows(df: DataFrame, width: int, *keys: str) -> DataFrame:
-    """Every window of ``words`` with what stood in its places: keys, at, hash, window, stood."""
-    cut = F.transform(
-        _starts(F.col("words"), width, 1),
-        lambda i: F.struct(
-            i.alias("at"),
-            F.slice(F.col("words"), i + 1, width).alias("window"),
-            F.slice(F.col("stood"), i + 1, width).alias("stood"),
-        ),
+def _word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda x: F.xxhash64(x))
+
+
+def _window_hash(hashes: Column, start: Column, width: int) -> Column:
+    """Hash of the window of ``width`` words at start, from the hashes of the words."""
+    return F.xxhash64(*(F.get(hashes, start + k) for k in range(width)))
+
+
+def _window_hashes(hashes: Column, width: int, stride: int) -> Column:
+    return F.transform(
+        _starts(hashes, width, stride), lambda i: _window_hash(hashes, i, width)
     )
+
+
+def _windows(df: DataFrame, widths: list[int], *keys: str) -> DataFrame:
+    """Every window of ``words`` with what stood in its places: keys, at, hash, window, stood."""
+
+    def cut(width: int) -> Column:
+        return F.transform(
+            _starts(F.col("words"), width, 1),
+            lambda i: F.struct(
+                i.alias("at"),
+                _window_hash(F.col("hashes"), i, width).alias("hash"),
+                F.slice(F.col("words"), i + 1, width).alias("window"),
+                F.slice(F.col("stood"), i + 1, width).alias("stood"),
+            ),
+        )
+
     return (
-        df.select(*keys, F.explode(cut).alias("w"))
+        df.withColumn("hashes", _word_hashes(F.col("words")))
+        .select(*keys, F.explode(F.concat(*map(cut, widths))).alias("w"))
         .select(*keys, "w.*")
-        .withColumn("hash", F.xxhash64("window"))
     )
 
 
-def benchmark_windows(benchmark: DataFrame, width: int = WIDTH, literal: int = LITERAL):
+def benchmark_windows(
+    benchmark: DataFrame, width: int = WIDTH, literal: int = LITERAL, short_items: bool = False
+):
     items = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"),
         template(F.col("text")).alias("words"),
         values(F.col("text")).alias("stood"),
     ).dropDuplicates()
-    cut = _windows(items.withColumn("n", F.size("words")), width, "item_id", "n")
+    widths = [*range(max(literal, 1), width if short_items else 0), width]
+    cut = _windows(items.withColumn("n", F.size("words")), widths, "item_id", "n")
+    cut = cut.filter(F.size("window") == F.least(F.col("n"), F.lit(width)))
     words = F.size(F.filter("window", lambda x: ~_is_slot(x)))
     return saved(
         cut.filter(words >= literal).withColumnRenamed("at", "item_at"), "benchmark-windows"
     )
 
 
+def _widths(items: DataFrame) -> list[int]:
+    """The sizes of the benchmark's windows: ``width``, and those of shorter items."""
+    return sorted(r[0] for r in items.select(F.size("window")).distinct().collect())
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -112,37 +145,41 @@ def leaks(
     stride: int = STRIDE,
     literal: int = LITERAL,
     least: int = LEAST,
+    short_items: bool = False,
 ) -> DataFrame:
     """Pairs of document and leaked item.
 
+    short_items: items of fewer than ``width`` words leak where all of their template stands.
+
     at, text_hash: order key of the doc_id and hash of the text; doc_id, item_id; windows: matched;
     covered: words of the item; item_words; slots: placeholders matched; changed: those whose
     value differs.
     """
     keys = ["at", "text_hash"]
-    items = benchmark_windows(benchmark, width, literal)
+    items = benchmark_windows(benchmark, width, literal, short_items)
     texts = docs.select(
         order_key(F.col("doc_id").cast("long")).alias("at"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     ).withColumn("text_hash", F.xxhash64("text"))
-    hashes = F.transform(
-        _starts(F.col("words"), width, stride),
-        lambda i: F.xxhash64(F.slice(F.col("words"), i + 1, width)),
+    widths = _widths(items) or [width]
+    hashes = F.concat(
+        *(_window_hashes(F.col("words"), w, stride if w == width else 1) for w in widths)
     )
+    # Texts that meet are found by their hash alone; one that shares it by chance matches nothing.
     met = saved(
-        texts.select(*keys, template(F.col("text")).alias("words"))
-        .select(*keys, F.explode(hashes).alias("hash"))
+        texts.select("text_hash", _word_hashes(template(F.col("text"))).alias("words"))
+        .select("text_hash", F.explode(F.array_distinct(hashes)).alias("hash"))
         .join(items.select("hash").distinct(), "hash", "left_semi")
-        .select(*keys)
+        .select("text_hash")
         .distinct(),
         "benchmark-met",
     )
     near = (
-        texts.join(met, keys, "left_semi")
+        texts.join(met, "text_hash", "left_semi")
         .dropDuplicates(keys)
         .select(*keys, template(F.col("text")).alias("words"), values(F.col("text")).alias("stood"))
     )
-    matched = _match(near, items, width, keys)
+    matched = _match(near, items, widths, keys)
     slots = F.filter(
         F.zip_with(
             F.arrays_zip("window", "stood"),
@@ -169,7 +206,7 @@ def leaks(
     covered = F.array_distinct(
         F.flatten(
             F.transform(
-                F.flatten(F.collect_list("starts")), lambda i: F.sequence(i, i + (width - 1))
+                F.flatten(F.collect_list("starts")), lambda i: F.sequence(i, F.least(i + width, F.col("n")) - 1)
             )
         )
     )
@@ -194,12 +231,12 @@ def leaks(
     )
 
 
-def _match(near: DataFrame, items: DataFrame, width: int, keys: list[str]) -> DataFrame:
+def _match(near: DataFrame, items: DataFrame, widths: list[int], keys: list[str]) -> DataFrame:
     """Windows of both sides that agree in full."""
     own = near.select(
         *(F.col(k).alias(f"key_{k}") for k in keys), "words", "stood"
     )
-    cut = _windows(own, width, *(f"key_{k}" for k in keys)).select(
+    cut = _windows(own, widths, *(f"key_{k}" for k in keys)).select(
         *(F.col(f"key_{k}").alias(k) for k in keys),
         F.col("at").alias("doc_at"),
         F.col("stood").alias("doc_stood"),
@@ -211,7 +248,7 @@ def _match(near: DataFrame, items: DataFrame, width: int, keys: list[str]) -> Da
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:
     docs, benchmark = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
-    return leaks(docs, benchmark).drop("at", "text_hash")
+    return leaks(docs, benchmark, **WHOLE).drop("at", "text_hash")
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -5,7 +5,7 @@ import regex
 
 import pytest
 
-from paylens.llm.decontamination import UNITS, drop_leaks, leaks
+from paylens.llm.decontamination import UNITS, WHOLE, drop_leaks, leaks
 from pyspark.sql import functions as F
 
 NUM, UNIT, NAME = "", "", ""
@@ -147,3 +147,35 @@ def test_supplied_passages(spark):
 def test_empty(table, bench):
     assert run(table([]), bench([(1, QUESTION)])) == set()
     assert run(table([(1, QUESTION)]), bench([])) == set()
+
+
+def test_every_window_and_short_items(table, bench):
+    words = [f"{a}{b}" for a in "abcdefghij" for b in ("ro", "li", "ne", "sta")]
+    items = [(n, " ".join(words[n : n + n])) for n in (5, 8, 9, 10)] + [(20, " ".join(words[:20]))]
+    rows = []
+    for before in range(8):  # every place relative to a stride
+        pre = " ".join(["zz"] * before)
+        rows += [(100 * n + before, f"{pre} {text} yy") for n, text in items[:4]]
+        edited = " ".join(words[:9] + ["xx"] + words[10:19])
+        rows.append((2000 + before, f"{pre} {edited} yy"))
+    got = run(table(rows), bench(items), **WHOLE)
+    assert {(100 * n + i, n) for n, _ in items[:4] for i in range(8)} <= got
+    assert {(2000 + i, 20) for i in range(8)} <= got
+    strict = run(table(rows), bench(items))
+    assert strict == brute(rows, items) == {p for p in got if p[1] != 5}
+
+
+def test_brute_force_at_the_defaults(table, bench):
+    rng = random.Random(9)
+    words = [f"{a}{b}" for a in "abcdefgh" for b in ("ro", "li", "ne")] + ["10", "km"]
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(8, 18)))) for i in range(20)]
+    rows = []
+    for i in range(60):
+        text = [rng.choice(words) for _ in range(rng.randrange(40))]
+        part = rng.choice(items)[1].split()
+        start = rng.randrange(3)
+        at = rng.randrange(len(text) + 1)
+        text[at:at] = part[start : start + rng.randrange(8, 18)]
+        rows.append((i, " ".join(text)))
+    got = run(table(rows), bench(items))
+    assert got == brute(rows, items) and len(got) > 5
