@@ -7,7 +7,8 @@ template and joined by hash: the benchmark at every word, a document at every ``
 window is met. In documents that meet, windows are compared in full, and what stood in the
 placeholders is checked: along
 one alignment of document and item, a value of the item must always have been replaced by the
-same value. A document leaks an item when consistent windows cover ``least`` words of the item, or
+same value; with ``per_window``, within every window by itself, so that a value replaced in two ways
+takes only the windows that hold both. A document leaks an item when consistent windows cover ``least`` words of the item, or
 all of it if it is shorter.
 
 The join of all windows is left to Spark: the benchmark's side is broadcast only when the
@@ -31,7 +32,7 @@ from paylens.llm.common import LAST, order_key, read_table, saved
 
 WIDTH, STRIDE, LITERAL, LEAST = 8, 1, 4, 13
 # What the query and the pipeline find beyond the strict defaults.
-WHOLE = {"short_items": True}
+WHOLE = {"short_items": True, "per_window": True}
 
 # Units that may follow a number.
 UNITS = (
@@ -146,10 +147,12 @@ def leaks(
     literal: int = LITERAL,
     least: int = LEAST,
     short_items: bool = False,
+    per_window: bool = False,
 ) -> DataFrame:
     """Pairs of document and leaked item.
 
     short_items: items of fewer than ``width`` words leak where all of their template stands.
+    per_window: slots are judged within each window instead of along the whole alignment.
 
     at, text_hash: order key of the doc_id and hash of the text; doc_id, item_id; windows: matched;
     covered: words of the item; item_words; slots: placeholders matched; changed: those whose
@@ -190,8 +193,11 @@ def leaks(
         ),
         lambda x: _is_slot(x["kind"]),
     )
+    origin = F.array_distinct(F.transform("slots", lambda x: F.struct(x["kind"], x["item"])))
+    consistent = F.size(F.array_distinct("slots")) == F.size(origin)
+    matched = matched.withColumn("slots", slots)
     aligned = (
-        matched.withColumn("slots", slots)
+        (matched.filter(consistent) if per_window else matched)
         .groupBy(*keys, "item_id", "n", (F.col("doc_at") - F.col("item_at")).alias("shift"))
         .agg(
             F.count("*").alias("windows"),
@@ -199,14 +205,11 @@ def leaks(
             F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
         )
     )
-    origin = F.array_distinct(
-        F.transform("slots", lambda x: F.struct(x["kind"], x["item"]))
-    )
-    consistent = F.size("slots") == F.size(origin)
     covered = F.array_distinct(
         F.flatten(
             F.transform(
-                F.flatten(F.collect_list("starts")), lambda i: F.sequence(i, F.least(i + width, F.col("n")) - 1)
+                F.flatten(F.collect_list("starts")),
+                lambda i: F.sequence(i, F.least(i + width, F.col("n")) - 1),
             )
         )
     )
@@ -214,7 +217,7 @@ def leaks(
         F.array_distinct(F.flatten(F.collect_list("slots"))), lambda x: x["item"] != x["doc"]
     )
     found = (
-        aligned.filter(consistent)
+        (aligned if per_window else aligned.filter(consistent))
         .groupBy(*keys, "item_id", F.col("n").alias("item_words"))
         .agg(
             F.sum("windows").alias("windows"),

@@ -179,3 +179,16 @@ def test_brute_force_at_the_defaults(table, bench):
         rows.append((i, " ".join(text)))
     got = run(table(rows), bench(items))
     assert got == brute(rows, items) and len(got) > 5
+
+
+def test_inconsistent_slot_takes_its_windows_only(table, bench):
+    rows = [
+        (1, QUESTION.replace("then Anna", "then Maria")),
+        (2, QUESTION.replace("10 km", "12 km").replace("10 steps", "15 steps")),
+        (3, QUESTION.replace("10 steps", "11 steps")),
+        (4, "Now x said that Ida and Tom like Ida and Jim a lot, but then rain came down."),
+    ]
+    # One name became two within every window that could match.
+    items = [(10, QUESTION), (11, "Now x said that Bob and Tom like Bob and Tom a lot")]
+    assert run(table(rows), bench(items), **WHOLE) == {(1, 10), (2, 10), (3, 10)}
+    assert run(table(rows), bench(items)) == brute(rows, items) == set()
