@@ -2,14 +2,15 @@
 
 Numbers, units after numbers, and names (capitalised words inside a sentence) become typed
 placeholders, other words are lower-cased; so a question whose figures or names were changed
-has the template of the original. Both sides are cut into windows of ``width`` words of the
-template and joined by hash: the benchmark at every word, a document at every ``stride``-th, by default also at every word, so that every shared
-window is met. In documents that meet, windows are compared in full, and what stood in the
-placeholders is checked: along
-one alignment of document and item, a value of the item must always have been replaced by the
-same value; with ``per_window``, within every window by itself, so that a value replaced in two ways
-takes only the windows that hold both. A document leaks an item when consistent windows cover ``least`` words of the item, or
-all of it if it is shorter.
+has the template of the original. With ``folded``, texts are compared once more without letter
+case and with any white space as one blank, where names are words; one view has to cover an item.
+Both sides are cut into windows of ``width`` words of the template and joined by hash: the
+benchmark at every word, a document at every ``stride``-th, by default also at every word, so that
+every shared window is met. In documents that meet, windows are compared in full, and what stood
+in the placeholders is checked: along one alignment of document and item, a value of the item must
+always have been replaced by the same value; with ``per_window``, within every window by itself, so
+that a value replaced in two ways takes only the windows that hold both. A document leaks an item
+when consistent windows cover ``least`` words of the item, or all of it if it is shorter.
 
 The join of all windows is left to Spark: the benchmark's side is broadcast only when the
 written table is below the session's threshold, and shuffled otherwise.
@@ -32,7 +33,7 @@ from paylens.llm.common import LAST, order_key, read_table, saved
 
 WIDTH, STRIDE, LITERAL, LEAST = 8, 1, 4, 13
 # What the query and the pipeline find beyond the strict defaults.
-WHOLE = {"short_items": True, "per_window": True}
+WHOLE = {"short_items": True, "per_window": True, "folded": True}
 
 # Units that may follow a number.
 UNITS = (
@@ -70,6 +71,23 @@ def template(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(numbers), F.lit(_MARKED), F.lit(0))
 
 
+def fold(text: Column) -> Column:
+    """Text without letter case, with one blank for any white space: it has no names."""
+    return F.lower(F.regexp_replace(text.cast("string"), r"[\s\p{Z}]+", " "))
+
+
+def _views(text: Column, folded: bool) -> list[Column]:
+    return [text, fold(text)] if folded else [text]
+
+
+def _cut_views(df: DataFrame, folded: bool, *keys: str) -> DataFrame:
+    """keys, view, words and what stood in their places, for each view of ``text``."""
+    views = F.posexplode(F.array(*_views(F.col("text"), folded))).alias("view", "text")
+    return df.select(*keys, views).select(
+        *keys, "view", template(F.col("text")).alias("words"), values(F.col("text")).alias("stood")
+    )
+
+
 def _starts(words: Column, width: int, stride: int) -> Column:
     """Where windows start, from 0."""
     last = F.size(words) - width
@@ -118,15 +136,16 @@ def _windows(df: DataFrame, widths: list[int], *keys: str) -> DataFrame:
 
 
 def benchmark_windows(
-    benchmark: DataFrame, width: int = WIDTH, literal: int = LITERAL, short_items: bool = False
+    benchmark: DataFrame,
+    width: int = WIDTH,
+    literal: int = LITERAL,
+    short_items: bool = False,
+    folded: bool = False,
 ):
-    items = benchmark.select(
-        F.col("item_id").cast("long").alias("item_id"),
-        template(F.col("text")).alias("words"),
-        values(F.col("text")).alias("stood"),
-    ).dropDuplicates()
+    own = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
+    items = _cut_views(own, folded, "item_id").dropDuplicates()
     widths = [*range(max(literal, 1), width if short_items else 0), width]
-    cut = _windows(items.withColumn("n", F.size("words")), widths, "item_id", "n")
+    cut = _windows(items.withColumn("n", F.size("words")), widths, "item_id", "view", "n")
     cut = cut.filter(F.size("window") == F.least(F.col("n"), F.lit(width)))
     words = F.size(F.filter("window", lambda x: ~_is_slot(x)))
     return saved(
@@ -148,39 +167,46 @@ def leaks(
     least: int = LEAST,
     short_items: bool = False,
     per_window: bool = False,
+    folded: bool = False,
 ) -> DataFrame:
     """Pairs of document and leaked item.
 
     short_items: items of fewer than ``width`` words leak where all of their template stands.
     per_window: slots are judged within each window instead of along the whole alignment.
+    folded: texts are also compared without letter case and with any white space as one blank.
 
     at, text_hash: order key of the doc_id and hash of the text; doc_id, item_id; windows: matched;
     covered: words of the item; item_words; slots: placeholders matched; changed: those whose
     value differs.
     """
     keys = ["at", "text_hash"]
-    items = benchmark_windows(benchmark, width, literal, short_items)
+    items = benchmark_windows(benchmark, width, literal, short_items, folded)
     texts = docs.select(
         order_key(F.col("doc_id").cast("long")).alias("at"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     ).withColumn("text_hash", F.xxhash64("text"))
     widths = _widths(items) or [width]
+    views = {f"view_{k}": v for k, v in enumerate(_views(F.col("text"), folded))}
     hashes = F.concat(
-        *(_window_hashes(F.col("words"), w, stride if w == width else 1) for w in widths)
+        *(
+            _window_hashes(F.col(name), w, stride if w == width else 1)
+            for name in views
+            for w in widths
+        )
     )
     # Texts that meet are found by their hash alone; one that shares it by chance matches nothing.
     met = saved(
-        texts.select("text_hash", _word_hashes(template(F.col("text"))).alias("words"))
+        texts.select(
+            "text_hash", *(_word_hashes(template(v)).alias(name) for name, v in views.items())
+        )
         .select("text_hash", F.explode(F.array_distinct(hashes)).alias("hash"))
         .join(items.select("hash").distinct(), "hash", "left_semi")
         .select("text_hash")
         .distinct(),
         "benchmark-met",
     )
-    near = (
-        texts.join(met, "text_hash", "left_semi")
-        .dropDuplicates(keys)
-        .select(*keys, template(F.col("text")).alias("words"), values(F.col("text")).alias("stood"))
+    near = _cut_views(
+        texts.join(met, "text_hash", "left_semi").dropDuplicates(keys), folded, *keys
     )
     matched = _match(near, items, widths, keys)
     slots = F.filter(
@@ -198,7 +224,7 @@ def leaks(
     matched = matched.withColumn("slots", slots)
     aligned = (
         (matched.filter(consistent) if per_window else matched)
-        .groupBy(*keys, "item_id", "n", (F.col("doc_at") - F.col("item_at")).alias("shift"))
+        .groupBy(*keys, "item_id", "view", "n", (F.col("doc_at") - F.col("item_at")).alias("shift"))
         .agg(
             F.count("*").alias("windows"),
             F.collect_set("item_at").alias("starts"),
@@ -218,7 +244,7 @@ def leaks(
     )
     found = (
         (aligned if per_window else aligned.filter(consistent))
-        .groupBy(*keys, "item_id", F.col("n").alias("item_words"))
+        .groupBy(*keys, "item_id", "view", F.col("n").alias("item_words"))
         .agg(
             F.sum("windows").alias("windows"),
             F.size(covered).alias("covered"),
@@ -227,6 +253,14 @@ def leaks(
         )
         .filter(F.col("covered") >= F.least(F.lit(least), F.col("item_words")))
     )
+    # Of the views, the one that covers most, or the first of them.
+    figures = ["windows", "covered", "slots", "changed"]
+    best = F.max(F.struct("covered", (-F.col("view")).alias("order"), F.struct(*figures).alias("f")))
+    found = (
+        found.groupBy(*keys, "item_id", "item_words")
+        .agg(best.alias("best"))
+        .select(*keys, "item_id", "item_words", "best.f.*")
+    )
     doc_id = F.when(F.col("at") != LAST, F.col("at"))
     return found.select(
         *keys, doc_id.alias("doc_id"), "item_id", "windows", "covered", "item_words", "slots",
@@ -237,16 +271,17 @@ def leaks(
 def _match(near: DataFrame, items: DataFrame, widths: list[int], keys: list[str]) -> DataFrame:
     """Windows of both sides that agree in full."""
     own = near.select(
-        *(F.col(k).alias(f"key_{k}") for k in keys), "words", "stood"
+        *(F.col(k).alias(f"key_{k}") for k in keys), "view", "words", "stood"
     )
-    cut = _windows(own, widths, *(f"key_{k}" for k in keys)).select(
+    cut = _windows(own, widths, *(f"key_{k}" for k in keys), "view").select(
         *(F.col(f"key_{k}").alias(k) for k in keys),
+        "view",
         F.col("at").alias("doc_at"),
         F.col("stood").alias("doc_stood"),
         "hash",
         "window",
     )
-    return cut.join(items, ["hash", "window"])
+    return cut.join(items, ["view", "hash", "window"])
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -192,3 +192,18 @@ def test_inconsistent_slot_takes_its_windows_only(table, bench):
     items = [(10, QUESTION), (11, "Now x said that Bob and Tom like Bob and Tom a lot")]
     assert run(table(rows), bench(items), **WHOLE) == {(1, 10), (2, 10), (3, 10)}
     assert run(table(rows), bench(items)) == brute(rows, items) == set()
+
+
+def test_other_case_and_white_space(table, bench):
+    reflowed = QUESTION.replace(" with Anna", "\nwith  Anna").replace(" Bob", "\nBob").replace("25 kg", "30 kg")
+    german = "Der Hund und die Katze sahen den Vogel im Garten, als der Regen auf das Dach fiel und Wind kam"
+    rows = [
+        (1, QUESTION.upper()), (2, QUESTION.lower()), (3, reflowed.replace(" Anna", "\nAnna")),
+        (4, german.lower()), (5, german.upper()), (6, german), (7, QUESTION), (8, "nothing of it"),
+    ]
+    items = [(10, QUESTION), (11, german)]
+    want = {(1, 10), (2, 10), (3, 10), (7, 10), (4, 11), (5, 11), (6, 11)}
+    found = leaks(table(rows), bench(items), **WHOLE).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == sorted(want)
+    assert all(r["covered"] == r["item_words"] for r in found if r["doc_id"] != 3)
+    assert not {1, 4, 5} & {doc_id for doc_id, _ in run(table(rows), bench(items))}
