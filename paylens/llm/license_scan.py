@@ -3,8 +3,10 @@
 All templates, as word sequences, go into one generalised suffix automaton. A text is
 streamed through it word by word: at each word the automaton gives the longest run of words
 ending there that occurs in some template. Runs that cannot be extended and are long enough
-are matches; matches of one template that follow each other in text and template are chained
-into a span, and a template that is covered far enough gives its label. Labels of the short
+are matches. Per template, dynamic programming over the pieces of all matches finds the chain, in
+the order of text and template, that covers most of its words; a template that is covered far
+enough gives its label and a span. Pieces of a chain are at most some words of text apart, but for
+two long ones, which may be any distance apart. Labels of the short
 base phrases come from the same pass: a phrase stands where the run's state has it as suffix.
 
 The automaton is built from the given templates alone, so its size does not depend on the data.
@@ -15,6 +17,7 @@ works, as only the current run and the matches are kept.
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 
@@ -56,7 +59,8 @@ TEMPLATES = [
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
 LEAST_MATCH = 2  # words of a match that counts
-MAX_GAP = 12  # words between matches of one span, in text and in template
+MAX_GAP = 12  # words of text between matches of one span
+LONG_MATCH = 5  # words of pieces that belong together at any distance
 COVERED = 0.8  # part of a template that gives its label
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -73,6 +77,8 @@ class Automaton:
         named = [(label, words_of(text)) for label, text in templates]
         named += [(label, words_of(text)) for text, label in phrases.items()]
         self.labels = [label for label, _ in named]
+        self.words = [words for _, words in named]
+        self.pieces: dict[tuple[int, int], list[tuple[int, int, int, int]]] = {}
         self.lengths = [len(words) for _, words in named]
         self.vocabulary: dict[str, int] = {}
         self.next: list[dict[int, int]] = [{}]
@@ -159,32 +165,107 @@ class Automaton:
             matches.append((len(ids), run, state))
         return found, matches
 
+    def fragments(self, run: int, state: int) -> list[tuple[int, int, int, int]]:
+        """Where the words of a match stand in any template: (template, offset, begin, size).
+
+        Every longest common piece of two words or more, also of templates that hold a part of the
+        match only. Kept by state and length, of which there are as many as pieces of templates.
+        """
+        known = self.pieces.get((run, state))
+        if known is not None:
+            return known
+        k, at = self.ends[state][0]
+        words = self.words[k][at + 1 - run : at + 1]
+        known = self.pieces[run, state] = []
+        for k, template in enumerate(self.words):
+            for shift in range(1 - run, len(template)):  # template place less match place
+                size = 0
+                for i in range(max(0, -shift), min(run, len(template) - shift) + 1):
+                    if i < run and i + shift < len(template) and words[i] == template[i + shift]:
+                        size += 1
+                        continue
+                    if size >= min(run, 2):
+                        known.append((k, i - size, i - size + shift, size))
+                    size = 0
+        return known
+
     def spans(self, matches: list, max_gap: int) -> list[tuple[int, int, int, float]]:
-        """Chains of matches, as (template, start, end, covered part of the template)."""
-        chains: list[tuple[int, int, int, float]] = []
-        open_: dict[int, list[int]] = {}  # template: start, end, template end, words covered
+        """Chains of matches, as (template, start, end, covered part of the template).
+
+        Per template the ordered cover of most words, then the best of what it leaves, as long as
+        chains cover ``COVERED``; first over gaps of ``max_gap`` words of text at most, then also
+        over any gap between two long pieces.
+        """
+        by: dict[int, set[tuple[int, int, int]]] = {}
         for end, run, state in matches:
-            for template, at in self.ends[state]:
-                size = min(run, at + 1)
-                start, begin = end - size, at + 1 - size
-                chain = open_.get(template)
-                if (
-                    chain
-                    and 0 <= start - chain[1] <= max_gap
-                    and 0 <= begin - chain[2] <= max_gap
-                ):
-                    chain[1], chain[2], chain[3] = end, at + 1, chain[3] + size
-                    continue
-                if chain and chain[1] > start and chain[3] >= size:
-                    continue  # the longer of two overlapping matches stays
-                if chain:
-                    chains.append((template, chain[0], chain[1], chain[3] / self.lengths[template]))
-                open_[template] = [start, end, at + 1, size]
-        for template, chain in open_.items():
-            chains.append((template, chain[0], chain[1], chain[3] / self.lengths[template]))
+            for template, offset, begin, size in self.fragments(run, state):
+                by.setdefault(template, set()).add((end - run + offset + size, begin, size))
+        chains = []
+        for template, found in by.items():
+            left, length = sorted(found), self.lengths[template]
+            for far in (False, True):
+                while left and (not far or any(f[2] >= LONG_MATCH for f in left)):
+                    best = _chains(left, max_gap, far)
+                    good = [c for c in best if c[2] >= COVERED * length]
+                    taken: list[tuple[int, int]] = []
+                    for start, end, size in good or best[:1]:
+                        at = bisect.bisect_left(taken, (end, 0))
+                        if at and taken[at - 1][1] > start:
+                            continue  # stands in or across one that covers more
+                        bisect.insort(taken, (start, end))
+                        chains.append((template, start, end, size / length))
+                    if not good:
+                        break
+                    left = _outside(left, taken)
         return chains
 
 
+def _chains(fragments: list, max_gap: int, far: bool) -> list[tuple[int, int, int]]:
+    """(start, end, words covered) of the best chain up to each fragment, best first.
+
+    Of equal covers the one with the shorter text is taken. Pieces that overlap the chain before
+    them in text or template count from where it ends.
+    """
+    done: list[tuple[int, int, int, int, int]] = []  # end, template end, covered, start, size
+    longs: dict[int, tuple[int, int, int, int, int]] = {}  # best by template end
+    first = 0
+    reach = max((size for *_, size in fragments), default=0)
+    for end, begin, size in fragments:
+        start = end - size
+        while first < len(done) and done[first][0] < end - reach - max_gap:
+            first += 1
+        best = (size, start)
+        before = done[first:]
+        if far and size >= LONG_MATCH:
+            before += longs.values()
+        for x, y, covered, chain_start, last in before:
+            cut = max(0, x - start, y - begin)
+            if cut >= size or (covered + size - cut, chain_start) <= best:
+                continue
+            if start + cut - x <= max_gap or (
+                far and last >= LONG_MATCH and size - cut >= LONG_MATCH
+            ):
+                best = (covered + size - cut, chain_start)
+        own = (end, begin + size, best[0], best[1], size)
+        done.append(own)
+        if size >= LONG_MATCH:
+            old = longs.get(own[1])
+            if old is None or (old[2], old[3]) <= (own[2], own[3]):
+                longs[own[1]] = own
+    out = [(start, end, covered) for end, _, covered, start, _ in done]
+    return sorted(out, key=lambda c: (-c[2], c[1] - c[0], c[0]))
+
+
+def _outside(fragments: list, taken: list[tuple[int, int]]) -> list:
+    """Fragments that lie outside all of the taken stretches of text."""
+    out = []
+    for end, begin, size in fragments:
+        at = bisect.bisect_left(taken, (end, 0))
+        if not at or taken[at - 1][1] <= end - size:
+            out.append((end, begin, size))
+    return out
+
+
 _SCHEMA = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long, "
     "base_labels string, labels string, score double, "

@@ -71,3 +71,40 @@ def test_rows(table, with_clashes):
     words = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     assert by[4, 0]["n_words"] == len(words.findall("mité license mit licenseé"))
     assert license_scan(table([])).count() == 0
+
+
+def test_spans_over_insertions_with_common_phrases():
+    automaton, rng = Automaton(TEMPLATES, BASE), random.Random(5)
+    whole = words_of(TEMPLATES[0][1])
+    at = whole.index("without")
+    for text in ("as part of the software bundle", "of the software " + "xx " * 40):
+        words = ["y"] + whole[:at] + words_of(text) + whole[at:] + ["y"]
+        *_, labels, score, spans = scan_text(automaton, " ".join(words))
+        assert labels == "mit" and score == 1.0
+        assert [(s["start"], s["end"]) for s in spans] == [(1, len(words) - 1)]
+    phrases = ["of the software", "the license", "this file", "to use copy", "and or", "xx", "zz " * 30]
+    for label, text in TEMPLATES:
+        whole = words_of(text)
+        if len(whole) < 18:
+            continue
+        for _ in range(20):
+            at = rng.randrange(6, len(whole) - 5)  # long pieces on both sides
+            held = " ".join(rng.choice(phrases) for _ in range(rng.randrange(1, 6)))
+            words = whole[:at] + held.split() + whole[at:]
+            _, _, _, _, _, labels, score, _ = scan_text(automaton, " ".join(words))
+            assert label in labels.split(",") and score >= 0.8
+
+
+def test_every_copy_gives_a_span():
+    whole = words_of(TEMPLATES[0][1])
+    part = whole[:20] + ["xx"] + whole[21:]
+    words = whole + whole + ["y"] * 30 + part + ["y"] * 5 + whole[:10]
+    spans = scan_text(Automaton(TEMPLATES, BASE), " ".join(words))[-1]
+    n = len(whole)
+    assert [(s["start"], s["end"]) for s in spans] == [(0, n), (n, 2 * n), (2 * n + 30, 3 * n + 30)]
+
+
+def test_scattered_short_matches_give_no_label():
+    whole = words_of(TEMPLATES[10][1])
+    pairs = [" ".join(whole[i : i + 2]) for i in range(0, len(whole), 2)]
+    assert scan_text(Automaton(TEMPLATES, BASE), (" xx" * 20 + " ").join(pairs))[5] == ""
