@@ -3,9 +3,10 @@
 Two first-order Markov models over the characters of tokens are trained on the documents
 themselves. Labelled samples are at hand there: what the patterns match is random text, and
 all other runs of token characters are ordinary words and identifiers, but for long ones with digits
-in their midst, which have no label. A token outside the
-matches is a secret when the log-likelihood ratio of the two models, in total and per character,
-is high. Training counts every text; what is kept is one count per pair of characters.
+in their midst, which have no label. Every run of ``LEAST_TOKEN`` token characters or more outside
+the matches, also beside one in the same token, is a secret when the log-likelihood ratio of the two
+models, in total and per character, is high; runs of digits alone are numbers. Training counts every
+text; what is kept is one count per pair of characters.
 
 Defined cases: a null or empty text has no spans; with no labelled random text at all the random
 model is uniform; any text length works.
@@ -34,7 +35,9 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ["assign", "access", "hex", "markov"]
 
 # The method's own limits.
-TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+LEAST_TOKEN = 8  # characters of a run that is scored
+TOKEN = re.compile(rf"[A-Za-z0-9+/_-]{{{LEAST_TOKEN},}}={{0,2}}")
+UNLABELLED = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 IDENTIFIER = re.compile(r"[A-Za-z_-]+[0-9]{0,4}")  # ordinary, whatever its length
 LEAST_TOTAL = 15.0  # natural log-likelihood ratio of the whole token
 LEAST_MEAN = 0.6  # and per character
@@ -56,20 +59,38 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def candidates(text: str) -> Iterator[re.Match]:
-    """Long tokens of digits and other characters: what the models are to judge."""
-    for m in TOKEN.finditer(text):
+def unlabelled(text: str) -> Iterator[re.Match]:
+    """Long tokens of digits and other characters: in neither model's sample."""
+    for m in UNLABELLED.finditer(text):
         if not m[0].isdigit() and any(c.isdigit() for c in m[0]):
             yield m
 
 
+def runs(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What the models are to judge: tokens, or what sorted spans taken from them leave."""
+    found = [m.span() for m in TOKEN.finditer(text)]
+    if not taken:
+        return found
+    out, first = [], 0
+    for start, end in found:
+        while first < len(taken) and taken[first][1] <= start:
+            first += 1
+        at, i = start, first
+        while i < len(taken) and taken[i][0] < end:
+            out.append((at, taken[i][0]))
+            at = max(at, taken[i][1])
+            i += 1
+        out.append((at, end))
+    return [(s, e) for s, e in out if e - s >= LEAST_TOKEN]
+
+
 def pair_counts(texts: list[str]) -> np.ndarray:
     """Counts of adjacent characters: [0] in matched values, [1] in all else that is labelled."""
     both = np.zeros((2, _SIZE * _SIZE), np.int64)
     for text in texts:
         base, at, rest = base_spans(text), 0, []
         random = [ASSIGN.match(text, s)[2] if kind == 0 else text[s:e] for s, kind, e in base]
-        unknown = [m.span() for m in candidates(text) if not IDENTIFIER.fullmatch(m[0])]
+        unknown = [m.span() for m in unlabelled(text) if not IDENTIFIER.fullmatch(m[0])]
         left_out = sorted([(s, e) for s, _, e in base] + unknown)
         for start, end in left_out:
             rest.append(text[at : max(at, start)])
@@ -123,24 +144,31 @@ def log_ratio(counts: np.ndarray) -> np.ndarray:
     return (given[0] - given[1]).reshape(-1)
 
 
-def token_score(ratio: np.ndarray, token: str) -> float:
-    """Log-likelihood ratio over the characters of the token, its ends not counted."""
-    codes = _CODE[np.frombuffer(token.encode(), np.uint8)].astype(np.int32)
-    return float(ratio[codes[:-1] * _SIZE + codes[1:]].sum())
+def run_scores(ratio: np.ndarray, text: str, found: list[tuple[int, int]]) -> np.ndarray:
+    """Log-likelihood ratio over the characters of each run, its ends not counted."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = _CODE[np.minimum(points, 255)].astype(np.int32)
+    sums = np.concatenate([[0.0], np.cumsum(ratio[codes[:-1] * _SIZE + codes[1:]])])
+    bounds = np.array(found)
+    return sums[bounds[:, 1] - 1] - sums[bounds[:, 0]]
 
 
 def scan_text(ratio: np.ndarray, text: str, total=LEAST_TOTAL, mean=LEAST_MEAN):
     """The result columns of one text, without doc_id."""
     base = base_spans(text)
-    taken = [(start, end) for start, _, end in base]
+    taken: list[tuple[int, int]] = []
+    for start, _, end in base:  # sorted; one may lie within another
+        if not taken or end > taken[-1][1]:
+            taken.append((max(start, taken[-1][1]) if taken else start, end))
     extra = []
-    for m in candidates(text):
-        token = m[0]
-        if any(start < m.end() and m.start() < end for start, end in taken):
-            continue
-        score = token_score(ratio, token)
-        if score >= total and score >= mean * (len(token) - 1):
-            extra.append((m.start(), 3, m.end()))
+    found = runs(text, taken)
+    if found:
+        scores = run_scores(ratio, text, found)
+        lengths = np.array([end - start for start, end in found])
+        for i in np.flatnonzero((scores >= total) & (scores >= mean * (lengths - 1))):
+            start, end = found[i]
+            if not text[start:end].isdigit():
+                extra.append((start, 3, end))
 
     def joined(spans):
         return ",".join(f"{KINDS[k]}:{start}:{end}" for start, k, end in spans)
