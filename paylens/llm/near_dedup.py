@@ -8,14 +8,16 @@ Nodes small enough are compared exhaustively; others branch again. Several indep
 it near certain that a similar pair meets in one: at the similarity threshold a pair shares a first
 node of one tree with probability 0.87, so 8 trees miss it once in 10^7.
 
-Comparisons inside a node use the minwise tokens and keep whatever may be similar (0.12 below the
-threshold, 3.8 standard errors); every link is then confirmed on the full sets. Members that may be
+Comparisons inside a node use the minwise tokens and keep whatever may be similar: a pair at the
+threshold has fewer equal tokens with a chance of 1 in 10^7 at most, by the binomial distribution
+(``least_equal``); every link is then confirmed on the full sets. Members that may be
 similar to one of another component bring their full sets along, and pairs are compared until they
 are connected. Only what connects classes matters for components, which saves most of the work: the
 nodes of one tree come first, oversized ones as random blocks, and after that only nodes that hold
 more than one component. Nodes too large for one task compare
 pairs of blocks, or, with few members outside their largest component, these few with blocks of it.
-Nodes of more than 32 blocks link what lies in the same random block and branch again; what is still
+Nodes of more than 32 blocks link what lies in the same random block and branch again, twice independently on each of the first levels, so that recall
+does not fall with the depth there (``miss_rate``); what is still
 as large beyond the last level is compared in pairs of blocks too. What is moved grows with the
 members of nodes, never with their pairs.
 
@@ -27,6 +29,7 @@ agree; a component of documents without doc_id has a null component_id.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +45,8 @@ COORDINATES = 128
 TREES = 8
 LEAF = 4000  # members of a node, or of a block of one, that one task compares exhaustively
 BLOCKS = 32  # blocks of a node whose members are still compared exhaustively
-MARGIN = 0.12
+MISS = 1e-7  # chance that a pair at the threshold is passed over by its sketches
+COPIES, DOUBLED = 2, 6  # independent branchings below a node too large, and levels that have them
 LEVELS = 40
 
 _rng = np.random.default_rng(20240611)
@@ -119,6 +123,27 @@ def _full_sets(size: int):
     return run
 
 
+def least_equal(similarity: float, miss: float = MISS) -> int:
+    """The most equal minwise tokens that a pair at the threshold falls short of with chance miss."""
+    below = 0.0
+    for k in range(COORDINATES + 1):
+        rest = COORDINATES - k
+        below += math.comb(COORDINATES, k) * similarity**k * (1 - similarity) ** rest
+        if below > miss:
+            return k
+    return COORDINATES
+
+
+def miss_rate(similarity: float, level: int = 1, trees: int = TREES) -> float:
+    """Chance that a pair at the threshold meets in no node of a level of any tree."""
+    two, miss = 1 / similarity - 1, 0.0
+    for at in range(level, 0, -1):
+        below = miss ** (COPIES if at <= DOUBLED else 1) if at < level else 0.0
+        apart = 1 - similarity * (1 - below)
+        miss = (1 - two) * apart + two * apart**2
+    return miss**trees
+
+
 def _branches(path: Column, similarity: float) -> Column:
     """The coordinates a node branches on: one, and a second one with probability 1/s - 1."""
     luck = F.pmod(F.xxhash64(path, F.lit(2)), F.lit(1_000_000)) / 1_000_000
@@ -144,12 +169,15 @@ def _sized(members: DataFrame, name: str) -> DataFrame:
     return members.join(saved(sizes, f"{name}-sizes"), "path")
 
 
-def _candidates(node: dict, similarity: float, margin: float) -> Iterator[tuple[int, np.ndarray]]:
+def _candidates(node: dict, similarity: float, margin: float | None) -> Iterator[tuple[int, np.ndarray]]:
     """For each member the later ones of other components that may be similar, closest first."""
     sketch, n, comp = node["sketch"], node["n"], node["comp"]
+    least = least_equal(similarity)
+    if margin is not None:
+        least = (similarity - margin) * COORDINATES
     for i in range(len(n) - 1):
         same = (sketch[i + 1 :] == sketch[i]).sum(axis=1)
-        fits = same >= (similarity - margin) * COORDINATES
+        fits = same >= least
         if fits.any():
             j = np.flatnonzero(fits) + i + 1
             small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
@@ -186,7 +214,8 @@ def _by_node(work, schema: pa.Schema):
             "comp": np.unique(np.array(table["comp"].to_pylist(), object), return_inverse=True)[1],
         }
         if "tokens" in table.column_names:
-            columns["tokens"] = table["tokens"].to_pylist()
+            # Views of the batch's memory, as the sets take most of it.
+            columns["tokens"] = [x.as_buffer() for x in table["tokens"]]
         rows: list[tuple] = []
         for start, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             if end - start > 1:
@@ -202,7 +231,7 @@ _PAIR = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 _MEMBER = pa.schema([("path", pa.int64()), ("c", pa.binary())])
 
 
-def _undecided(similarity: float, margin: float):
+def _undecided(similarity: float, margin: float | None):
     """Members that may be similar to one of another component: path, c."""
 
     def work(node: dict) -> list[tuple]:
@@ -215,7 +244,7 @@ def _undecided(similarity: float, margin: float):
     return _by_node(work, _MEMBER)
 
 
-def _node_links(similarity: float, margin: float):
+def _node_links(similarity: float, margin: float | None):
     """Links on the full sets that connect the components of each node: a, b."""
     percent = round(100 * similarity)
 
@@ -395,7 +424,7 @@ def similar_components(
     leaf: int = LEAF,
     levels: int = LEVELS,
     blocks: int = BLOCKS,
-    margin: float = MARGIN,
+    margin: float | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, at, text_hash, n_shingles, component_id, kept."""
     texts = id_and_text(docs).select(
@@ -459,6 +488,10 @@ def similar_components(
         if many.isEmpty():
             break
         below = many.select("tree", "path", "c").join(classes.select("c", "minwise"), "c")
+        if level <= DOUBLED:
+            copy = F.explode(F.sequence(F.lit(1), F.lit(COPIES)))
+            below = below.withColumn("copy", copy)
+            below = below.withColumn("path", F.xxhash64("path", "copy")).drop("copy")
         members = _descend(below, similarity)
 
     smallest = (

@@ -3,8 +3,10 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
+from paylens.llm import near_dedup
 from paylens.llm.near_dedup import components, keep_one, similar_components
 
 LAST = 2**63 - 1
@@ -111,3 +113,24 @@ def test_one_of_each_stays(table, with_clashes):
 def test_empty(table):
     assert similar_components(table([])).count() == 0
     assert run(table([(1, None), (2, " ")])) == Counter({(1, 0, 1, True): 1, (2, 0, 2, True): 1})
+
+
+def test_stated_miss_rates():
+    for similarity in (0.8, 0.85, 0.9):
+        least = near_dedup.least_equal(similarity)
+        rng = np.random.default_rng(1)
+        equal = rng.binomial(near_dedup.COORDINATES, similarity, 2_000_000)
+        assert (equal < least).sum() <= 3  # 0.12 below the threshold lost hundreds at 0.8
+        # All levels that branch twice keep within a few times the miss rate of the first.
+        for level in range(2, near_dedup.DOUBLED + 2):
+            assert near_dedup.miss_rate(similarity, level) < 4 * near_dedup.miss_rate(similarity)
+
+
+def test_pairs_just_above_the_threshold_with_low_sketches():
+    n = 400
+    least = near_dedup.least_equal(0.8)
+    sketch = np.zeros((2, near_dedup.COORDINATES), np.uint8)
+    sketch[1, least:] = 1
+    node = {"sketch": sketch, "n": np.array([n, n]), "comp": np.array([0, 1])}
+    assert [(i, list(j)) for i, j in near_dedup._candidates(node, 0.8, None)] == [(0, [1])]
+    assert list(near_dedup._candidates(node, 0.8, 0.12)) == []
