@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from paylens.llm import (
+    chat_format,
     decontamination,
     exact_dedup,
     license_scan,
@@ -13,6 +14,8 @@ from paylens.llm import (
     quality,
     secret_scan,
     suffix_dedup,
+    token_alignment,
+    turn_repair,
 )
 
 
@@ -28,11 +31,14 @@ def queries() -> dict:
         "op8_decontamination": decontamination.op8_decontamination,
         "op9_mixing": mixing.op9_mixing,
         "op10_near_dedup": near_dedup.op10_near_dedup,
+        "op11_chat_format": chat_format.op11_chat_format,
+        "op12_turn_repair": turn_repair.op12_turn_repair,
+        "op13_token_alignment": token_alignment.op13_token_alignment,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    """The other operators draw, train or follow rules that SQL cannot express; see their tests."""
+    """The other operators draw, train, tokenize or follow rules that SQL cannot express; see their tests."""
     return {
         "op1_suffix_dedup": suffix_dedup.ORACLE,
         "op4_exact_dedup": exact_dedup.ORACLE,

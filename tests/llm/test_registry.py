@@ -22,6 +22,12 @@ COLUMNS = {
     "op8": "doc_id bigint, item_id bigint",
     "op9": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
     "op10": "doc_id bigint, n_shingles bigint, component_id bigint, kept boolean",
+    "op11": "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, "
+    "loss_sha256 string, formatted_chars bigint",
+    "op12": "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, "
+    "illegal bigint, cost bigint, audit string, repaired_sha256 string",
+    "op13": "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, "
+    "count_sum bigint, groups_sha256 string",
 }
 
 
@@ -38,6 +44,9 @@ def test_whole_table(spark, duck, name):
     assert [f"{c} {t}" for c, t in df.dtypes][: len(wanted)] == wanted
     rows = df.collect()
     total = duck.execute("SELECT COUNT(*) FROM documents").fetchone()[0]
+    if name.startswith(("op11", "op12")):
+        total = duck.execute("SELECT COUNT(DISTINCT conv_id) FROM conversations").fetchone()[0]
+        total += name.startswith("op11")  # and the conversation that the query adds
     assert len(rows) == total or name.startswith("op8")
     if name in registry.oracle_sql():
         theirs = duck.execute(registry.oracle_sql()[name])

@@ -1,0 +1,160 @@
+"""Token alignment against plain code over whole-text encodings."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from paylens.llm import token_alignment as T
+
+ODD = [
+    None, "", " ", "\n", "  \n ", "a", " lead", "trail ", "trail\n", "a  b", "a \n b", "tab\tx y",
+    "▁ in text", "a▁b", "ﬁ ﬂ ½", "日本語のテキスト です", "🙂 👩‍👩‍👧 end", "<|endoftext|> is text", "<s> </s> <unk> <0x41>",
+    "can't we'll I'd", "x" * 1500, " " * 1200 + "y", "=" * 700 + " " + "-" * 333, "\x00 \x01 nul", "\u0085    ",
+    "naïve café — “quoted” …", "1234567890 12,345.67", "a​b ᠎ c", "é é",
+]
+
+
+@pytest.fixture(scope="module")
+def by():
+    return T.tokenizers(T.A_PATH, T.B_PATH)
+
+
+def whole(by, text):
+    """Ids of A and B over the whole text at once; none where they are not the space and the text."""
+    if not text:
+        return [], []
+    a = by.a.exact.encode(" " + text, add_special_tokens=False).ids
+    b = by.b.model.encode(text)
+    said = b" " + text.encode()
+    return (a, b) if by.a.joined(a) == said == by.b.joined(b) else ([], [])
+
+
+def groups(by, a, b):
+    ends = [np.cumsum([len(side.bytes[i]) for i in ids]).tolist() for side, ids in ((by.a, a), (by.b, b))]
+    out, i, j = [], 0, 0
+    for end in sorted(set(ends[0]) & set(ends[1])):
+        m, k = ends[0].index(end) + 1, ends[1].index(end) + 1
+        out.append((a[i:m], b[j:k]))
+        i, j = m, k
+    return out
+
+
+def expected(by, texts):
+    cut = [(a, b, groups(by, a, b)) for a, b in (whole(by, t) for t in texts)]
+    links = [Counter((x, y) for m, k in g for x in m for y in k) for _, _, g in cut]
+    documents = Counter(pair for found in links for pair in found)
+    best = defaultdict(int)
+    for (a, _), n in documents.items():
+        best[a] = max(best[a], n)
+    out = []
+    for (a, b, g), found in zip(cut, links):
+        said = ";".join(",".join(map(str, m)) + "|" + ",".join(map(str, k)) for m, k in g)
+        out.append(
+            (
+                len(a), len(b), len(g), sum(found.values()),
+                sum(n for p, n in found.items() if documents[p] == best[p[0]]),
+                sum(n * documents[p] for p, n in found.items()),
+                hashlib.sha256(said.encode()).hexdigest() if a else "",
+            )
+        )
+    return out
+
+
+@pytest.fixture(scope="module")
+def texts(corpus):
+    rows = corpus(11)
+    return [(d, t if t is None else t[:3000]) for d, t in rows] + [(5000 + i, t) for i, t in enumerate(ODD)]
+
+
+def test_against_plain_code(spark, table, texts, by):
+    got = T.figures(table([(i, t) for i, (_, t) in enumerate(texts)])).collect()
+    got = [tuple(r)[1:] for r in sorted(got, key=lambda r: r.doc_id)]
+    assert got == expected(by, [t for _, t in texts])
+
+
+def test_small_blocks_and_few_remembered_segments(texts, by, monkeypatch):
+    """Blocks, their cache and wide groups do not change what is found."""
+    monkeypatch.setattr(T, "KEPT", 20)
+    monkeypatch.setattr(T, "AT_ONCE", 500)
+    plain = [t or "" for _, t in texts]
+    found = T.encode(plain, T.Pair(T.A_PATH, T.B_PATH))
+    for i, text in enumerate(plain):
+        mine = found.a[found.a_text[i] : found.a_text[i + 1]].tolist()
+        assert (mine, found.b[found.b_text[i] : found.b_text[i + 1]].tolist()) == whole(by, text)
+    group, pair, times = found.links()
+    monkeypatch.setattr(T, "WIDE", 0)
+    combined = Counter()
+    for g, p, n in zip(*(x.tolist() for x in found.links())):
+        combined[g, p] += n
+    assert combined == Counter(zip(group.tolist(), pair.tolist()))
+
+
+def test_every_settled_character_is_cut_alike(by):
+    settled = [chr(c) for c in [*range(0x250), *range(0x2010, 0x2028)]]
+    for c in settled:
+        for text in (f"a{c} {c}b {c}{c} 1{c}2", f" {c}", f"{c}'s  {c}"):
+            assert by.a.encode([text])[0] == whole_a(by, text)
+    rng = random.Random(4)
+    for _ in range(300):
+        text = "".join(rng.choice(settled + [" "] * 100) for _ in range(60))
+        assert by.a.encode([text])[0] == whole_a(by, text)
+
+
+def whole_a(by, text):
+    return by.a.exact.encode(" " + text, add_special_tokens=False).ids
+
+
+@settings(deadline=None, max_examples=200)
+@given(st.lists(st.text(alphabet=" ab.'\n\té▁日1", max_size=30), max_size=6))
+def test_segments_give_whole_text_tokens(texts):
+    pair = T.tokenizers(T.A_PATH, T.B_PATH)
+    found = T.encode(texts, pair)
+    for i, text in enumerate(texts):
+        mine = [x[t[i] : t[i + 1]].tolist() for x, t in ((found.a, found.a_text), (found.b, found.b_text))]
+        assert tuple(mine) == whole(pair, text)
+
+
+@settings(deadline=None)
+@given(st.sets(st.integers(0, 3000)), st.sets(st.integers(0, 3000)), st.sampled_from([1, 3, 256]))
+def test_gallop(a, b, lane):
+    old, T.LANE = T.LANE, lane
+    try:
+        x, y = (np.array(sorted(s), np.int64) for s in (a, b))
+        in_x, in_y = T.gallop(x, y)
+    finally:
+        T.LANE = old
+    assert x[in_x].tolist() == y[in_y].tolist() == sorted(a & b)
+
+
+def test_align_gives_ids_and_cuts(table, by):
+    text = "Größenwahn, naïve!"
+    (row,) = T.align(table([(1, text)])).collect()
+    assert (row.a_ids, row.b_ids) == whole(by, text)
+    cuts = zip([0, *row.a_cuts], row.a_cuts, [0, *row.b_cuts], row.b_cuts)
+    assert [(row.a_ids[i:m], row.b_ids[j:k]) for i, m, j, k in cuts] == groups(by, *whole(by, text))
+
+
+def test_pair_counts(table):
+    rows = [(1, "one two"), (2, "one"), (3, "one one one")]
+    counts = T.pair_counts(T.aligned_blocks(table(rows))).collect()
+    assert max(r.documents for r in counts) == 3 and sum(r.best for r in counts) >= 2
+
+
+def test_empty_table_null_ids_and_clashes(spark, table, with_clashes, by):
+    assert T.figures(table([(1, "x")]).where("false")).collect() == []
+    rows = [(None, "same text"), (None, "same text"), (4, None)]
+    got = sorted(map(tuple, T.figures(with_clashes(table(rows))).collect()), key=repr)
+    assert sorted(r[1:] for r in got) == sorted(expected(by, [t for _, t in rows]))
+
+
+def test_a_very_long_text(table, by):
+    text = "some words, and more. " * 40_000
+    (row,) = T.figures(table([(1, text)])).collect()
+    assert row.n_a == len(by.a.exact.encode(" " + text, add_special_tokens=False).ids)
