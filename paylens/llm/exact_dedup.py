@@ -24,6 +24,7 @@ from paylens.llm.common import WHITE, order_key, read_table, saved, scratch
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_ALLOCATE = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
 FILES_PER_BATCH = 10_000
 
 
@@ -51,8 +52,11 @@ def digest_state(spark, folder: str, checkpoint: str, files_per_batch: int = FIL
 
     Called again with the same checkpoint after more files arrived, it goes on where it ended.
     """
-    before = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, _ROCKS)
+    # Without the second setting every store holds 4 MB of disk, however little is in it.
+    wanted = {_PROVIDER: _ROCKS, _ALLOCATE: "false"}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         stream = (
             spark.readStream.schema("doc_id long, digest string, locator string")
@@ -71,7 +75,8 @@ def digest_state(spark, folder: str, checkpoint: str, files_per_batch: int = FIL
         )
         query.awaitTermination()
     finally:
-        spark.conf.set(_PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     state = spark.read.format("statestore").load(checkpoint)
     count, least = (f"value.`{f.name}`" for f in state.schema["value"].dataType.fields)
     return state.select(
