@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from paylens.llm.common import LAST, order_key, read_table, saved
 
 WIDTH, STRIDE, LITERAL, LEAST = 8, 1, 4, 13
+PIECE = 1024  # windows that begin in one piece of a text
 # What the query and the pipeline find beyond the strict defaults.
 WHOLE = {"short_items": True, "per_window": True, "folded": True}
 
@@ -59,13 +60,18 @@ def values(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(_plain(text)), F.lit(_TOKEN), F.lit(0))
 
 
-def template(text: Column) -> Column:
-    """The same words and numbers, with placeholders for numbers, units and names."""
-    names = F.regexp_replace(
-        _plain(text), r"(?<=[\p{Ll},;]\x20)\p{Lu}[\p{L}\p{M}]*", _NAME
-    )
+def template(text: Column, named: bool = True) -> Column:
+    """The same words and numbers, with placeholders for numbers, units and, if ``named``, names.
+
+    The patterns begin with a blank and with a digit, so that most places are passed over at once.
+    """
+    names = _plain(text)
+    if named:
+        names = F.regexp_replace(
+            names, r"\x20(?<=[\p{Ll},;]\x20)\p{Lu}[\p{L}\p{M}]*", f" {_NAME}"
+        )
     units = F.regexp_replace(
-        names, rf"(?<=\p{{N}}|\p{{N}}\x20)(?:{UNITS})(?![\p{{L}}\p{{M}}])", _UNIT
+        names, rf"(\p{{N}}\x20?)(?:{UNITS})(?![\p{{L}}\p{{M}}])", f"$1{_UNIT}"
     )
     numbers = F.regexp_replace(units, _NUMBERS, _NUMBER)
     return F.regexp_extract_all(F.lower(numbers), F.lit(_MARKED), F.lit(0))
@@ -80,19 +86,25 @@ def _views(text: Column, folded: bool) -> list[Column]:
     return [text, fold(text)] if folded else [text]
 
 
+def _template(view: int, text: Column) -> Column:
+    """The template of a view; the folded one has no names."""
+    return template(text, named=view == 0)
+
+
 def _cut_views(df: DataFrame, folded: bool, *keys: str) -> DataFrame:
     """keys, view, words and what stood in their places, for each view of ``text``."""
-    views = F.posexplode(F.array(*_views(F.col("text"), folded))).alias("view", "text")
-    return df.select(*keys, views).select(
-        *keys, "view", template(F.col("text")).alias("words"), values(F.col("text")).alias("stood")
+    cut = F.array(
+        *(
+            F.struct(_template(view, text).alias("words"), values(text).alias("stood"))
+            for view, text in enumerate(_views(F.col("text"), folded))
+        )
     )
+    return df.select(*keys, F.posexplode(cut).alias("view", "cut")).select(*keys, "view", "cut.*")
 
 
-def _starts(words: Column, width: int, stride: int) -> Column:
-    """Where windows start, from 0."""
-    last = F.size(words) - width
-    none = F.array().cast("array<int>")
-    return F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(stride))).otherwise(none)
+def _every(hashes: Column, stride: int) -> Column:
+    """Every ``stride``-th of the hashes."""
+    return F.filter(hashes, lambda _, i: i % stride == 0) if stride > 1 else hashes
 
 
 def _is_slot(word: Column) -> Column:
@@ -103,35 +115,62 @@ def _word_hashes(words: Column) -> Column:
     return F.transform(words, lambda x: F.xxhash64(x))
 
 
-def _window_hash(hashes: Column, start: Column, width: int) -> Column:
-    """Hash of the window of ``width`` words at start, from the hashes of the words."""
-    return F.xxhash64(*(F.get(hashes, start + k) for k in range(width)))
+def _paired(hashes: Column, apart: Column | int) -> Column:
+    """Hashes of each element with the one ``apart`` places on; as many as there are such pairs."""
+    n = F.greatest(F.size(hashes) - apart, F.lit(0))
+    on = F.slice(hashes, F.lit(1) + apart, n)
+    return F.zip_with(F.slice(hashes, F.lit(1), n), on, lambda a, b: F.xxhash64(a, b))
 
 
-def _window_hashes(hashes: Column, width: int, stride: int) -> Column:
-    return F.transform(
-        _starts(hashes, width, stride), lambda i: _window_hash(hashes, i, width)
-    )
+def _with_window_hashes(df: DataFrame, hashes: str, widths: list[int], name: str) -> DataFrame:
+    """The hashes of all windows of each width, from those of the words: {name}_{width}.
+
+    Pairs, then fours, then eights are hashed from two each; other widths from two that overlap.
+    """
+    df, spans = df.withColumn(f"{name}_1", F.col(hashes)), [1]
+    while spans[-1] * 2 <= max(widths):
+        half = spans[-1]
+        df = df.withColumn(f"{name}_{half * 2}", _paired(F.col(f"{name}_{half}"), half))
+        spans.append(half * 2)
+    for width in widths:
+        if width not in spans:
+            below = max(x for x in spans if x < width)
+            df = df.withColumn(f"{name}_{width}", _paired(F.col(f"{name}_{below}"), width - below))
+    return df
 
 
 def _windows(df: DataFrame, widths: list[int], *keys: str) -> DataFrame:
-    """Every window of ``words`` with what stood in its places: keys, at, hash, window, stood."""
+    """Every window of ``words`` with what stood in its places: keys, at, hash, window, stood.
+
+    Words are cut into pieces first, so that what is made of them in one row is bounded for texts
+    of any length.
+    """
+    longest = max(widths)
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(PIECE)),
+        lambda start: F.struct(
+            start.alias("start"),
+            F.slice("words", start + 1, PIECE + longest - 1).alias("words"),
+            F.slice("stood", start + 1, PIECE + longest - 1).alias("stood"),
+        ),
+    )
+    cut = df.select(*keys, F.explode(pieces).alias("piece")).select(*keys, "piece.*")
+    cut = cut.withColumn("hashes", _word_hashes(F.col("words")))
+    cut = _with_window_hashes(cut, "hashes", widths, "hash")
 
-    def cut(width: int) -> Column:
+    def of_width(width: int) -> Column:
         return F.transform(
-            _starts(F.col("words"), width, 1),
-            lambda i: F.struct(
-                i.alias("at"),
-                _window_hash(F.col("hashes"), i, width).alias("hash"),
-                F.slice(F.col("words"), i + 1, width).alias("window"),
-                F.slice(F.col("stood"), i + 1, width).alias("stood"),
+            F.slice(f"hash_{width}", 1, PIECE),
+            lambda h, i: F.struct(
+                (F.col("start") + i).alias("at"),
+                h.alias("hash"),
+                F.slice("words", i + 1, width).alias("window"),
+                F.slice("stood", i + 1, width).alias("stood"),
             ),
         )
 
-    return (
-        df.withColumn("hashes", _word_hashes(F.col("words")))
-        .select(*keys, F.explode(F.concat(*map(cut, widths))).alias("w"))
-        .select(*keys, "w.*")
+    return cut.select(*keys, F.explode(F.concat(*map(of_width, widths))).alias("w")).select(
+        *keys, "w.*"
     )
 
 
@@ -187,19 +226,22 @@ def leaks(
     ).withColumn("text_hash", F.xxhash64("text"))
     widths = _widths(items) or [width]
     views = {f"view_{k}": v for k, v in enumerate(_views(F.col("text"), folded))}
+    templates = texts.select(
+        "text_hash",
+        *(_word_hashes(_template(k, v)).alias(name) for k, (name, v) in enumerate(views.items())),
+    )
+    for name in views:
+        templates = _with_window_hashes(templates, name, widths, name)
     hashes = F.concat(
         *(
-            _window_hashes(F.col(name), w, stride if w == width else 1)
+            _every(F.col(f"{name}_{w}"), stride if w == width else 1)
             for name in views
             for w in widths
         )
     )
     # Texts that meet are found by their hash alone; one that shares it by chance matches nothing.
     met = saved(
-        texts.select(
-            "text_hash", *(_word_hashes(template(v)).alias(name) for name, v in views.items())
-        )
-        .select("text_hash", F.explode(F.array_distinct(hashes)).alias("hash"))
+        templates.select("text_hash", F.explode(F.array_distinct(hashes)).alias("hash"))
         .join(items.select("hash").distinct(), "hash", "left_semi")
         .select("text_hash")
         .distinct(),
