@@ -48,7 +48,7 @@ from paylens.llm.common import id_and_text, read_table, saved
 
 A_PATH = "/opt/tokenizers/byte_bpe_50k.json"
 B_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 SPACE = "▁"
 LANE = 256  # consecutive searches of one lane
 WIDE = 4096
@@ -62,8 +62,8 @@ LONG = 1000  # characters of a word or blank from which the slower, linear encod
 LONG_RUN = re.compile(rf"\S{{{LONG}}}|\s{{{LONG}}}")
 # Between two characters that are not blank: both tokenizers cut before such a space.
 SEGMENT = re.compile(r"(?<=\S) (?=\S)")
-KEPT = 1 << 18  # segments whose tokens a worker remembers
-KEPT_SIZE = 1 << 24  # their characters at most
+KEPT = 1 << 16  # segments whose tokens a worker remembers
+KEPT_SIZE = 1 << 22  # their characters at most
 
 
 def byte_symbols() -> dict[str, int]:
@@ -185,9 +185,9 @@ class Pair:
     def __init__(self, a: str, b: str):
         self.a, self.b = ByteLevel(a), Pieces(b)
         self.by_segment = self.a.by_segment and self.b.by_segment
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         # segments between single spaces; those at an end of a text with blanks of their own
         self.plain: dict[str, int] = {}
         self.odd: dict[str, int] = {}
@@ -226,7 +226,7 @@ class Pair:
     def _places(self, texts: list[str]) -> list[list[int]]:
         """Where the tokens of each text's segments are."""
         if len(self.plain) + len(self.odd) > KEPT or self.size > KEPT_SIZE:
-            self._forget()
+            self.forget()
         found, new, odd = [], {}, {}
         for text in texts:
             segments = text.split(" ") if self.by_segment else [text]
@@ -553,6 +553,8 @@ def aligned_blocks(docs: DataFrame, a: str = A_PATH, b: str = B_PATH) -> DataFra
         first = TaskContext.get().partitionId() << 32
         for n, block in enumerate(blocks(batches, BLOCK)):
             yield _rows([_block_row(first + n, block, tokenizers(a, b))], BLOCKS)
+        tokenizers(a, b).forget()  # idle workers stay for a while
+        pa.default_memory_pool().release_unused()
 
     return saved(id_and_text(docs).mapInArrow(run, BLOCKS), "alignment")
 
