@@ -5,7 +5,8 @@ last adds ``mix_copy``, the number of the copy, as documents may be taken more t
 empty texts and repeated rows are treated as each operator's module says.
 
 A stage's result is to be written before the next stage is called: what a stage has written for itself
-is deleted then, so that the shared folder holds the tables of one stage at a time.
+is deleted then, and ``run`` deletes a stage's input when its output is written, so that the shared folder
+holds the tables of one stage at a time.
 """
 
 from __future__ import annotations
@@ -86,8 +87,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each over what the one before it kept, written and read again."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs, read = read_table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        out = stage(spark, docs, sf_dir)
+        with noted() as written:
+            docs = saved(out, name.replace(" ", "-"))
+        delete(spark, read)  # what the stage has read; never the caller's table
+        read = written
     delete(spark, _left[spark.sparkContext.applicationId])
     return docs
