@@ -22,7 +22,7 @@ def methods_by_segment(t: ReportTables) -> DataFrame:
 def premium_payment_mix(t: ReportTables) -> DataFrame:
     """Orders of persons with Premium rows; an order's amount counts once per such row."""
     premium = t.person_segments.where(F.col("segment") == C.PREMIUM)
-    weighted = exact("total_payment") * F.col("weight").cast("decimal(10,0)")
+    weighted = exact("total_payment") * F.col("weight").cast("decimal(19,0)")
     revenue = F.col("revenue")
     whole = F.sum(revenue).over(Window.partitionBy("segment"))
     return (

@@ -18,6 +18,7 @@ from paylens.functions.figures import (
     total_value,
 )
 from paylens.functions.labels import binned, segment
+from paylens.functions.time import PURCHASED, hour, iso_weekday, month, quarter
 
 PLACES = Decimal("0.01")
 
@@ -100,3 +101,32 @@ def test_times_have_one_format(spark):
         bad = spark.createDataFrame([(text,)], f"{name} string")
         with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP|could not be parsed"):
             bad.select(quarter()).collect()
+
+
+TIMES = {
+    "2017-10-02 10:56:33": ("2017-10", "Q4-2017", 1, 10),
+    "2016-02-29 23:59:59": ("2016-02", "Q1-2016", 1, 23),
+    "2020-06-30 00:00:00": ("2020-06", "Q2-2020", 2, 0),
+    "": (None, None, None, None),
+    None: (None, None, None, None),
+}
+NO_TIMES = [
+    "2017-10-02", "2017-10-02T10:56:33", "2017-10-02 10:56:33Z", "2017-1-2 10:56:33.1",
+    "2017-10-02 10:56:3 ", " 2017-10-2 10:56:33", "2017-02-29 10:00:00", "2017-10-02 24:00:00",
+    "2017-13-02 10:56:33", "+201-10-02 10:56:33", "2017-10-02 10:56", "2017/10/02 10:56:33", " ", "x",
+    "2017-10-02 10:56:+1", "20a7-10-02 10:56:33",
+]
+
+
+def test_time_parts(spark):
+    df = spark.createDataFrame([(t,) for t in TIMES], f"{PURCHASED} string")
+    got = df.select(PURCHASED, month(), quarter(), iso_weekday(), hour()).collect()
+    assert {r[0]: tuple(r)[1:] for r in got} == TIMES
+
+
+@pytest.mark.parametrize("text", NO_TIMES)
+def test_other_times_raise(spark, text):
+    df = spark.createDataFrame([(text,)], f"{PURCHASED} string")
+    for part in (month, quarter, iso_weekday, hour):
+        with pytest.raises(Exception, match="could not be parsed"):
+            df.select(part()).collect()
