@@ -396,7 +396,11 @@ def statements() -> dict[str, str]:
     bodies |= {f"report_{key}": sql for key, sql in REPORTS.items()}
     bodies["report_q17_5_tuned"] = regional(110000, 90000, 8)
     bodies |= INGEST
-    for place in ("publish_seller_orders_appended", "publish_table_seller_orders_appended"):
+    for place in (
+        "publish_seller_orders_appended",
+        "publish_table_seller_orders_appended",
+        "publish_table_seller_orders_appended_once",
+    ):
         bodies[place] = "SELECT * FROM p_seller_orders UNION ALL SELECT * FROM p_seller_orders"
     bodies["mart_order_items_products_untranslated"] = """
 SELECT order_id, product_id, seller_id, price, freight_value, product_category_name AS category

@@ -175,6 +175,17 @@ def _catalog_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published(spark, name, database)
 
 
+def _catalog_appended_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of seller rows, the second one repeated: it is added once."""
+    database, name = f"{_catalog(spark, sf_dir)}_once", "seller_orders"
+    ensure_database(spark, database, f"{_folder(spark, sf_dir)}/{database}")
+    mart = warehouse(spark, sf_dir).mart(name)
+    publish_table(spark, mart, TABLES[name], database, load_id="first")
+    for _ in range(2):
+        publish_table(spark, mart, TABLES[name], database, append=True, load_id="second")
+    return published(spark, name, database)
+
+
 def _catalog(spark: SparkSession, sf_dir: str) -> str:
     folder = _folder(spark, sf_dir)
     database = f"paylens_tables_{hashlib.sha256(folder.encode()).hexdigest()[:12]}"
@@ -231,6 +242,7 @@ def registered() -> dict[str, Query]:
         ).tables["revenue_by_state"],
         "mart_order_items_products_untranslated": _untranslated,
         "publish_table_seller_orders_appended": _catalog_appended,
+        "publish_table_seller_orders_appended_once": _catalog_appended_once,
         "report_q2_fine": _fine_q2,
         "report_q17_5_tuned": _report(lambda t: regional_opportunity(t, **TUNED)),
     }

@@ -32,6 +32,10 @@ def main(argv: list[str] | None = None) -> dict[str, dict[str, int | None]]:
         help="input per shuffle partition",
     )
     parser.add_argument("--multi-line", action="store_true", help="CSV fields contain line breaks")
+    parser.add_argument(
+        "--fresh", action="store_true", help="write also what is complete for the present sources"
+    )
+    parser.add_argument("--append", action="store_true", help="add to the tables of the database")
     args = parser.parse_args(argv)
 
     per_partition = int(args.partition_mb * 2**20)
@@ -42,7 +46,7 @@ def main(argv: list[str] | None = None) -> dict[str, dict[str, int | None]]:
         fit_partitions(spark, size, per_partition)
 
     def report_extract() -> dict[str, int | None]:
-        done = extract(spark, args.source, args.lake, args.multi_line)
+        done = extract(spark, args.source, args.lake, args.multi_line, args.fresh)
         for status, n in done.statuses.items():
             print(f"status {status}: {n}")
         for name, x in done.sources.items():
@@ -52,8 +56,8 @@ def main(argv: list[str] | None = None) -> dict[str, dict[str, int | None]]:
 
     stages = {
         "extract": report_extract,
-        "transform": lambda: transform(spark, args.lake),
-        "load": lambda: load(spark, args.lake, args.database),
+        "transform": lambda: transform(spark, args.lake, args.fresh),
+        "load": lambda: load(spark, args.lake, args.database, args.append, args.fresh),
     }
     done = {stage: stages[stage]() for stage in STAGES if stage in args.stages}
     for stage, rows in done.items():

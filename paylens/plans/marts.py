@@ -146,6 +146,13 @@ def seller_orders(
     )
 
 
+# The sources each mart is made from; the others are made from the order fact.
+SOURCES_OF = {
+    "fact_payments": ("orders", "payments", "customers"),
+    "order_items_products": ("items", "products", "categories"),
+    "seller_orders": ("items", "orders", "sellers"),
+}
+
 # How to build each mart from the sources and the stored fact mart, in order. A mart
 # whose optional source is missing is None.
 Frames = Mapping[str, DataFrame | None]

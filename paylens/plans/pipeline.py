@@ -2,12 +2,13 @@
 
 The stages pass state only through the lake folder, so each one can be run again alone:
 
-    <lake>/<source>              landed sources
-    <lake>/transformed/<mart>    marts
-    <lake>/manifest/<stage>      what the last run of a stage has written
+    <lake>/<source>                      landed sources
+    <lake>/transformed/<mart>            marts
+    <lake>/manifest/<stage>/<name>.json  what has been written, and from which input
 
-A source or mart that the last run did not write counts as missing, even if files of an earlier
-run are still there.
+A source or mart without an entry for the present input counts as missing, even if files of an
+earlier run are still there. A stage that was ended half-way, or is run again, leaves alone what is
+complete and was made from the same input; ``fresh`` makes everything anew.
 """
 
 from __future__ import annotations
@@ -17,15 +18,17 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylens.operators.ingest import Landed, land, status_distribution
+from paylens.operators.folders import Files, recover
+from paylens.operators.ingest import Landed, land
 from paylens.operators.jobs import together
-from paylens.operators.manifest import Rows, read_manifest, write_manifest
-from paylens.operators.publish import ensure_database, publish_table
+from paylens.operators.manifest import Entry, Manifest, Rows, identity
+from paylens.operators.publish import ensure_database, loads_of, publish_table
 from paylens.plans.tables import ReportTables, refresh_shared
 from paylens.plans.warehouse import Warehouse
-from paylens.schemas import SOURCES, TABLES, TableSpec
-from paylens.sources.catalog import DATABASE
-from paylens.sources.files import read_lake, read_parquet, read_sources
+from paylens.schemas import SOURCES, TABLES, SourceSpec, TableSpec
+from paylens.session import partitions_for, size_of
+from paylens.sources.catalog import DATABASE, shared_folder
+from paylens.sources.files import read_lake, read_parquet, read_source
 
 # Marts built from the written order fact; the others need sources only.
 FROM_FACT = (
@@ -85,28 +88,61 @@ class PipelineRun:
         return self.spark.createDataFrame(rows, "source string, rows_read bigint, rows_kept bigint")
 
 
+def _source_input(spark: SparkSession, path: str, multi_line: bool) -> str | None:
+    """Names the present content of a source by its files; None if there are none."""
+    found = Files(spark).listing(path)
+    return None if found is None else identity([found, multi_line])
+
+
 def extract(
-    spark: SparkSession, source_dir: str, lake_dir: str, multi_line: bool = False
+    spark: SparkSession,
+    source_dir: str,
+    lake_dir: str,
+    multi_line: bool = False,
+    fresh: bool = False,
 ) -> Extracted:
     """Land each source as Parquet, payments without the invalid ones."""
-
-    def one(name: str, df: DataFrame | None) -> Landed | None:
-        return None if df is None else land(df, SOURCES[name], f"{lake_dir}/{name}")
-
-    write_manifest(spark, lake_dir, "extract", {})
-    sources = read_sources(spark, source_dir, multi_line)
-    done = Extracted(together(spark, {name: partial(one, name, df) for name, df in sources.items()}))
-    orders = read_parquet(spark, f"{lake_dir}/orders")
-    done.statuses = {r["order_status"]: r["orders"] for r in status_distribution(orders).collect()}
-    write_manifest(spark, lake_dir, "extract", done.rows)
+    manifest = Manifest(spark, lake_dir, "extract")
+
+    def one(spec: SourceSpec) -> Landed | None:
+        path, source = f"{lake_dir}/{spec.name}", f"{source_dir}/{spec.file}"
+        made_from = _source_input(spark, source, multi_line)
+        recover(spark, path)
+        entry = None
+        if made_from and not fresh and Files(spark).exists(path):
+            entry = manifest.current(spec.name, made_from)
+        if not entry:
+            manifest.drop(spec.name)
+            df = read_source(spark, source_dir, spec, multi_line)
+            if df is None:
+                manifest.put(spec.name, Entry.of("", None))
+                return None
+            done = land(df, spec, path)
+            figures = {"rows_read": done.rows_read, "counts": done.statuses}
+            entry = manifest.put(spec.name, Entry.of(made_from, done.rows_kept, **figures))
+        return Landed(entry.rows_read, entry.rows, entry.counts)
+
+    done = Extracted(together(spark, {name: partial(one, spec) for name, spec in SOURCES.items()}))
+    done.statuses = done.sources["orders"].statuses
     return done
 
 
-def transform(spark: SparkSession, lake_dir: str) -> Rows:
+def transform(spark: SparkSession, lake_dir: str, fresh: bool = False) -> Rows:
     """Build the marts whose sources were landed. Those that need no fact run beside it."""
-    landed = [name for name, n in read_manifest(spark, lake_dir, "extract").items() if n is not None]
-    warehouse = Warehouse(spark, read_lake(spark, lake_dir, landed), lake_dir)
-    write_manifest(spark, lake_dir, "transform", {})
+    landed = {
+        name: entry.id
+        for name, entry in Manifest(spark, lake_dir, "extract").entries().items()
+        if entry.rows is not None
+    }
+    missing = [name for name, spec in SOURCES.items() if spec.required and name not in landed]
+    if missing:
+        raise ValueError(f"not landed in {lake_dir}: {', '.join(missing)}")
+    manifest = Manifest(spark, lake_dir, "transform")
+    if fresh:
+        for name in TABLES:
+            manifest.drop(name)
+    sources = read_lake(spark, lake_dir, landed)
+    warehouse = Warehouse(spark, sources, lake_dir, manifest, landed)
 
     def fact_first() -> None:
         warehouse.mart("fact_payments")
@@ -117,26 +153,40 @@ def transform(spark: SparkSession, lake_dir: str) -> Rows:
         spark,
         {"fact": fact_first, **{name: partial(warehouse.mart, name) for name in alone}},
     )
-    rows = {name: warehouse.rows[name] for name in TABLES}
-    write_manifest(spark, lake_dir, "transform", rows)
-    return rows
+    return {name: warehouse.rows[name] for name in TABLES}
 
 
 def load(
-    spark: SparkSession, lake_dir: str, database: str = DATABASE, append: bool = False
+    spark: SparkSession,
+    lake_dir: str,
+    database: str = DATABASE,
+    append: bool = False,
+    fresh: bool = False,
 ) -> Rows:
-    """Publish the marts that were built; the table of a missing mart is left alone."""
-    built = read_manifest(spark, lake_dir, "transform")
+    """Publish the marts that were built; the table of a missing mart is left alone.
+
+    A mart as it was built is one load of its table: loading it again, also with ``append``, changes
+    nothing.
+    """
+    built = Manifest(spark, lake_dir, "transform").entries()
+    changed: list[str] = []
 
     def publish(spec: TableSpec) -> int | None:
-        if built.get(spec.name) is None:
+        entry = built.get(spec.name)
+        if entry is None or entry.rows is None:
             return None
-        mart = read_parquet(spark, f"{lake_dir}/transformed/{spec.name}")
-        return publish_table(spark, mart, spec, database, append)
+        held = loads_of(spark, spec, database)
+        if not fresh and (entry.id in held if append else held == [entry.id]):
+            return entry.rows
+        path = f"{lake_dir}/transformed/{spec.name}"
+        files = partitions_for(size_of(spark, path))
+        changed.append(spec.name)
+        mart = read_parquet(spark, path)
+        return publish_table(spark, mart, spec, database, append, entry.id, files)
 
     ensure_database(spark, database)
     rows = together(spark, {name: partial(publish, spec) for name, spec in TABLES.items()})
-    if any(n is not None for n in rows.values()):
+    if any(n is not None for n in rows.values()) and (changed or not shared_folder(spark, database)):
         refresh_shared(spark, database)
     return rows
 
@@ -147,8 +197,9 @@ def run_pipeline(
     lake_dir: str,
     database: str = DATABASE,
     multi_line: bool = False,
+    fresh: bool = False,
 ) -> PipelineRun:
-    extracted = extract(spark, source_dir, lake_dir, multi_line)
-    transformed = transform(spark, lake_dir)
-    loaded = load(spark, lake_dir, database)
+    extracted = extract(spark, source_dir, lake_dir, multi_line, fresh)
+    transformed = transform(spark, lake_dir, fresh)
+    loaded = load(spark, lake_dir, database, fresh=fresh)
     return PipelineRun(spark, database, extracted, transformed, loaded)

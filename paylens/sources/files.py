@@ -69,16 +69,24 @@ def read_optional(read: Callable[[], DataFrame]) -> DataFrame | None:
         raise
 
 
+def read_source(
+    spark: SparkSession, source_dir: str, spec: SourceSpec, multi_line: bool = False
+) -> DataFrame | None:
+    """A CSV source of a folder, one file or a folder of files; None if it is optional and missing."""
+
+    def read() -> DataFrame:
+        return read_csv(spark, f"{source_dir}/{spec.file}", spec, multi_line)
+
+    return read() if spec.required else read_optional(read)
+
+
 def read_sources(
     spark: SparkSession, source_dir: str, multi_line: bool = False
 ) -> dict[str, DataFrame | None]:
     """All CSV sources of a folder; optional ones that are missing are None."""
 
-    def read(spec: SourceSpec) -> DataFrame:
-        return read_csv(spark, f"{source_dir}/{spec.file}", spec, multi_line)
-
     def one(spec: SourceSpec) -> DataFrame | None:
-        return read(spec) if spec.required else read_optional(lambda: read(spec))
+        return read_source(spark, source_dir, spec, multi_line)
 
     # finding the columns of a source is a small job of its own
     return together(spark, {name: partial(one, spec) for name, spec in SOURCES.items()})
