@@ -8,7 +8,7 @@ places are rounded as decimals, so that 1.005 is rounded the way it is written.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paylens.schemas import MONEY_SCALE
@@ -57,6 +57,31 @@ def mean_amount(name: str) -> Column:
     return mean(amount(total(name)), F.count(name))
 
 
+def running_total(df: DataFrame, value: str, order_by: str, slice_by: str) -> DataFrame:
+    """The rows with ``so_far``, the sum of a column up to the row, and ``whole``, its total.
+
+    Slices hold neighbouring rows and are numbered in order. Each is summed first; the sums, one row per
+    slice, give what comes before a slice, and the running sums are taken inside the slices.
+    """
+    earlier = Window.orderBy(slice_by).rowsBetween(Window.unboundedPreceding, -1)
+    slices = (
+        df.groupBy(slice_by)
+        .agg(F.sum(value).alias("held"))
+        .select(
+            slice_by,
+            F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"),
+            F.sum("held").over(Window.partitionBy()).alias("whole"),
+        )
+    )
+    inside = Window.partitionBy(slice_by).orderBy(order_by)
+    return (
+        df.withColumn("inside", F.sum(value).over(inside))
+        .join(slices, slice_by)
+        .withColumn("so_far", F.col("before") + F.col("inside"))
+        .drop("before", "inside")
+    )
+
+
 def round2(value: Column) -> Column:
     return F.round(value.cast("decimal(28,10)"), 2).cast("double")
 

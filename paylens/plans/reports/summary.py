@@ -4,40 +4,30 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylens import constants as C
-from paylens.functions.figures import amount, n_rows, percent, total, total_value
-from paylens.functions.labels import binned, high_value, spending_bin
+from paylens.functions.figures import amount, n_rows, percent, running_total, total, total_value
+from paylens.functions.labels import binned, high_value
 from paylens.functions.time import has_time, month
 from paylens.plans.tables import ReportTables
 
 
-def _customers_per_bin(t: ReportTables) -> DataFrame:
-    return t.segments.groupBy(spending_bin().alias("spending_bin")).agg(
-        n_rows().alias("customer_count")
-    )
-
-
 def spending_distribution(t: ReportTables) -> DataFrame:
-    return _customers_per_bin(t).orderBy("spending_bin").limit(C.SPENDING_BINS_SHOWN)
+    bins = t.spending_bins.select("spending_bin", "customer_count")
+    return bins.orderBy("spending_bin").limit(C.SPENDING_BINS_SHOWN)
 
 
 def spending_table(t: ReportTables) -> DataFrame:
-    """The windows run over the bins, not over the customers."""
-    n = F.col("customer_count")
-    everyone = F.sum(n).over(Window.partitionBy())
-    so_far = F.sum(n).over(
-        Window.orderBy("spending_bin").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return (
-        _customers_per_bin(t)
-        .withColumns(
-            {"pct_customers": percent(n, everyone), "cumulative_pct": percent(so_far, everyone)}
-        )
-        .orderBy("spending_bin")
-    )
+    """The windows run over the bins of a slice, and over the slices."""
+    bins = running_total(t.spending_bins, "customer_count", "spending_bin", "slice")
+    return bins.select(
+        "spending_bin",
+        "customer_count",
+        percent(F.col("customer_count"), F.col("whole")).alias("pct_customers"),
+        percent(F.col("so_far"), F.col("whole")).alias("cumulative_pct"),
+    ).orderBy("spending_bin")
 
 
 def order_value_histogram(t: ReportTables) -> DataFrame:

@@ -10,14 +10,15 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.functions.labels import delivered, high_value
+from paylens.functions.labels import delivered, high_value, spending_bin
 from paylens.functions.time import has_time, hour, iso_weekday
+from paylens.operators.folders import Files
 from paylens.operators.jobs import together
 from paylens.operators.publish import write_parquet
 from paylens.session import work_dir
 from paylens.sources import catalog
 
-SHARED = ("segment_orders", "person_segments", "order_times")
+SHARED = ("segment_orders", "person_segments", "order_times", "spending_bins")
 
 Read = Callable[[str], DataFrame]
 Store = Callable[[str, DataFrame], DataFrame]
@@ -65,7 +66,10 @@ class ReportTables:
         )
         stored = None if store else catalog.shared_folder(spark, database)
         if stored:
-            tables._shared = {name: spark.read.parquet(f"{stored}/{name}") for name in SHARED}
+            there = set(Files(spark).names(stored))  # a load of an earlier release has fewer
+            tables._shared = {
+                name: spark.read.parquet(f"{stored}/{name}") for name in SHARED if name in there
+            }
         return tables
 
     @property
@@ -157,6 +161,25 @@ class ReportTables:
         return self._share("order_times", build)
 
 
+    @property
+    def spending_bins(self) -> DataFrame:
+        """Customers per spending bin, dealt into slices of neighbouring bins.
+
+        A slice is what one task of a range partitioning holds, numbered in order, so that running totals
+        need not pass all bins through one task.
+        """
+
+        def build() -> DataFrame:
+            counted = self.segments.groupBy(spending_bin().alias("spending_bin")).agg(
+                F.count(F.lit(1)).alias("customer_count")
+            )
+            return counted.repartitionByRange("spending_bin").withColumn(
+                "slice", F.spark_partition_id()
+            )
+
+        return self._share("spending_bins", build)
+
+
 def refresh_shared(spark: SparkSession, database: str = catalog.DATABASE) -> str | None:
     """Write the shared frames of the published tables into a new folder beside them.
 

@@ -240,3 +240,31 @@ def test_shared_frames_give_the_same_results_unwritten(reports, supplied):
     plain = ReportTables(supplied.table)
     for key in ("q2", "q10", "q18", "q3_5", "q17_5", "q7b", "c3"):
         assert REPORTS[key](plain).collect() == REPORTS[key](reports).collect()
+
+
+def test_running_total_passes_no_bins_through_one_task(spark, conf, supplied, reports, tmp_path):
+    """Over many slices: only their sums, one row each, meet in one task."""
+    conf({**NO_BROADCAST, "spark.sql.adaptive.coalescePartitions.enabled": "false",
+          "spark.sql.shuffle.partitions": "7"})
+    t = ReportTables(supplied.table, shared_store(spark, str(tmp_path)))
+    assert t.spending_bins.select("slice").distinct().count() > 3
+    assert REPORTS["q0b"](t).collect() == REPORTS["q0b"](reports).collect()
+    lines = plan(REPORTS["q0b"](t), "simple").splitlines()
+    singles = [i for i, line in enumerate(lines) if "SinglePartition" in line]
+    assert singles
+    for i in singles:  # below it, the bins have been added up per slice
+        assert "HashAggregate(keys=[slice" in lines[i + 1]
+
+
+def test_running_total_over_many_values(spark):
+    from paylens.functions.figures import running_total
+
+    df = spark.range(5000).selectExpr("(id * 7919) % 5000 AS k", "id % 13 AS v")
+    sliced = df.selectExpr("k", "v", "k DIV 700 AS slice")
+    rows = sorted(tuple(r) for r in df.collect())
+    expected, so_far = {}, 0
+    for k, v in rows:
+        so_far += v
+        expected[k] = so_far
+    got = running_total(sliced, "v", "k", "slice").collect()
+    assert {r.k: r.so_far for r in got} == expected and {r.whole for r in got} == {so_far}
