@@ -19,7 +19,12 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from checks.registry import registered, report_tables, warehouse  # noqa: E402
+from checks.registry import (  # noqa: E402
+    numbered_payments,
+    registered,
+    report_tables,
+    warehouse,
+)
 from paylens.plans.tables import SHARED  # noqa: E402
 from paylens.schemas import TABLES  # noqa: E402
 from paylens.session import build_session  # noqa: E402
@@ -54,6 +59,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     seconds: dict[str, float] = {}
+    seconds["build_numbered_payments"] = timed(lambda: numbered_payments(spark, sf_dir))
     built = warehouse(spark, sf_dir)
     tables = report_tables(spark, sf_dir)
     for name in TABLES:

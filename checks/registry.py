@@ -17,7 +17,13 @@ from pyspark.sql import functions as F
 
 from paylens.operators import ingest
 from paylens.operators.jobs import together
-from paylens.operators.publish import conform, ensure_database, publish_path, publish_table
+from paylens.operators.publish import (
+    conform,
+    ensure_database,
+    publish_path,
+    publish_table,
+    write_parquet,
+)
 from paylens.plans.marts import order_items_products
 from paylens.plans.pipeline import PipelineRun, run_pipeline
 from paylens.plans.reports import REPORTS
@@ -87,8 +93,22 @@ def _report(report: Callable[[ReportTables], DataFrame]) -> Query:
     return lambda spark, sf_dir: report(report_tables(spark, sf_dir))
 
 
+_numbered: dict[tuple[str, str], DataFrame] = {}
+
+
+def numbered_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments with all their numbers, written once per application and data set."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _lock:
+        if key not in _numbered:
+            path = f"{_folder(spark, sf_dir)}/numbered"
+            write_parquet(testdata.sources(spark, sf_dir, all_numbers=True)["payments"], path)
+            _numbered[key] = spark.read.parquet(path)
+        return _numbered[key]
+
+
 def _valid_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.valid_payments(testdata.sources(spark, sf_dir, all_numbers=True)["payments"])
+    return ingest.valid_payments(numbered_payments(spark, sf_dir))
 
 
 def write_csv_sources(spark: SparkSession, sf_dir: str, folder: str, optional: bool = True) -> None:
