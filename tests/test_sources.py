@@ -110,3 +110,22 @@ def test_source_counts(spark, rows):
     payments = spark.createDataFrame([("x",), ("not_defined",)], "payment_type string")
     counts = ingest.source_counts({"orders": spark.range(3), "payments": payments, "sellers": None})
     assert sorted(rows(counts)) == [("orders", 3, 3), ("payments", 2, 1)]
+
+
+def test_multi_line_files_of_a_folder_are_read_side_by_side(spark, tmp_path):
+    spec, folder = SOURCES["orders"], tmp_path / "orders.csv"
+    folder.mkdir()
+    names = [*spec.columns, "note"]
+    for part in range(6):
+        rows = [f'{part}-{i},c,delivered,2017-10-02 10:56:33,"a\n""b"", {i}\n"' for i in range(50)]
+        (folder / f"part-{part}.csv").write_text("\n".join([",".join(names), *rows]) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "4k")
+    try:
+        df = files.read_source(spark, str(tmp_path), spec, multi_line=True)
+        assert df.rdd.getNumPartitions() == 6
+    finally:
+        for key in ("maxPartitionBytes", "openCostInBytes"):
+            spark.conf.unset(f"spark.sql.files.{key}")
+    got = {r.order_id: r.note for r in df.collect()}
+    assert got == {f"{p}-{i}": f'a\n"b", {i}\n' for p in range(6) for i in range(50)}
