@@ -6,7 +6,10 @@ ending there that occurs in some template. Runs that cannot be extended and are
 are matches. Per template, dynamic programming over the pieces of all matches finds the chain, in
 the order of text and template, that covers most of its words; a template that is covered far
 enough gives its label and a span. Pieces of a chain are at most some words of text apart, but for
-two long ones, which may be any distance apart. Labels of the short
+two long ones, which may be any distance apart. An identifier's template (``IDENTIFIERS`` behind
+``TAG``) counts when all of its words are covered. Licences share much of their wording, so a span that
+bridges words of the text gives way to one of another label around it that leaves fewer uncovered.
+Labels of the short
 base phrases come from the same pass: a phrase stands where the run's state has it as suffix.
 
 The automaton is built from the given templates alone, so its size does not depend on the data.
@@ -25,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from paylens.llm.common import id_and_text, lower, read_table
+from paylens.llm.license_templates import IDENTIFIERS, NOTICES, TAG
 
 # Phrases and their labels.
 BASE = {
@@ -57,6 +61,7 @@ TEMPLATES = [
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 "
      "0"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    *NOTICES,
 ]
 LEAST_MATCH = 2  # words of a match that counts
 MAX_GAP = 12  # words of text between matches of one span
@@ -73,9 +78,16 @@ def words_of(text: str) -> list[str]:
 class Automaton:
     """Generalised suffix automaton over word ids, with the places of every state."""
 
-    def __init__(self, templates: list[tuple[str, str]], phrases: dict[str, str]):
+    def __init__(
+        self,
+        templates: list[tuple[str, str]],
+        phrases: dict[str, str],
+        identifiers: dict[str, str] | None = None,
+    ):
         named = [(label, words_of(text)) for label, text in templates]
         named += [(label, words_of(text)) for text, label in phrases.items()]
+        self.first_identifier = len(named)
+        named += [(label, words_of(f"{TAG} {text}")) for text, label in (identifiers or {}).items()]
         self.labels = [label for label, _ in named]
         self.words = [words for _, words in named]
         self.pieces: dict[tuple[int, int], list[tuple[int, int, int, int]]] = {}
@@ -256,6 +268,19 @@ def _chains(fragments: list, max_gap: int, far: bool) -> list[tuple[int, int, in
     return sorted(out, key=lambda c: (-c[2], c[1] - c[0], c[0]))
 
 
+def _undisputed(labels: list[str], lengths: list[int], chains: list) -> list:
+    """Chains but those whose text one of another label, around them, covers with fewer words left."""
+    out: list[tuple[int, int, int, float]] = []
+    before: list[tuple[int, int, str]] = []  # end, words left, label; few, as one template's do not overlap
+    rows = [(start, -end, end - start - round(part * lengths[k]), k, part) for k, start, end, part in chains]
+    for start, end, missed, k, part in sorted(rows):  # those around one come before it
+        before = [b for b in before if b[0] > start]
+        if not any(b[0] >= -end and b[1] < missed and b[2] != labels[k] for b in before):
+            out.append((k, start, -end, part))
+        before.append((-end, missed, labels[k]))
+    return out
+
+
 def _outside(fragments: list, taken: list[tuple[int, int]]) -> list:
     """Fragments that lie outside all of the taken stretches of text."""
     out = []
@@ -283,10 +308,10 @@ def scan_text(automaton: Automaton, text: str, least=LEAST_MATCH, gap=MAX_GAP, c
     words = words_of(text)
     found, matches = automaton.scan(words, least)
     chains = automaton.spans(matches, gap)
+    enough = [c for c in chains if c[3] >= (covered if c[0] < automaton.first_identifier else 1)]
     spans = [
         {"label": automaton.labels[k], "start": start, "end": end, "covered": part}
-        for k, start, end, part in chains
-        if part >= covered
+        for k, start, end, part in _undisputed(automaton.labels, automaton.lengths, enough)
     ]
     spans.sort(key=lambda s: (s["start"], s["end"], s["label"]))
     starts = [start for start, _ in found]
@@ -304,9 +329,11 @@ def scan_text(automaton: Automaton, text: str, least=LEAST_MATCH, gap=MAX_GAP, c
     )
 
 
-def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=BASE, **limits) -> DataFrame:
+def license_scan(
+    docs: DataFrame, templates=TEMPLATES, phrases=BASE, identifiers=IDENTIFIERS, **limits
+) -> DataFrame:
     """One row per document: base phrases, labels, score and covered template spans."""
-    automaton = Automaton(templates, phrases)
+    automaton = Automaton(templates, phrases, identifiers)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

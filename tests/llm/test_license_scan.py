@@ -3,7 +3,10 @@ from __future__ import annotations
 import random
 import re
 
+import pytest
+
 from paylens.llm.license_scan import BASE, TEMPLATES, Automaton, license_scan, scan_text, words_of
+from paylens.llm.license_templates import IDENTIFIERS
 
 KNOWN = [words_of(t) for _, t in TEMPLATES] + [words_of(t) for t in BASE]
 
@@ -108,3 +111,39 @@ def test_scattered_short_matches_give_no_label():
     whole = words_of(TEMPLATES[10][1])
     pairs = [" ".join(whole[i : i + 2]) for i in range(0, len(whole), 2)]
     assert scan_text(Automaton(TEMPLATES, BASE), (" xx" * 20 + " ").join(pairs))[5] == ""
+
+
+ALL = Automaton(TEMPLATES, BASE, IDENTIFIERS)
+
+
+def labels_of(text):
+    return set(scan_text(ALL, text)[5].split(",")) - {""}
+
+
+@pytest.mark.parametrize("label, text", TEMPLATES)
+def test_each_notice_in_other_clothes(label, text):
+    assert label in labels_of(text)
+    words = text.split()
+    lines = "\n# ".join(" ".join(words[i : i + 7]) for i in range(0, len(words), 7))
+    assert label in labels_of(f"# Copyright (c) 1999 Ada Example\n# {lines.upper()}\n x = 1")
+    if len(words) >= 18:  # one word replaced by a name of three
+        words[len(words) // 2] = "Ada Example Ltd"
+        assert label in labels_of(" ".join(words))
+
+
+@pytest.mark.parametrize("name, label", IDENTIFIERS.items())
+def test_identifiers(name, label):
+    for text in (f"// SPDX-License-Identifier: {name}\nint x;", f"/* spdx-license-identifier: {name} */"):
+        base = set(scan_text(ALL, text)[4].split(",")) - {""}  # "cc by" is a base phrase
+        assert labels_of(text) == {label} | base
+
+
+def test_alike_licences_are_told_apart():
+    affero = next(text for label, text in TEMPLATES if label == "agpl-3.0")
+    assert labels_of(affero) == {"agpl-3.0"}
+    boost = next(text for label, text in TEMPLATES if label == "boost")
+    assert labels_of(boost) == {"boost"}
+    share = next(text for label, text in TEMPLATES if label == "cc-by-sa")
+    assert labels_of(share) == {"cc-by-sa"}
+    assert labels_of("SPDX-License-Identifier: Apache-2.0 OR MIT") == {"apache-2.0"}
+    assert labels_of("a list of conditions and of rights in the public domain, with no warranty") == set()
