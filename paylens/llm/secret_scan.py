@@ -3,13 +3,17 @@
 Two first-order Markov models over the characters of tokens are trained on the documents
 themselves. Labelled samples are at hand there: what the patterns match is random text, and
 all other runs of token characters are ordinary words and identifiers, but for long ones with digits
-in their midst, which have no label. Every run of ``LEAST_TOKEN`` token characters or more outside
-the matches, also beside one in the same token, is a secret when the log-likelihood ratio of the two
-models, in total and per character, is high; runs of digits alone are numbers. Training counts every
-text; what is kept is one count per pair of characters.
+in their midst, which have no label. Few corpora hold keys of every kind behind a pattern, so random
+text may also be uniform over the smallest usual alphabet that holds the token; the likelier of the two
+counts. Ordinary text may also repeat a character. Every run of ``LEAST_TOKEN`` token characters or more
+outside the matches, also beside one in the same token, is a secret when the log-likelihood ratio, in
+total and per character, is high; runs of digits alone are numbers. The least total of a length is
+``LEAST_TOTAL``, or higher where clearly more than ``FALSE_ALARMS`` of the corpus's runs of that length
+would be words (letters in one case, also joined) that exceed it. Training counts every text, twice; what is kept
+is one count per pair of characters, and per length and total.
 
 Defined cases: a null or empty text has no spans; with no labelled random text at all the random
-model is uniform; any text length works.
+models are uniform; any text length works.
 """
 
 from __future__ import annotations
@@ -39,7 +43,12 @@ LEAST_TOKEN = 8  # characters of a run that is scored
 TOKEN = re.compile(rf"[A-Za-z0-9+/_-]{{{LEAST_TOKEN},}}={{0,2}}")
 UNLABELLED = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 IDENTIFIER = re.compile(r"[A-Za-z_-]+[0-9]{0,4}")  # ordinary, whatever its length
-LEAST_TOTAL = 15.0  # natural log-likelihood ratio of the whole token
+WORDS = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+)(?:[/_-]+(?:[A-Z]?[a-z]+|[A-Z]+))*[0-9]{0,4}")  # certain ones
+LEAST_TOTAL = 9.0  # natural log-likelihood ratio of the whole token: one secret in some 10,000 tokens
+FALSE_ALARMS = 1e-4  # part of the runs of one length that may be words judged secret
+CHANCE = 5  # as many say nothing about a rate; random keys of letters in one case look like words
+LENGTHS, TOTALS = 64, 256  # longer runs, and higher totals, count as these
+REPEATED = 0.1  # chance of an ordinary character to be the one before it
 LEAST_MEAN = 0.6  # and per character
 PRIOR = 20.0  # weight of a character's frequency against what is counted after another one
 
@@ -48,6 +57,17 @@ _SIZE = len(ALPHABET) + 1
 _EDGE = len(ALPHABET)  # any other character, and the ends of a token
 _CODE = np.full(256, _EDGE, np.uint8)
 _CODE[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(len(ALPHABET))
+# Alphabets of random keys, each but the last with the bit that says a character is outside of it.
+_HEX, _LOWER, _UPPER = "0123456789abcdef", ALPHABET[26:62], ALPHABET[:26] + ALPHABET[52:62]
+_KEYS = [_HEX, _HEX.upper(), _LOWER, _UPPER, ALPHABET[:62], ALPHABET]
+_OUTSIDE = np.array(
+    [sum((c not in a) << k for k, a in enumerate(_KEYS[:-1])) for c in ALPHABET] + [(1 << len(_KEYS) - 1) - 1],
+    np.uint8,
+)
+# By the bits of a run's characters together: log-probability of a character in the smallest that fits.
+_UNIFORM = np.array(
+    [max(-np.log(len(a)) for k, a in enumerate(_KEYS) if not bits >> k & 1) for bits in range(1 << len(_KEYS) - 1)]
+)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -113,26 +133,86 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def train(docs: DataFrame) -> np.ndarray:
-    """Log-likelihood ratio of each pair of characters, random over ordinary.
+class Models:
+    """What a run's score takes: log-probabilities of pairs of characters, and least totals by length."""
+
+    def __init__(self, learned: np.ndarray, ordinary: np.ndarray, least: np.ndarray):
+        self.ordinary, self.ratio, self.least = ordinary, learned - ordinary, least
+
+    def scores(self, text: str, found: list[tuple[int, int]]) -> np.ndarray:
+        """Log-likelihood ratio over the characters of each run, its ends not counted."""
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        bounds = np.array(found)
+        sizes = bounds[:, 1] - bounds[:, 0]
+        offsets = np.cumsum(sizes) - sizes
+        inside = np.repeat(bounds[:, 0] - offsets, sizes) + np.arange(sizes.sum())
+        codes = _CODE[np.minimum(points[inside], 255)].astype(np.int32)
+        pairs = codes[:-1] * _SIZE + codes[1:]
+        pairs = np.append(pairs, 0)  # the pair behind a run's last character is not its own
+        first, last = offsets, offsets + sizes - 1
+        ratio = np.concatenate([[0.0], np.cumsum(self.ratio[pairs])])
+        ordinary = np.concatenate([[0.0], np.cumsum(self.ordinary[pairs])])
+        uniform = _UNIFORM[np.bitwise_or.reduceat(_OUTSIDE[codes], offsets)] * (sizes - 1)
+        return np.maximum(ratio[last] - ratio[first], uniform - (ordinary[last] - ordinary[first]))
+
+
+def train(docs: DataFrame, total: float = LEAST_TOTAL, alarms: float = FALSE_ALARMS) -> Models:
+    """Both models, then the least totals that they need on the words of the documents.
 
-    The driver receives at most two counts per pair of characters, whatever the input.
+    The driver receives two counts per pair of characters and per length and total at most, whatever
+    the input.
     """
-    counted = (
-        id_and_text(docs)
-        .select("text")
-        .mapInArrow(_count, "model long, pair long, n long")
-        .groupBy("model", "pair")
-        .agg(F.sum("n").alias("n"))
-    )
+    texts = id_and_text(docs).select("text")
     counts = np.zeros((2, _SIZE * _SIZE))
-    for row in counted.collect():
+    for row in _summed(texts.mapInArrow(_count, "model long, pair long, n long"), "model", "pair"):
         counts[row["model"], row["pair"]] = row["n"]
-    return log_ratio(counts)
+    models = Models(*log_models(counts), np.full(LENGTHS + 1, total))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((LENGTHS + 1, TOTALS + 1), np.int64)
+        for batch in batches:
+            for text in batch["text"].to_pylist():
+                _judged(models, text, total, seen)
+        size, bucket = np.nonzero(seen)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(size), pa.array(bucket), pa.array(seen[size, bucket])], ["size", "bucket", "n"]
+        )
+
+    seen = np.zeros((LENGTHS + 1, TOTALS + 1))
+    for row in _summed(texts.mapInArrow(judge, "size long, bucket long, n long"), "size", "bucket"):
+        seen[row["size"], row["bucket"]] = row["n"]
+    models.least = least_totals(seen, total, alarms)
+    return models
+
 
+def _summed(counted: DataFrame, *by: str) -> list:
+    return counted.groupBy(*by).agg(F.sum("n").alias("n")).collect()
 
-def log_ratio(counts: np.ndarray) -> np.ndarray:
-    """Both models, each pair smoothed by the frequency of its second character.
+
+def _judged(models: Models, text: str, total: float, seen: np.ndarray) -> None:
+    """Adds a text's runs to the counts: [length, 0] all, [length, b] words of a total above b - 1."""
+    found = runs(text, _taken(base_spans(text)))
+    if not found:
+        return
+    scores = models.scores(text, found)
+    sizes = np.minimum([end - start for start, end in found], LENGTHS)
+    seen[:, 0] += np.bincount(sizes, minlength=LENGTHS + 1)
+    for i in np.flatnonzero(scores >= total):
+        if WORDS.fullmatch(text, *found[i]):
+            seen[sizes[i], min(int(scores[i]) + 1, TOTALS)] += 1
+
+
+def least_totals(seen: np.ndarray, total: float, alarms: float) -> np.ndarray:
+    """By length, the least whole total that no more words exceed than the given part of all runs allows."""
+    above = np.cumsum(seen[:, :0:-1], axis=1)[:, ::-1]  # words of a total of b or more, b from 0
+    expected = alarms * seen[:, :1]
+    few = above <= expected + 3 * np.sqrt(expected) + CHANCE
+    few[:, -1] = True
+    return np.maximum(total, few.argmax(axis=1))
+
+
+def log_models(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Random and ordinary, each pair smoothed by the frequency of its second character.
 
     Without any labelled random text that model is uniform.
     """
@@ -140,32 +220,30 @@ def log_ratio(counts: np.ndarray) -> np.ndarray:
     single = pairs.sum(axis=1) + 1.0
     single /= single.sum(axis=1, keepdims=True)
     given = pairs + PRIOR * single[:, None, :]
-    given = np.log(given / given.sum(axis=2, keepdims=True))
-    return (given[0] - given[1]).reshape(-1)
-
+    given /= given.sum(axis=2, keepdims=True)
+    given[1] = (1 - REPEATED) * given[1] + REPEATED * np.eye(_SIZE)
+    learned, ordinary = np.log(given).reshape(2, -1)
+    return learned, ordinary
 
-def run_scores(ratio: np.ndarray, text: str, found: list[tuple[int, int]]) -> np.ndarray:
-    """Log-likelihood ratio over the characters of each run, its ends not counted."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = _CODE[np.minimum(points, 255)].astype(np.int32)
-    sums = np.concatenate([[0.0], np.cumsum(ratio[codes[:-1] * _SIZE + codes[1:]])])
-    bounds = np.array(found)
-    return sums[bounds[:, 1] - 1] - sums[bounds[:, 0]]
 
-
-def scan_text(ratio: np.ndarray, text: str, total=LEAST_TOTAL, mean=LEAST_MEAN):
-    """The result columns of one text, without doc_id."""
-    base = base_spans(text)
+def _taken(base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """What sorted spans cover, without overlaps; one may lie within another."""
     taken: list[tuple[int, int]] = []
-    for start, _, end in base:  # sorted; one may lie within another
+    for start, _, end in base:
         if not taken or end > taken[-1][1]:
             taken.append((max(start, taken[-1][1]) if taken else start, end))
-    extra = []
-    found = runs(text, taken)
+    return taken
+
+
+def scan_text(models: Models, text: str, mean=LEAST_MEAN):
+    """The result columns of one text, without doc_id."""
+    base, extra = base_spans(text), []
+    found = runs(text, _taken(base))
     if found:
-        scores = run_scores(ratio, text, found)
+        scores = models.scores(text, found)
         lengths = np.array([end - start for start, end in found])
-        for i in np.flatnonzero((scores >= total) & (scores >= mean * (lengths - 1))):
+        least = np.maximum(models.least[np.minimum(lengths, LENGTHS)], mean * (lengths - 1))
+        for i in np.flatnonzero(scores >= least):
             start, end = found[i]
             if not text[start:end].isdigit():
                 extra.append((start, 3, end))
@@ -189,11 +267,11 @@ def secret_scan(docs: DataFrame, total: float = LEAST_TOTAL, mean: float = LEAST
 
     Spans are kind:start:end in code points, the end not included.
     """
-    ratio = train(docs)
+    models = train(docs, total)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [scan_text(ratio, t, total, mean) for t in batch["text"].to_pylist()]
+            rows = [scan_text(models, t, mean) for t in batch["text"].to_pylist()]
             cols = list(zip(*rows)) or [[] for _ in range(6)]
             kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()]
             yield pa.RecordBatch.from_arrays(

@@ -5,7 +5,20 @@ import random
 import re
 import string
 
-from paylens.llm.secret_scan import base_spans, secret_scan
+import numpy as np
+import pytest
+
+from paylens.llm.secret_scan import (
+    ALPHABET,
+    LENGTHS,
+    TOTALS,
+    Models,
+    base_spans,
+    least_totals,
+    log_models,
+    pair_counts,
+    secret_scan,
+)
 
 ASSIGN = (
     r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|"""
@@ -68,6 +81,66 @@ def test_rows_and_models(table, with_clashes):
     assert secret_scan(table([])).count() == 0
 
 
+def test_scores_against_plain_code():
+    rng = random.Random(5)
+    learned, ordinary = log_models(pair_counts(texts(9) + ["prose " * 500]).astype(float))
+    models, size = Models(learned, ordinary, np.zeros(LENGTHS + 1)), len(ALPHABET) + 1
+    lower, upper, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    keys = [digits + "abcdef", digits + "ABCDEF", lower + digits, upper + digits, lower + upper + digits, ALPHABET]
+    for _ in range(50):
+        text, found = "é ", []
+        for _ in range(rng.randrange(1, 6)):
+            key = "".join(rng.choice(rng.choice(keys)) for _ in range(rng.randrange(8, 20)))
+            found.append((len(text), len(text) + len(key)))
+            text += key + rng.choice([" ", "", "é€"])
+        want = []
+        for start, end in found:
+            run = text[start:end]
+            pairs = [ALPHABET.index(a) * size + ALPHABET.index(b) for a, b in zip(run, run[1:])]
+            fits = [len(k) for k in keys if set(run) <= set(k)]
+            random_text = max(sum(learned[pairs]), -np.log(min(fits)) * len(pairs))
+            want.append(random_text - sum(ordinary[pairs]))
+        assert np.allclose(models.scores(text, found), want)
+
+
+def test_least_totals_follow_the_words():
+    seen = np.zeros((LENGTHS + 1, TOTALS + 1))
+    seen[8, 0], seen[9, 0], seen[10, 0] = 1_000_000, 1_000_000, 100
+    seen[8, 13], seen[8, 20] = 1000, 100  # 100 allowed: above 12 there are too many
+    seen[9, 30] = 120  # no more than chance leaves open
+    seen[10, TOTALS] = 100  # words only: nothing of that length but the highest totals
+    least = least_totals(seen, 9.0, 1e-4)
+    assert least[8] == 13 and least[9] == 9.0 and least[10] == TOTALS - 1 and least[11] == 9.0
+
+
+@pytest.mark.parametrize("samples", [0, 200])
+def test_keys_without_and_with_labelled_ones(spark, table, samples):
+    rng = random.Random(8)
+    kinds = [
+        string.ascii_letters + string.digits, string.ascii_letters, "0123456789abcdef",
+        string.ascii_uppercase + string.digits, string.ascii_lowercase + string.digits, string.ascii_letters + "09+/",
+    ]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    head, want, rows = "what is é ", {}, []
+    for size in (8, 10, 12, 16, 20, 31):
+        for alphabet in kinds:
+            for _ in range(25):
+                want.setdefault(size, {})[-1 - len(rows)] = f"markov:{len(head)}:{len(head) + size}"
+                key = "".join(rng.choice(alphabet) for _ in range(size))
+                rows.append((-1 - len(rows), f"{head}{key} of it"))
+    for i in range(samples):
+        key = "".join(rng.choice(kinds[0]) for _ in range(40))
+        rows.append((-2000 - i, f'{head} token = "{key}"'))
+    planted = table(rows).select("doc_id", "text")
+    got = {r["doc_id"]: r["spans"] for r in secret_scan(docs.union(planted)).collect()}
+    # Floors below what was measured: 0.85 and 0.89 at 8, 0.96 and 0.94 at 10, then 1.0.
+    for size, spans in want.items():
+        recall = sum(got[i] == span for i, span in spans.items()) / len(spans)
+        assert recall >= {8: 0.75, 10: 0.9}.get(size, 0.98), (size, recall)
+    # The supplied texts hold no keys but those of the patterns.
+    assert not [i for i, spans in got.items() if i >= 0 and "markov" in spans]
+
+
 def test_keys_of_any_length_kind_and_place(spark, table):
     rng = random.Random(8)
     letters, hexes = string.ascii_letters, "0123456789abcdef"
@@ -93,6 +166,5 @@ def test_keys_of_any_length_kind_and_place(spark, table):
     assert got[-1000] == f"markov:{at}:{at + 24},hex:{at + 24}:{at + 56}"
     assert got[-1001] == ""
     recall = {k: sum(got[i] == span for i, span in v.items()) / len(v) for k, v in want.items()}
-    # Floors below what was measured: 0.44 to 0.72 at 8, 0.72 at 10, 0.92 at 12, 1.0 from 16 on.
     for (size, _), part in recall.items():
-        assert part >= {8: 0.3, 10: 0.6, 12: 0.85}.get(size, 0.95), recall
+        assert part >= {8: 0.6, 10: 0.8}.get(size, 0.95), recall
