@@ -428,7 +428,7 @@ def train(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) -> Model:
     store = Store(scratch(spark, "language-model"))
     parts = (
         texts.mapInArrow(_counting(shards, hot, block), _PARTS)
-        .repartition(shards, "shard")
+        .repartitionById(shards, F.col("shard").cast("int"))
         .sortWithinPartitions("shard")
         .mapInArrow(_pair_shards_written(store, shards), _PARTS)
     )
@@ -437,7 +437,7 @@ def train(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) -> Model:
     stats = (
         spark.read.schema(_PARTS)
         .parquet(folder)
-        .repartition(shards, "shard")
+        .repartitionById(shards, F.col("shard").cast("int"))
         .sortWithinPartitions("shard")
         .mapInArrow(_word_shards_written(store), _STATS)
     )

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import io
+import os
 import shutil
 import tempfile
 import uuid
 
 import numpy as np
 
+MAPS = 8192  # open at a time; the kernel's usual limit for a process is 65,530
+
 
 class Store:
     """Arrays in the shared folder, by name."""
@@ -49,7 +52,10 @@ class Store:
 
 
 class Reader:
-    """Memory-mapped arrays; copies of remote ones are removed when done."""
+    """Memory-mapped arrays, the least recently used unmapped beyond ``MAPS``.
+
+    Copies of remote ones are removed when done.
+    """
 
     def __init__(self, files, folder: str):
         from pyarrow import fs
@@ -60,14 +66,19 @@ class Reader:
 
     def __call__(self, key: str, name: str) -> np.ndarray:
         path = f"{self.folder}/{key}/{name}.npy"
-        if path not in self.open:
+        array = self.open.pop(path, None)
+        if array is None:
             local = path
             if self.copies:
                 local = f"{self.copies}/{key}-{name}.npy"
-                with self.files.open_input_stream(path) as source, open(local, "wb") as out:
-                    shutil.copyfileobj(source, out)
-            self.open[path] = np.load(local, mmap_mode="r")
-        return self.open[path]
+                if not os.path.exists(local):
+                    with self.files.open_input_stream(path) as source, open(local, "wb") as out:
+                        shutil.copyfileobj(source, out)
+            array = np.load(local, mmap_mode="r")
+        self.open[path] = array  # last in order: used last
+        if len(self.open) > MAPS:
+            del self.open[next(iter(self.open))]
+        return array
 
     def close(self) -> None:
         self.open.clear()

@@ -4,8 +4,10 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
+from paylens.llm import store as stores
 from paylens.llm.lm_scoring import discounts, held_out, score, train
 from pyspark.sql import functions as F
 
@@ -93,3 +95,18 @@ def test_empty(table):
     assert score(table([]), model).count() == 0
     (row,) = score(table([(1, None)]), model).collect()
     assert row["n_tokens"] == 1 and row["n_known"] == 0 and row["score"] == 0
+
+
+def test_open_maps_are_bounded(tmp_path, monkeypatch):
+    monkeypatch.setattr(stores, "MAPS", 3)
+    store = stores.Store(str(tmp_path))
+    for i in range(6):
+        store.write(f"x-{i}", keys=np.arange(i + 1))
+    read = store.reader()
+    for i in [0, 1, 2, 0, 3, 4, 0, 5, 1, 0]:
+        assert list(read("keys", f"x-{i}")) == list(range(i + 1))
+        assert len(read.open) <= 3
+    assert [p.rsplit("-", 1)[1] for p in read.open] == ["5.npy", "1.npy", "0.npy"]
+    with pytest.raises(FileNotFoundError):
+        read("keys", "x-9")
+    read.close()
