@@ -4,9 +4,10 @@ Each line long enough to count becomes a row (128-bit hash of its key, document,
 The rows are range-partitioned and sorted by hash, then document, then position, so a task sees
 the documents of a key in order and streams past them: the first document keeps its lines, those
 of all later ones are dropped. Document and position are part of the range key, so the rows of a
-very common line are spread over several tasks. Each task says which key it ended with and
-the first document it saw for it; a task that began in the middle of a key looks there.
-That is one row per task, whatever the number of documents.
+very common line are spread over several tasks. Each task says which key it began with, which it
+ended with, and the first document it saw for that; these two rows per task, whatever the number of
+documents, tell for each range the first document of its first key. The rows of a first key look
+there by the number of their range, so those of a very common line stay spread.
 
 What comes back per document is a compressed bitmap of the lines to keep, not text.
 
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +37,9 @@ _ROW_BYTES = 36
 _TARGET = 16 * 2**20
 
 _LINES = "hi long, lo long, d long, t long, pos int"
-_FOUND = "hi long, lo long, d long, t long, pos int, kind int, first long"
-_DROPPED, _TAIL, _HEAD = 0, 1, 2
+_FOUND = "hi long, lo long, d long, t long, pos int, kind int, first long, part int"
+_FOUND_COLUMNS = ["hi", "lo", "d", "t", "pos", "kind", "first", "part"]
+_DROPPED, _TAIL, _HEAD, _RANGE = 0, 1, 2, 3
 
 
 def line_keys(text: str, least: int) -> tuple[list[int], list[bytes]]:
@@ -76,8 +79,17 @@ def _lines(least: int):
     return run
 
 
+def _edge(key: tuple[int, int], kind: int, first: int | None, part: int) -> pa.RecordBatch:
+    types = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.int64(), pa.int32()]
+    cells = [*key, None, None, None, kind, first, part]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([c], t) for c, t in zip(cells, types)], _FOUND_COLUMNS
+    )
+
+
 def _first_occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of one range, sorted: the dropped ones, all of the first key, and the last key."""
+    """Rows of one range, sorted: the dropped ones, all of the first key, the first and last key."""
+    part = TaskContext.get().partitionId()
     key, first, head = None, 0, True
     for batch in batches:
         if not batch.num_rows:
@@ -91,24 +103,21 @@ def _first_occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         firsts = np.where(run < 0, first, d[starts][run] if len(starts) else first)
         if key is None:
             in_head = run == 0
+            yield _edge((hi[0], lo[0]), _RANGE, None, part)
         else:
             in_head = (run < 0) & head
         keep = in_head | (d > firsts)
         kind = np.where(in_head, _HEAD, _DROPPED).astype(np.int32)[keep]
         out = batch.filter(pa.array(keep))
         yield pa.RecordBatch.from_arrays(
-            [*out.columns, pa.array(kind), pa.array(firsts[keep])],
-            ["hi", "lo", "d", "t", "pos", "kind", "first"],
-        )
+            [*out.columns, pa.array(kind), pa.array(firsts[keep]),
+             pa.array(np.full(len(kind), part, np.int32))],
+            _FOUND_COLUMNS,
+        )
         head = bool(in_head[-1])
         key, first = (hi[-1], lo[-1]), int(firsts[-1])
     if key is not None:
-        row = {"hi": key[0], "lo": key[1], "d": None, "t": None, "pos": None}
-        types = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.int64()]
-        cells = [*row.values(), _TAIL, first]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([c], t) for c, t in zip(cells, types)], [*row, "kind", "first"]
-        )
+        yield _edge(key, _TAIL, first, part)
 
 
 def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,9 +170,10 @@ def keep_bitmaps(docs: DataFrame, least: int = LEAST) -> DataFrame:
         .groupBy("hi", "lo")
         .agg(F.min("first").alias("earlier"))
     )
+    ranges = found.filter(F.col("kind") == _RANGE).select("hi", "lo", "part")
     heads = (
         found.filter(F.col("kind") == _HEAD)
-        .join(tails, ["hi", "lo"], "left")
+        .join(ranges.join(tails, ["hi", "lo"]).select("part", "earlier"), "part", "left")
         .filter(F.col("d") > F.least("first", "earlier"))
     )
     dropped = found.filter(F.col("kind") == _DROPPED).select("d", "t", "pos")
