@@ -18,45 +18,43 @@ def tokens(text):
 
 
 class Brute:
-    def __init__(self, texts):
-        self.count, self.pairs = Counter(), Counter()
+    def __init__(self, texts, order=2):
+        self.order, self.count = order, Counter()
+        self.grams = {k: Counter() for k in range(1, order + 1)}
         for text in texts:
-            before = "<s>"
-            for token in tokens(text):
-                self.count[token] += 1
-                self.pairs[before, token] += 1
-                before = token
-        self.total, self.follow, self.preceded = Counter(), defaultdict(list), Counter()
-        for (a, b), n in self.pairs.items():
-            self.total[a] += n
-            self.follow[a].append(n)
-            self.preceded[b] += 1
-        numbers = Counter(self.pairs.values())
-        self.d2 = discounts([numbers[i] for i in range(1, 5)])
-        numbers = Counter(self.preceded.values())
-        self.d1 = discounts([numbers[i] for i in range(1, 5)])
+            said = [*["<s>"] * (order - 1), *tokens(text)]
+            for i in range(order - 1, len(said)):
+                self.count[said[i]] += 1
+                self.grams[order][tuple(said[i - order + 1 : i + 1])] += 1
+        for k in range(order - 1, 0, -1):
+            for gram in self.grams[k + 1]:
+                self.grams[k][gram[1:]] += 1
+        self.follow = defaultdict(list)
+        self.d = {}
+        for k, grams in self.grams.items():
+            numbers = Counter(grams.values())
+            self.d[k] = discounts([numbers[i] for i in range(1, 5)])
+            for gram, n in grams.items():
+                self.follow[gram[:-1]].append(n)
         self.n = sum(self.count.values())
 
-    def word(self, w):
-        kinds = len(self.pairs)
-        if not kinds:
-            return 1 / (len(self.count) + 1)
-        rest = sum(self.d1[min(k, 3)] for k in self.preceded.values()) / kinds
-        k = self.preceded[w]
-        return max(k - self.d1[min(k, 3)], 0) / kinds + rest / (len(self.count) + 1)
-
-    def pair(self, a, b):
-        if not self.total[a]:
-            return self.word(b)
-        n = self.pairs[a, b]
-        rest = sum(self.d2[min(x, 3)] for x in self.follow[a]) / self.total[a]
-        return max(n - self.d2[min(n, 3)], 0) / self.total[a] + rest * self.word(b)
+    def after(self, context, w):
+        d, follow = self.d[len(context) + 1], self.follow[context]
+        shorter = self.after(context[1:], w) if context else 1 / (len(self.count) + 1)
+        if not follow:
+            return shorter
+        n = self.grams[len(context) + 1][*context, w]
+        rest = sum(d[min(x, 3)] for x in follow) / sum(follow)
+        return max(n - d[min(n, 3)], 0) / sum(follow) + rest * shorter
 
     def row(self, text):
         ts = tokens(text)
         v = len(self.count)
         base = sum(math.log10((self.count[t] + 0.1) / (self.n + 0.1 * (v + 1))) for t in ts)
-        own = sum(math.log10(self.pair(a, b)) for a, b in zip(["<s>", *ts], ts))
+        said = [*["<s>"] * (self.order - 1), *ts]
+        own = sum(
+            math.log10(self.after(tuple(said[i : i + self.order - 1]), t)) for i, t in enumerate(ts)
+        )
         return len(ts), sum(self.count[t] > 0 for t in ts), self.n, base, own
 
 
@@ -64,14 +62,17 @@ def is_held(doc_id):
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 10 == 0
 
 
-@pytest.mark.parametrize("options", [{}, {"block": 1000, "shard": 800}])
+@pytest.mark.parametrize(
+    "options",
+    [{}, {"order": 2}, *({"block": 1000, "shard": 800, "order": n} for n in (2, 3, 4))],
+)
 def test_scores(table, corpus, with_clashes, options):
     rows = corpus(31, n=120)
     docs = with_clashes(table(rows))
     model = train(docs.filter(~held_out(F.col("doc_id"))), **options)
     kept = {k: v for k, v in options.items() if k == "block"}
     got = [tuple(r) for r in score(docs, model, **kept).collect()]
-    brute = Brute(t for i, t in rows if not is_held(i))
+    brute = Brute((t for i, t in rows if not is_held(i)), model.order)
     expected = [(i, is_held(i), *brute.row(t)) for i, t in rows]
 
     def key(r):
@@ -83,11 +84,13 @@ def test_scores(table, corpus, with_clashes, options):
         assert a[5:] == pytest.approx(b[5:], rel=1e-9)
 
 
-def test_probabilities_add_up():
-    brute = Brute(["a b a c", "a b", "c b d", "d d d a"])
+@pytest.mark.parametrize("order", [2, 3])
+def test_probabilities_add_up(order):
+    brute = Brute(["a b a c", "a b", "c b d", "d d d a"], order)
     words = [*brute.count, "unknown"]
     for before in ["<s>", "a", "d", "never"]:
-        assert sum(brute.pair(before, w) for w in words) == pytest.approx(1)
+        context = (before, "b")[: order - 1]
+        assert sum(brute.after(context, w) for w in words) == pytest.approx(1)
 
 
 def test_empty(table):
