@@ -35,10 +35,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylens.llm.blocks import blocks, by_shard, dealt
-from paylens.llm.common import id_and_text, read_table, scratch, word_hashes
+from paylens.llm.common import delete, id_and_text, read_table, scratch, word_hashes
 from paylens.llm.store import Store
 
-ORDER = 3  # words of the longest n-grams
+ORDER = 2  # words of the longest n-grams; README has the figures of 3
 BLOCK = 16 * 2**20  # bytes of text that a task works on at once
 SHARD = 20 * 2**20  # bytes of text per shard
 ADD = 0.1  # of the base score
@@ -542,18 +542,21 @@ def train(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, order: int =
     def in_shards(rows: DataFrame) -> DataFrame:
         return rows.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard")
 
-    rows = texts.mapInArrow(_counting(shards, hot, block, order), _PARTS)
+    rows, between = texts.mapInArrow(_counting(shards, hot, block, order), _PARTS), []
     for level in range(order, 1, -1):
         written = scratch(spark, f"shorter-than-{level}")
         rows = in_shards(rows).mapInArrow(_level_written(store, shards, hot, level, order), _PARTS)
         rows.write.parquet(written)
         rows = spark.read.schema(_PARTS).parquet(written)
+        delete(spark, between)  # what this one was made from
+        between = [written]
     stats = in_shards(rows).mapInArrow(_words_written(store, order), _STATS)
     sizes = {"grams": 4 * (order - 1), "preceded": 5}
     total = stats.agg(
         *(F.sum(c).alias(c) for c in ("words", "tokens", "kinds")),
         *(F.array(*(F.sum(F.col(c)[i]) for i in range(n))).alias(c) for c, n in sizes.items()),
     ).first()
+    delete(spark, between)
     totals = {k: v or 0 for k, v in total.asDict().items() if not isinstance(v, list)}
     for k in sizes:
         totals[k] = [v or 0 for v in total[k]]

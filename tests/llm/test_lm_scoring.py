@@ -64,7 +64,7 @@ def is_held(doc_id):
 
 @pytest.mark.parametrize(
     "options",
-    [{}, {"order": 2}, *({"block": 1000, "shard": 800, "order": n} for n in (2, 3, 4))],
+    [{}, {"order": 3}, *({"block": 1000, "shard": 800, "order": n} for n in (2, 3, 4))],
 )
 def test_scores(table, corpus, with_clashes, options):
     rows = corpus(31, n=120)
