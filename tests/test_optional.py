@@ -6,6 +6,8 @@ import shutil
 import subprocess
 import sys
 
+import pytest
+
 from tests.conftest import ROOT
 
 SCRIPT = """
@@ -16,7 +18,8 @@ assert set(e.queries()) == set(registered()) and set(e.oracle_sql()) == set(orac
 """
 
 
-def test_entry_without_the_optional_part(tmp_path):
+@pytest.mark.parametrize("gone", [("llm", "corpus_pipeline.py"), ("llm",)])
+def test_entry_without_the_optional_part(tmp_path, gone):
     copy = tmp_path / "repo"
-    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py"))
+    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", *gone))
     subprocess.run([sys.executable, "-c", SCRIPT], cwd=copy, check=True, timeout=120)
