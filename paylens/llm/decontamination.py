@@ -21,7 +21,7 @@ Defined cases: null texts are empty; windows with fewer than ``literal`` ordinar
 evidence, nor are items of fewer than ``width`` words, unless ``short_items`` makes each of them
 one window; an empty benchmark flags nothing; rows that
 repeat doc_id and text give one result; rows that repeat an item count as one; item ids may be
-null.
+null; very long texts are matched in pieces of ``PIECE`` windows.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ compared in full with the text that the locator names. Texts that differ despite
 become groups of their own.
 
 Defined cases: null text is the empty text; documents without doc_id come last; rows that
-repeat both doc_id and text count in ``group_size`` and at most one of them is kept.
+repeat both doc_id and text count in ``group_size`` and at most one of them is kept;
+a very long text is hashed and compared whole, as one cell.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ What comes back per document is a compressed bitmap of the lines to keep, not te
 
 Defined cases: a null or empty text is one empty line, which is always kept; documents without
 doc_id come last and count as one document; rows that repeat a doc_id count as one document for
-the question which lines are shared, and lose lines each for itself. Two keys are taken as equal
+the question which lines are shared, and lose lines each for itself; a very long text is held whole by the task that
+splits it, and by the one that applies its bitmap. Two keys are taken as equal
 when their 128-bit BLAKE2 hashes are.
 """
 

@@ -22,7 +22,7 @@ has words, and ends with an end token.
 
 Defined cases: a null or empty text is one end token; a null doc_id is not held out; rows that
 repeat count and are scored as often as they appear; with no training text all probabilities are
-uniform. Words are told apart by 64-bit hashes, words in n-grams by 48 bits of them, n-grams by 64 bits.
+uniform; a very long text is a block of its own, held whole by one task. Words are told apart by 64-bit hashes, words in n-grams by 48 bits of them, n-grams by 64 bits.
 """
 
 from __future__ import annotations

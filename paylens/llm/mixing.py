@@ -14,7 +14,8 @@ the document, so that reruns and retried tasks agree.
 
 Defined cases: documents without words are taken 0 times (``taken`` 0); a null source is a
 source of its own and comes last; repeated rows are documents of their own, told apart by
-a running number; an empty table gives an empty result.
+a running number; of a very long text only its number of words goes on; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations

@@ -23,7 +23,8 @@ members of nodes, never with their pairs.
 
 Defined cases: a text without words has an empty set, is linked with nothing and keeps itself;
 documents without doc_id come last; rows that repeat a doc_id share its verdict when their sets
-agree; a component of documents without doc_id has a null component_id.
+agree; a component of documents without doc_id has a null component_id; the set of a
+very long text is held whole by the tasks that make it and compare it.
 """
 
 from __future__ import annotations

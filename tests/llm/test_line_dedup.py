@@ -55,6 +55,17 @@ def test_lines(table, corpus, with_clashes, monkeypatch, target):
     assert run(with_clashes(table(rows))) == brute(rows)
 
 
+def test_very_long_texts(table):
+    """Texts of 600 KB that share every third line, and a line of 300 KB."""
+    one, two = (
+        "\n".join(f"line {i} of {'all' if i % 3 == 0 else d}" + "." * 10 for i in range(20_000))
+        for d in (1, 2)
+    )
+    line = "ab " * 100_000
+    rows = [(5, one), (4, two), (7, f"{line}\n{two}"), (8, line.upper())]
+    assert run(table(rows)) == brute(rows)
+
+
 def test_bitmap_reaches_beyond_its_end():
     keep = line_dedup.read_bitmap(None, 3)
     assert keep.tolist() == [True] * 3

@@ -84,6 +84,18 @@ def test_scores(table, corpus, with_clashes, options):
         assert a[5:] == pytest.approx(b[5:], rel=1e-9)
 
 
+def test_very_long_text(table):
+    """A text of many times the block's and the shard's size, seen in training, beside short ones."""
+    long = " ".join(f"w{i * i % 997} and" for i in range(20_000))
+    rows = [(1, long), (2, "w1 and w4"), (3, "w4 w1"), (4, None)]
+    model = train(table(rows), block=4000, shard=8000, order=3)
+    brute = Brute((t for _, t in rows), 3)
+    got = sorted(tuple(r) for r in score(table(rows), model, block=4000).collect())
+    for row, (doc_id, text) in zip(got, rows):
+        assert row[:2] == (doc_id, is_held(doc_id))
+        assert row[2:] == pytest.approx(brute.row(text), rel=1e-9)
+
+
 @pytest.mark.parametrize("order", [2, 3])
 def test_probabilities_add_up(order):
     brute = Brute(["a b a c", "a b", "c b d", "d d d a"], order)
