@@ -62,8 +62,44 @@ def payments(lineitem: DataFrame, fine: bool = False) -> DataFrame:
     return _as_payments(lines, number, F.round(discounted, 4) if fine else None)
 
 
+# Orders with more lines than this, and more than this part of all lines, are numbered in slices.
+LARGE_ORDER, LARGE_PART = 1_000, 1 / 1_000
+# Orders counted to find those, and held at a time: enough to miss none of them.
+MOST_ORDERS, HELD_ORDERS = 1_000, 10_000
+
+
 def numbered_payments(lineitem: DataFrame) -> DataFrame:
-    """The same payments, with each order numbered in slices.
+    """The same payments, of orders of any size, with the rows of most orders moved once.
+
+    One window numbers the orders that fit a task. The few others, found by a count of the most
+    frequent ones, are numbered in slices. Rows without an order are left out.
+    """
+    used = ["l_orderkey", *PAYMENT_ORDER, "l_returnflag", "l_linestatus"]
+    lines = lineitem.select(*used).where(F.col("l_orderkey").isNotNull())
+    large = _large_orders(lines)
+    small = lines.where(~F.col("l_orderkey").isin(large)) if large else lines
+    # numbered by the key as it is, which takes less room in a shuffle than its text
+    number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*PAYMENT_ORDER))
+    out = _as_payments(_with_order(small.withColumn("number", number)), F.col("number"))
+    if large:
+        out = out.unionByName(_sliced_payments(lines.where(F.col("l_orderkey").isin(large))))
+    return out
+
+
+def _with_order(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("order_id", F.col("l_orderkey").cast("string"))
+
+
+def _large_orders(lines: DataFrame) -> list[int]:
+    """Orders with so many lines that one task should not number them; at most MOST_ORDERS."""
+    most = F.expr(f"approx_top_k(l_orderkey, {MOST_ORDERS}, {HELD_ORDERS})").alias("most")
+    found = lines.agg(F.count(F.lit(1)).alias("n"), most).first()
+    least = max(LARGE_ORDER, found["n"] * LARGE_PART)
+    return [r["item"] for r in found["most"] or [] if r["count"] > least]
+
+
+def _sliced_payments(lineitem: DataFrame) -> DataFrame:
+    """Payments with each order numbered in slices.
 
     A slice is what one task of a range partitioning by order and all columns of PAYMENT_ORDER
     holds of an order, so a very large order is spread over as many tasks as its rows need, even
@@ -71,7 +107,7 @@ def numbered_payments(lineitem: DataFrame) -> DataFrame:
     sizes of the earlier slices of an order (one per task at most) give where a slice starts.
     """
     spark = lineitem.sparkSession
-    keyed = lineitem.withColumn("order_id", F.col("l_orderkey").cast("string"))
+    keyed = _with_order(lineitem)
     folder = f"{work_dir(spark)}/numbered-{uuid4().hex}"
     spread = keyed.repartitionByRange("order_id", *PAYMENT_ORDER)
     spread.withColumn("slice", F.spark_partition_id()).write.parquet(folder)
