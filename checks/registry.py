@@ -111,11 +111,17 @@ def _valid_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.valid_payments(numbered_payments(spark, sf_dir))
 
 
+# A compressed file is read by one task, so files are kept small.
+CSV_RECORDS = 1_000_000
+
+
 def write_csv_sources(spark: SparkSession, sf_dir: str, folder: str, optional: bool = True) -> None:
-    """The sources as CSV files, to be read by the pipeline."""
+    """The sources as compressed CSV files, to be read by the pipeline."""
 
     def write(name: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").csv(f"{folder}/{SOURCES[name].file}", header=True)
+        path = f"{folder}/{SOURCES[name].file}"
+        out = df.write.mode("overwrite").option("maxRecordsPerFile", CSV_RECORDS)
+        out.csv(path, header=True, compression="gzip")
 
     sources = testdata.sources(spark, sf_dir, all_numbers=True)
     wanted = {name: df for name, df in sources.items() if optional or SOURCES[name].required}

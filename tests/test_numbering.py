@@ -1,13 +1,15 @@
-"""Payments of all numbers: rows moved once, large orders in slices."""
+"""Payments of all numbers: rows moved once, large orders in slices, compressed sources."""
 
 from __future__ import annotations
 
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks import registry
 from paylens.sources import testdata
 
 LINES = (
@@ -70,3 +72,17 @@ def test_an_order_over_its_part_of_the_rows_is_never_missed(spark):
     keys = spark.range(n).select(F.col("id").alias("l_orderkey"))
     hot = spark.range(1_200).select(F.lit(-5).cast("bigint").alias("l_orderkey"))
     assert testdata._large_orders(keys.unionByName(hot).repartition(4)) == [-5]
+
+
+def test_sources_are_written_compressed_and_in_small_files(spark, lines, tmp_path, monkeypatch):
+    some = lines(*range(50))
+    made = {"items": testdata.items(some), "payments": testdata.numbered_payments(some)}
+    monkeypatch.setattr(testdata, "sources", lambda *args, **options: made)
+    monkeypatch.setattr(registry, "CSV_RECORDS", 10)
+    registry.write_csv_sources(spark, "", str(tmp_path))
+    for name, df in made.items():
+        path = tmp_path / registry.SOURCES[name].file
+        files = list(Path(path).glob("part-*"))
+        assert len(files) >= 5 and all(f.name.endswith(".csv.gz") for f in files)
+        back = spark.read.csv(str(path), header=True)
+        assert back.count() == df.count() and back.columns == df.columns
