@@ -4,6 +4,7 @@ Numbers, units after numbers, and names (capitalised words inside a sentence) be
 placeholders, other words are lower-cased; so a question whose figures or names were changed
 has the template of the original. With ``folded``, texts are compared once more without letter
 case and with any white space as one blank, where names are words; one view has to cover an item.
+Documents that share no gram of ``GRAM`` words with a window of the benchmark are left out first.
 Both sides are cut into windows of ``width`` words of the template and joined by hash: the
 benchmark at every word, a document at every ``stride``-th, by default also at every word, so that
 every shared window is met. In documents that meet, windows are compared in full, and what stood
@@ -33,6 +34,7 @@ from paylens.llm.common import LAST, order_key, read_table, saved
 
 WIDTH, STRIDE, LITERAL, LEAST = 8, 1, 4, 13
 PIECE = 1024  # windows that begin in one piece of a text
+GRAM = 5  # words of the grams by which texts are found that may hold a window
 # What the query and the pipeline find beyond the strict defaults.
 WHOLE = {"short_items": True, "per_window": True, "folded": True}
 
@@ -51,8 +53,10 @@ _MARKED = f"[{_NUMBER}{_UNIT}{_NAME}]|{_WORDS}"
 
 
 def _plain(text: Column) -> Column:
-    """Text without the characters that serve as placeholders."""
-    return F.translate(F.coalesce(text.cast("string"), F.lit("")), _NUMBER + _UNIT + _NAME, "   ")
+    """Text without the characters that serve as placeholders; few texts have any."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    marked = text.contains(_NUMBER) | text.contains(_UNIT) | text.contains(_NAME)
+    return F.when(marked, F.translate(text, _NUMBER + _UNIT + _NAME, "   ")).otherwise(text)
 
 
 def values(text: Column) -> Column:
@@ -197,6 +201,39 @@ def _widths(items: DataFrame) -> list[int]:
     return sorted(r[0] for r in items.select(F.size("window")).distinct().collect())
 
 
+def _gram_step(widths: list[int]) -> tuple[int, int]:
+    """Size and distance of grams such that every window holds a whole one, wherever it begins."""
+    step = max(min(widths) - GRAM + 1, 1)
+    return min(widths) - step + 1, step
+
+
+def _grams(words: Column, size: int, step: int) -> Column:
+    """Hashes of ``size`` consecutive words that begin at every ``step``-th word."""
+    last = F.size(words) - size
+    starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(step)))
+    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(words, i + 1, size)))
+    return F.coalesce(hashes, F.array().cast("array<long>"))
+
+
+def _close(texts: DataFrame, items: DataFrame, widths: list[int], folded: bool) -> DataFrame:
+    """text_hash of the texts that hold a gram of the items' windows: all that may match, and others."""
+    size, step = _gram_step(widths)
+    grams = saved(
+        items.select(F.explode(_grams(F.col("window"), size, 1)).alias("gram")).distinct(),
+        "benchmark-grams",
+    )
+    words = {f"words_{k}": _template(k, v) for k, v in enumerate(_views(F.col("text"), folded))}
+    own = F.concat(*(_grams(F.col(name), size, step) for name in words))
+    return saved(
+        texts.select("text_hash", *(v.alias(name) for name, v in words.items()))
+        .select("text_hash", F.explode(F.array_distinct(own)).alias("gram"))
+        .join(grams, "gram", "left_semi")
+        .select("text_hash")
+        .distinct(),
+        "benchmark-close",
+    )
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -226,7 +263,8 @@ def leaks(
     ).withColumn("text_hash", F.xxhash64("text"))
     widths = _widths(items) or [width]
     views = {f"view_{k}": v for k, v in enumerate(_views(F.col("text"), folded))}
-    templates = texts.select(
+    close = _close(texts, items, widths, folded)
+    templates = texts.join(close, "text_hash", "left_semi").select(
         "text_hash",
         *(_word_hashes(_template(k, v)).alias(name) for k, (name, v) in enumerate(views.items())),
     )

@@ -5,6 +5,7 @@ import regex
 
 import pytest
 
+from paylens.llm import decontamination
 from paylens.llm.decontamination import UNITS, WHOLE, drop_leaks, leaks
 from pyspark.sql import functions as F
 
@@ -207,3 +208,32 @@ def test_other_case_and_white_space(table, bench):
     assert sorted((r["doc_id"], r["item_id"]) for r in found) == sorted(want)
     assert all(r["covered"] == r["item_words"] for r in found if r["doc_id"] != 3)
     assert not {1, 4, 5} & {doc_id for doc_id, _ in run(table(rows), bench(items))}
+
+
+@pytest.mark.parametrize("widths", [[1], [3, 8], [4, 5, 6, 7, 8], [5], [7, 8], [8], [20]])
+def test_every_window_holds_a_whole_gram(widths):
+    size, step = decontamination._gram_step(widths)
+    assert 1 <= size <= min(widths)
+    for width in widths:
+        for begin in range(3 * width):
+            starts = range(0, begin + width, step)
+            assert any(begin <= at and at + size <= begin + width for at in starts)
+
+
+@pytest.mark.parametrize("short", [False, True])
+def test_texts_without_a_gram_of_the_benchmark_are_left_out_first(spark, short):
+    item = "seven grey boats drifted beyond the quiet harbour wall while children sang old songs"
+    rows = [(i, "many other words " * i + item + " and more") for i in range(8)]
+    rows += [(8, "nothing of it stands in this text, which is about other things"), (9, ""), (10, None)]
+    rows += [(11, "ONE short one HERE and then some words")]
+    items = [(1, item)] + [(2, "a short one here")] * short
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in leaks(docs, bench, **WHOLE).collect()}
+    assert found == {(i, 1) for i in range(8)}
+    windows = decontamination.benchmark_windows(bench, short_items=True, folded=True)
+    texts = docs.fillna("").withColumn("text_hash", F.xxhash64("text"))
+    widths = decontamination._widths(windows)
+    close = decontamination._close(texts, windows, widths, True)
+    kept = {r["doc_id"] for r in texts.join(close, "text_hash", "left_semi").collect()}
+    assert kept == set(range(8))
