@@ -26,7 +26,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -343,9 +342,12 @@ def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5, **options)
     model = fit(docs, labels, **options)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(texts):
-        x = shared.value.features(texts.tolist(), Shapes(shared.value.shapes))
-        return pd.Series(shared.value.network.score(x))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        memo, scores = Shapes(shared.value.shapes), [np.zeros(0)]
+        for start in range(0, len(texts), 1024):  # few texts at a time as Python strings
+            x = shared.value.features(texts.slice(start, 1024).to_pylist(), memo)
+            scores.append(shared.value.network.score(x))
+        return pa.array(np.concatenate(scores), pa.float64())
 
     return docs.filter(score(F.coalesce(F.col("text"), F.lit(""))) >= least)

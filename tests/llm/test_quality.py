@@ -60,3 +60,18 @@ def test_few_labels(spark, table):
                                    "doc_id long, quality int, toxic int")
     got = quality.classify(docs, quality.fit(docs, labels)).collect()
     assert len({r["score"] for r in got}) == 1 and got[0]["score"] > 0.5
+
+
+def test_the_filter_scores_every_slice_of_a_batch(spark, monkeypatch):
+    words = quality.Vectors(["good", "bad"], np.eye(2, quality.WORD_DIM))
+    model = quality.Model(words, quality.shape_vectors())
+    texts = ["good good word", "bad word bad"]
+    x = model.features(texts * 40, quality.Shapes(model.shapes))
+    y = np.array([1.0, 0.0] * 40)
+    model.network = quality.Network(x.astype(np.float64), y, np.zeros(80, bool))
+    monkeypatch.setattr(quality, "fit", lambda *_, **__: model)
+    rows = spark.range(3000).selectExpr(
+        "id AS doc_id", f"IF(id % 3 = 0, '{texts[0]}', '{texts[1]}') AS text"
+    )
+    kept = {r["doc_id"] for r in quality.keep_good(rows.coalesce(1), None).collect()}
+    assert kept == set(range(0, 3000, 3))
