@@ -24,17 +24,28 @@ from paylens.llm.near_dedup import keep_one
 from paylens.llm.quality import keep_good
 
 NEAR_SIMILARITY = 0.8
+# Rows go to Python in batches of at most so many bytes. Whatever a batch needs, the JVM and a worker
+# keep for the rest of the job, beside the heap: at Spark's 64 MB, hundreds of MB of an executor.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 * 1024 * 1024
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 _left: dict[str, list[str]] = {}  # by application: tables of the stage called last
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the batches of a running session, unless it has a bound of its own."""
+    if spark.conf.get(BATCH, None) is None:
+        spark.conf.set(BATCH, str(BATCH_BYTES))
+
+
 def _tidy(stage: Stage) -> Stage:
     """The stage, after the tables that the one before has left are deleted."""
 
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         app_id = spark.sparkContext.applicationId
+        small_batches(spark)
         delete(spark, _left.get(app_id, []))
         with noted() as paths:
             out = stage(spark, docs, sf_dir)

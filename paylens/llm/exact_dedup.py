@@ -26,6 +26,8 @@ from paylens.llm.common import WHITE, order_key, read_table, saved, scratch
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _ALLOCATE = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
+_UNLOAD = "spark.sql.streaming.stateStore.unloadOnCommit"
+_BUFFER = "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB"
 FILES_PER_BATCH = 10_000
 
 
@@ -53,8 +55,9 @@ def digest_state(spark, folder: str, checkpoint: str, files_per_batch: int = FIL
 
     Called again with the same checkpoint after more files arrived, it goes on where it ended.
     """
-    # Without the second setting every store holds 4 MB of disk, however little is in it.
-    wanted = {_PROVIDER: _ROCKS, _ALLOCATE: "false"}
+    # Without the second setting every store holds 4 MB of disk, however little is in it. The others bound
+    # the memory beside the heap: a task's store is closed when it ends, and is written out every 4 MB.
+    wanted = {_PROVIDER: _ROCKS, _ALLOCATE: "false", _UNLOAD: "true", _BUFFER: "4"}
     before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)

@@ -82,7 +82,7 @@ class Vectors:
 class Shapes:
     """Shape numbers of tokens without a vector, remembered up to a bound."""
 
-    def __init__(self, shapes: Vectors, bound: int = 300_000):
+    def __init__(self, shapes: Vectors, bound: int = 50_000):
         self.ids, self.known, self.bound = shapes.ids, {}, bound
 
     def of(self, tokens: list[str]) -> list[int]:
@@ -343,11 +343,13 @@ def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5, **options)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
-        memo, scores = Shapes(shared.value.shapes), [np.zeros(0)]
-        for start in range(0, len(texts), 1024):  # few texts at a time as Python strings
-            x = shared.value.features(texts.slice(start, 1024).to_pylist(), memo)
-            scores.append(shared.value.network.score(x))
-        return pa.array(np.concatenate(scores), pa.float64())
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        memo = Shapes(shared.value.shapes)
+        for texts in batches:
+            scores = [np.zeros(0)]
+            for start in range(0, len(texts), 1024):  # few texts at a time as Python strings
+                x = shared.value.features(texts.slice(start, 1024).to_pylist(), memo)
+                scores.append(shared.value.network.score(x))
+            yield pa.array(np.concatenate(scores), pa.float64())
 
     return docs.filter(score(F.coalesce(F.col("text"), F.lit(""))) >= least)

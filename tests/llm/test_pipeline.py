@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -84,3 +85,26 @@ def test_empty_tables(spark, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF_DIR}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("given", [None, "1m"])
+def test_python_gets_small_batches(spark, monkeypatch, given):
+    """24 MB of one partition reach Python in batches of 4 MB, or of what the session asks for."""
+
+    def sizes(docs, labels):
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+        return docs.select("text").mapInArrow(run, "n long")
+
+    monkeypatch.setattr(corpus_pipeline, "keep_good", sizes)
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "repeat('x', 8000) AS text")
+    before = spark.conf.get(corpus_pipeline.BATCH, None)
+    spark.conf.set(corpus_pipeline.BATCH, given) if given else spark.conf.unset(corpus_pipeline.BATCH)
+    try:
+        found = [r["n"] for r in corpus_pipeline.quality_stage(spark, docs, SF_DIR).collect()]
+    finally:
+        spark.conf.set(corpus_pipeline.BATCH, before) if before else spark.conf.unset(corpus_pipeline.BATCH)
+    assert sum(found) > 3000 * 8000
+    assert max(found) < (2**20 if given else corpus_pipeline.BATCH_BYTES) + 100_000
